@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revpulse.functions import policy as P
+from revpulse.functions.numeric import count_where, or_zero
 from revpulse.params import Params, Policy
 from revpulse.schemas import EVENT_TYPES
 
@@ -42,46 +43,51 @@ def _day_words(params: Params) -> dict[str, Column]:
     return words
 
 
-def usage_by_user_and_type(events: DataFrame, params: Params = Params()) -> DataFrame:
-    """Window events folded to (account, user, type).
+def unlisted_features(events: DataFrame, params: Params = Params()) -> DataFrame:
+    """Distinct event types per account beyond the listed ones.
 
-    The day set of a group travels as a bitmap, so folding is algebraic: it starts
-    on the map side and a busy account is spread over its users and types.
+    Well-formed data has none, and a scan can tell from a column's dictionary that a
+    block holds only listed types, so this pass reads next to nothing.
     """
-    words = _day_words(params)
     return (
         events_in_window(events, params)
-        .select("account_id", "user_id", "event_type", "event_date", *(v.alias(k) for k, v in words.items()))
-        .groupBy("account_id", "user_id", "event_type")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("event_date").alias("first_event_date"),
-            F.max("event_date").alias("latest_event_date"),
-            *(F.bit_or(w).alias(w) for w in words),
-        )
+        .where(~F.col("event_type").isin(*EVENT_TYPES))
+        .groupBy("account_id")
+        .agg(F.countDistinct("event_type").alias("unlisted_count"))
     )
 
 
 def usage_by_account(events: DataFrame, params: Params = Params()) -> DataFrame:
+    """One row per account with events in the window.
+
+    Days are a bitmap and listed types are counters, which leaves the users as the
+    only distinct set: rows shuffle once, by account and user, already folded on the
+    map side, and a busy account is spread over its users.
+    """
     words = _day_words(params)
-    active_days = sum((F.bit_count(F.bit_or(w)).cast("bigint") for w in words), F.lit(0).cast("bigint"))
-    n = F.col("n")
-    return (
-        usage_by_user_and_type(events, params)
+    days = [F.bit_count(F.bit_or(w)).cast("bigint") for w in words]
+    active_days = sum(days[1:], days[0])
+    kind = F.col("event_type")
+    used = [F.when(F.col(name) > 0, 1).otherwise(0) for name in TYPE_COUNTS.values()]
+    adopted = sum(used[1:], used[0]) + or_zero(F.col("unlisted_count"))
+    counted = (
+        events_in_window(events, params)
+        .select("account_id", "user_id", "event_type", "event_date", *(v.alias(k) for k, v in words.items()))
         .groupBy("account_id")
         .agg(
-            F.sum(n).alias("total_events"),
+            F.count(F.lit(1)).alias("total_events"),
             F.countDistinct("user_id").alias("active_users"),
             active_days.alias("active_days"),
-            F.min("first_event_date").alias("first_event_date"),
-            F.max("latest_event_date").alias("latest_event_date"),
-            *(
-                F.sum(F.when(F.col("event_type") == kind, n).otherwise(0)).alias(name)
-                for kind, name in TYPE_COUNTS.items()
-            ),
-            F.countDistinct("event_type").alias("adopted_feature_count"),
+            F.min("event_date").alias("first_event_date"),
+            F.max("event_date").alias("latest_event_date"),
+            *(count_where(kind == k).alias(name) for k, name in TYPE_COUNTS.items()),
         )
     )
+    return (
+        counted.join(unlisted_features(events, params), "account_id", "left")
+        .withColumn("adopted_feature_count", adopted)
+        .drop("unlisted_count")
+    )
 
 
 def adoption_flags() -> dict[str, Column]:

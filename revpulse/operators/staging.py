@@ -11,22 +11,21 @@ from revpulse.params import Params
 from revpulse.schemas import ENTITIES
 
 
-def _typed(df: DataFrame, name: str, dtype: str) -> Column:
-    """Cast a column; for text sources an empty string means no value.
+def _typed(df: DataFrame, name: str, dtype: T.DataType, alias: str | None = None) -> Column | str:
+    """A source column as its declared type; in text sources an empty string means no value.
 
-    Already typed columns are cast directly so a filter on them still reaches the scan.
+    A column that already has the type passes through as it is, so a filter on it
+    still reaches the scan.
     """
-    col = F.col(name)
-    if dtype != "string" and isinstance(df.schema[name].dataType, T.StringType):
-        col = F.nullif(col, F.lit(""))
-    return col.cast(dtype).alias(name)
+    found = df.schema[name].dataType
+    if found == dtype:
+        return name if alias is None else F.col(name).alias(alias)
+    col = F.nullif(F.col(name), F.lit("")) if isinstance(found, T.StringType) else F.col(name)
+    return col.cast(dtype).alias(alias or name)
 
 
-def _entity_columns(df: DataFrame, entity: str, **renamed: str) -> list[Column]:
-    out = []
-    for name, dtype in ENTITIES[entity].columns.items():
-        out.append(_typed(df, name, dtype.simpleString()).alias(renamed.get(name, name)))
-    return out
+def _entity_columns(df: DataFrame, entity: str, **renamed: str) -> list[Column | str]:
+    return [_typed(df, name, dtype, renamed.get(name)) for name, dtype in ENTITIES[entity].columns.items()]
 
 
 def _status_is(*labels: str, column: str = "status") -> Column:
@@ -71,10 +70,8 @@ def stg_payments(raw: DataFrame) -> DataFrame:
 
 
 def stg_events(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        *_entity_columns(raw, "product_events"),
-        _typed(raw, "occurred_at", "timestamp_ntz").cast("date").alias("event_date"),
-    )
+    typed = raw.select(*_entity_columns(raw, "product_events"))
+    return typed.select("*", F.col("occurred_at").cast("date").alias("event_date"))
 
 
 def stg_tickets(raw: DataFrame, params: Params = Params()) -> DataFrame:

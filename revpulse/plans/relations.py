@@ -149,6 +149,9 @@ class Warehouse(Mapping):
         self._written[name] = frame
         self._frames = dict(self._written)
 
+    def written(self, without: str | None = None) -> dict[str, DataFrame]:
+        return {n: df for n, df in self._written.items() if n != without}
+
     @property
     def subscription_facts(self) -> DataFrame:
         """Settled subscriptions without account names, which account totals do not need.

@@ -74,6 +74,16 @@ def _columns(relation: str, *columns: str) -> Query:
     return lambda spark, folder: warehouse(spark, folder)[relation].select(*columns)
 
 
+def _rule(relation: str, *columns: str) -> Query:
+    """Columns of one relation, derived anew from the written relations before it."""
+
+    def query(spark, folder):
+        w = derived(spark, folder)
+        return Warehouse(w.sources, w.params, w.policy, w.written(without=relation))[relation].select(*columns)
+
+    return query
+
+
 def _on_derived(op: Callable[[Warehouse], DataFrame]) -> Query:
     return lambda spark, folder: op(derived(spark, folder))
 
@@ -235,8 +245,8 @@ def _policy() -> dict[str, Query]:
             "support_risk_account_rate",
         ),
     }
-    out = {name: _columns(spec[0], "account_id", *spec[1:]) for name, spec in per_account.items()}
-    out.update({name: _columns(*spec) for name, spec in rates.items()})
+    out = {name: _rule(spec[0], "account_id", *spec[1:]) for name, spec in per_account.items()}
+    out.update({name: _rule(*spec) for name, spec in rates.items()})
     return out
 
 

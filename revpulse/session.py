@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # Recording a call site for every column costs more than building the plan itself.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

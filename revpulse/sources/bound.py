@@ -7,184 +7,194 @@ and, when returned, support tickets. Keys only choose attribute values.
 
 from __future__ import annotations
 
-import datetime as dt
+from collections.abc import Iterator, Mapping
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revpulse.schemas import CONTACT_ROLES, ENTITIES, PAYMENT_METHODS, PLANS, TICKET_CATEGORIES
-from revpulse.sources import Sources
 
-AS_OF = dt.date(2025, 12, 31)
+AS_OF = "DATE'2025-12-31'"
 # Order dates end on 2001-08-01; this many days later is the observation date.
 DAYS_TO_PRESENT = 8918
-OPEN_STAGES = ("prospecting", "qualified", "proposal", "negotiation", "closed_lost")
 
-c = F.col
+# Columns of the base tables that the entities are derived from.
+BASE_SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 
 
-def _id(prefix: str, *parts) -> Column:
-    return F.concat(F.lit(prefix), F.concat_ws("_", *(c(p).cast("string") for p in parts)))
+def _pick(labels, index: str) -> str:
+    listed = ", ".join(f"'{x}'" for x in labels)
+    return f"element_at(array({listed}), CAST(1 + {index} AS INT))"
 
 
-def _pick(labels, index: Column) -> Column:
-    return F.element_at(F.array(*map(F.lit, labels)), (index + 1).cast("int"))
+def _whole(expr: str) -> str:
+    return f"CAST({expr} AS INT)"
 
 
-def _whole(c: Column) -> Column:
-    return c.cast("int")
+def _cents(amount: str) -> str:
+    return f"CAST(CAST({amount} AS DECIMAL(18,2)) * 100 AS BIGINT)"
 
 
-def _cents(amount: Column) -> Column:
-    return (amount.cast("decimal(18,2)") * 100).cast("bigint")
+def _usd(cents: str) -> str:
+    return f"CAST(CAST({cents} AS DECIMAL(18,0)) / 100 AS DECIMAL(18,2))"
 
 
-def _from_cents(cents: Column) -> Column:
-    return (cents.cast("decimal(18,0)") / 100).cast("decimal(18,2)")
+def _line_id(prefix: str, *more: str) -> str:
+    return f"concat_ws('_', '{prefix}', l_orderkey, l_linenumber, l_partkey, l_suppkey{''.join(', ' + m for m in more)})"
 
 
-def _div(a: Column, n: int) -> Column:
-    return F.call_function("div", a, F.lit(n))
+_INVOICE_ID = "concat_ws('_', 'inv', l_orderkey, l_linenumber)"
+_INVOICE_DAY = "date_add(start_date, 30 * l_linenumber)"
+_DISPUTED = "(returned AND ongoing AND discount = 9)"
+_NEVER_WON = _pick(("prospecting", "qualified", "proposal", "negotiation", "closed_lost"), "o_orderkey % 5")
+_STAGE = f"""CASE
+    WHEN o_custkey % 10 = 2 AND o_orderstatus = 'P' AND o_orderkey % 4 = 0 THEN 'closed_won'
+    WHEN o_custkey % 10 <= 2 THEN {_NEVER_WON}
+    WHEN o_orderkey % 20 < 9 THEN 'closed_won'
+    WHEN o_orderkey % 20 < 11 THEN 'closed_lost'
+    WHEN o_orderkey % 20 < 13 THEN 'prospecting'
+    WHEN o_orderkey % 20 < 16 THEN 'qualified'
+    WHEN o_orderkey % 20 < 18 THEN 'proposal'
+    ELSE 'negotiation' END"""
+_LEANING = """CASE
+    WHEN o_custkey % 10 = 3 THEN 'canceled'
+    WHEN o_custkey % 10 = 4 THEN if(o_orderkey % 3 = 0, 'canceled', 'past_due')
+    WHEN o_orderkey div 20 % 20 < 16 THEN 'active'
+    WHEN o_orderkey div 20 % 20 = 16 THEN 'past_due'
+    ELSE 'canceled' END"""
 
 
-def _noon_offset(day: Column, hours: Column) -> Column:
-    return day.cast("timestamp_ntz") + F.make_dt_interval(hours=_whole(hours))
-
-
-class BoundTables:
+class BoundTables(Mapping):
     """Lazily derived entities over one folder of base tables."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
+        self._entities: dict[str, DataFrame] = {}
 
-    def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._entities:
+            if name not in ENTITIES:
+                raise KeyError(name)
+            self._entities[name] = getattr(self, name)().select(*ENTITIES[name].columns)
+        return self._entities[name]
 
-    def entity(self, name: str) -> DataFrame:
-        return getattr(self, f"_{name}").select(*ENTITIES[name].columns)
+    def __iter__(self) -> Iterator[str]:
+        return iter(ENTITIES)
+
+    def __len__(self) -> int:
+        return len(ENTITIES)
+
+    def table(self, name: str) -> DataFrame:
+        return self.spark.read.schema(BASE_SCHEMAS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     @cached_property
-    def _crm_accounts(self) -> DataFrame:
-        nations = self.table("nation").select(c("n_nationkey").alias("c_nationkey"), c("n_name").alias("country"))
-        balance = c("c_acctbal")
-        small = F.when(balance < 2500, "11-50").otherwise("51-100")
+    def _accounts(self) -> DataFrame:
+        nations = self.table("nation").selectExpr("n_nationkey AS c_nationkey", "n_name AS country")
         return (
             self.table("customer")
             .join(nations, "c_nationkey", "left")
-            .select(
+            .selectExpr(
                 "c_custkey",
-                _id("acc_", "c_custkey").alias("account_id"),
-                c("c_name").alias("account_name"),
-                c("c_mktsegment").alias("industry"),
-                F.when(balance < 5000, "SMB").when(balance < 8500, "Mid-Market").otherwise("Enterprise").alias("segment"),
-                F.when(balance < 5000, small).when(balance < 8500, "101-250").otherwise("1001-5000").alias("employee_band"),
+                "concat('acc_', c_custkey) AS account_id",
+                "c_name AS account_name",
+                "c_mktsegment AS industry",
+                "CASE WHEN c_acctbal < 5000 THEN 'SMB' WHEN c_acctbal < 8500 THEN 'Mid-Market' ELSE 'Enterprise' END AS segment",
+                "CASE WHEN c_acctbal < 2500 THEN '11-50' WHEN c_acctbal < 5000 THEN '51-100' "
+                "WHEN c_acctbal < 8500 THEN '101-250' ELSE '1001-5000' END AS employee_band",
                 "country",
-                F.date_add(F.lit(dt.date(2019, 1, 1)), _whole(c("c_custkey") * 37 % 600)).alias("created_at"),
-                F.concat(F.lit("owner_"), (c("c_custkey") % 23).cast("string")).alias("account_owner"),
+                f"date_add(DATE'2019-01-01', {_whole('c_custkey * 37 % 600')}) AS created_at",
+                "concat('owner_', c_custkey % 23) AS account_owner",
             )
         )
 
-    @cached_property
-    def _crm_contacts(self) -> DataFrame:
-        copies = F.sequence(F.lit(1), _whole(c("c_custkey") % 4))
-        none = F.array().cast("array<int>")
-        return (
-            self._crm_accounts.withColumn("i", F.explode(F.when(c("c_custkey") % 4 > 0, copies).otherwise(none)))
-            .select(
-                _id("con_", "c_custkey", "i").alias("contact_id"),
-                "account_id",
-                F.concat(F.lit("contact"), c("i"), F.lit("@"), c("c_custkey"), F.lit(".example")).alias("email"),
-                F.concat_ws(" ", c("account_name"), F.lit("contact"), c("i")).alias("full_name"),
-                _pick(CONTACT_ROLES, (c("c_custkey") + 5 * c("i")) % 6).alias("role"),
-                "created_at",
-            )
+    def crm_accounts(self) -> DataFrame:
+        return self._accounts
+
+    def crm_contacts(self) -> DataFrame:
+        copies = f"if(c_custkey % 4 = 0, array(), sequence(1, {_whole('c_custkey % 4')}))"
+        return self._accounts.selectExpr("*", f"explode({copies}) AS i").selectExpr(
+            "concat_ws('_', 'con', c_custkey, i) AS contact_id",
+            "account_id",
+            "concat('contact', i, '@', c_custkey, '.example') AS email",
+            "concat(account_name, ' contact ', i) AS full_name",
+            f"{_pick(CONTACT_ROLES, '(c_custkey + 5 * i) % 6')} AS role",
+            "created_at",
         )
 
     @cached_property
-    def _order_deals(self) -> DataFrame:
+    def _deals(self) -> DataFrame:
         """Deals with the order columns later steps need."""
-        order, cust = c("o_orderkey"), c("o_custkey")
-        group = cust % 10
-        never_won = _pick(OPEN_STAGES, order % 5)
-        late_win = (c("o_orderstatus") == "P") & (order % 4 == 0)
-        turn = order % 20
-        usual = (
-            F.when(turn < 9, "closed_won")
-            .when(turn < 11, "closed_lost")
-            .when(turn < 13, "prospecting")
-            .when(turn < 16, "qualified")
-            .when(turn < 18, "proposal")
-            .otherwise("negotiation")
-        )
-        stage = (
-            F.when(group <= 1, never_won)
-            .when(group == 2, F.when(late_win, "closed_won").otherwise(never_won))
-            .otherwise(usual)
-        )
-        amount = _div(_cents(c("o_totalprice")), 8)
-        opened = F.date_add(c("o_orderdate").cast("date"), DAYS_TO_PRESENT)
-        closed = F.date_add(opened, _whole(15 + order % 106))
-        return self.table("orders").select(
-            "o_orderkey",
-            "o_custkey",
-            "o_orderstatus",
-            _id("deal_", "o_orderkey").alias("deal_id"),
-            _id("acc_", "o_custkey").alias("account_id"),
-            F.concat(F.lit("Order "), order.cast("string")).alias("deal_name"),
-            F.lit("new_business").alias("pipeline"),
-            stage.alias("deal_stage"),
-            _from_cents(amount).alias("deal_amount_usd"),
-            _from_cents(_div(amount, 12)).alias("expected_mrr_usd"),
-            _pick(PLANS, order % 4).alias("plan"),
-            opened.alias("created_at"),
-            F.when(stage.startswith("closed"), closed).alias("close_date"),
+        return (
+            self.table("orders")
+            .selectExpr(
+                "*",
+                f"{_cents('o_totalprice')} div 8 AS cents",
+                f"date_add(CAST(o_orderdate AS DATE), {DAYS_TO_PRESENT}) AS created_at",
+                f"{_STAGE} AS deal_stage",
+            )
+            .selectExpr(
+                "o_orderkey",
+                "o_custkey",
+                "o_orderstatus",
+                "concat('deal_', o_orderkey) AS deal_id",
+                "concat('acc_', o_custkey) AS account_id",
+                "concat('Order ', o_orderkey) AS deal_name",
+                "'new_business' AS pipeline",
+                "deal_stage",
+                f"{_usd('cents')} AS deal_amount_usd",
+                f"{_usd('cents div 12')} AS expected_mrr_usd",
+                f"{_pick(PLANS, 'o_orderkey % 4')} AS plan",
+                "created_at",
+                f"if(startswith(deal_stage, 'closed'), date_add(created_at, {_whole('15 + o_orderkey % 106')}), NULL) AS close_date",
+            )
         )
 
-    @property
-    def _crm_deals(self) -> DataFrame:
-        return self._order_deals
+    def crm_deals(self) -> DataFrame:
+        return self._deals
 
     @cached_property
-    def _billing_subscriptions(self) -> DataFrame:
-        order, group = c("o_orderkey"), c("o_custkey") % 10
-        turn = _div(order, 20) % 20
-        leaning = (
-            F.when(group == 3, "canceled")
-            .when(group == 4, F.when(order % 3 != 0, "past_due").otherwise("canceled"))
-            .otherwise(F.when(turn < 16, "active").when(turn == 16, "past_due").otherwise("canceled"))
-        )
-        ends = F.date_add(c("start_date"), _whole(90 + order % 361))
-        ended = (c("leaning") == "canceled") & (ends < F.lit(AS_OF))
+    def _subscriptions(self) -> DataFrame:
+        ends = f"date_add(start_date, {_whole('90 + o_orderkey % 361')})"
         return (
-            self._order_deals.where((c("deal_stage") == "closed_won") & (c("o_orderstatus") != "P"))
-            .withColumns({"start_date": F.date_add("close_date", _whole(order % 11)), "leaning": leaning})
-            .where(c("start_date") <= F.lit(AS_OF))
-            .select(
+            self._deals.where("deal_stage = 'closed_won' AND o_orderstatus <> 'P'")
+            .selectExpr("*", f"date_add(close_date, {_whole('o_orderkey % 11')}) AS start_date", f"{_LEANING} AS leaning")
+            .where(f"start_date <= {AS_OF}")
+            .selectExpr("*", f"if(leaning = 'canceled' AND {ends} < {AS_OF}, {ends}, NULL) AS canceled_at")
+            .selectExpr(
                 "o_orderkey",
                 "o_custkey",
-                _id("sub_", "o_orderkey").alias("subscription_id"),
-                _id("cus_", "o_custkey").alias("billing_customer_id"),
+                "concat('sub_', o_orderkey) AS subscription_id",
+                "concat('cus_', o_custkey) AS billing_customer_id",
                 "account_id",
                 "plan",
-                F.when(ended, "canceled")
-                .when(c("leaning") == "past_due", "past_due")
-                .otherwise("active")
-                .alias("status"),
-                F.when(_div(order, 7) % 10 < 7, "monthly").otherwise("annual").alias("billing_cycle"),
-                c("expected_mrr_usd").alias("mrr_usd"),
-                (c("expected_mrr_usd") * 12).cast("decimal(18,2)").alias("arr_usd"),
+                "CASE WHEN canceled_at IS NOT NULL THEN 'canceled' WHEN leaning = 'past_due' THEN 'past_due' "
+                "ELSE 'active' END AS status",
+                "if(o_orderkey div 7 % 10 < 7, 'monthly', 'annual') AS billing_cycle",
+                "expected_mrr_usd AS mrr_usd",
+                "CAST(expected_mrr_usd * 12 AS DECIMAL(18,2)) AS arr_usd",
                 "start_date",
-                F.when(ended, ends).alias("canceled_at"),
+                "canceled_at",
             )
         )
 
-    @cached_property
-    def _billing_customers(self) -> DataFrame:
-        first = self._billing_subscriptions.groupBy("account_id", "billing_customer_id").agg(
-            F.min("start_date").alias("created_at")
+    def billing_subscriptions(self) -> DataFrame:
+        return self._subscriptions
+
+    def billing_customers(self) -> DataFrame:
+        first = self._subscriptions.groupBy("account_id", "billing_customer_id").agg(
+            F.expr("min(start_date) AS created_at")
         )
-        about = self._crm_accounts.select("account_id", c("account_name").alias("customer_name"), "country")
+        about = self._accounts.selectExpr("account_id", "account_name AS customer_name", "country")
         return first.join(about, "account_id")
 
     @cached_property
@@ -194,83 +204,64 @@ class BoundTables:
             self.table("lineitem")
             .groupBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
             .agg(
-                F.sum(_cents(c("l_extendedprice"))).alias("cents"),
-                F.min("l_returnflag").alias("returnflag"),
-                F.min("l_linestatus").alias("linestatus"),
-                F.min(_whole(F.round(c("l_discount") * 100))).alias("discount"),
+                F.expr(f"sum({_cents('l_extendedprice')}) AS cents"),
+                F.expr("bool_and(l_returnflag = 'R') AS returned"),
+                F.expr("bool_or(l_returnflag = 'A') AS accepted"),
+                F.expr("bool_and(l_linestatus = 'O') AS ongoing"),
+                F.expr(f"min({_whole('round(l_discount * 100)')}) AS discount"),
             )
         )
 
-    @property
+    @cached_property
     def _subscribed(self) -> DataFrame:
-        return self._billing_subscriptions.select(
-            c("o_orderkey").alias("l_orderkey"),
+        return self._subscriptions.selectExpr(
+            "o_orderkey AS l_orderkey",
             "o_custkey",
             "subscription_id",
             "billing_customer_id",
             "account_id",
-            c("status").alias("sub_status"),
+            "status AS sub_status",
             "start_date",
         )
 
-    @staticmethod
-    def _invoice_day() -> Column:
-        return F.date_add("start_date", _whole(30 * c("l_linenumber")))
-
-    @staticmethod
-    def _unpaid() -> Column:
-        returned = c("returnflag") == "R"
-        disputed = (c("linestatus") == "O") & (c("discount") == 9)
-        return returned & ((c("sub_status") == "past_due") | disputed)
-
     @cached_property
-    def _billing_invoices(self) -> DataFrame:
-        returned = c("returnflag") == "R"
-        disputed = returned & (c("linestatus") == "O") & (c("discount") == 9)
+    def _subscribed_lines(self) -> DataFrame:
+        return self._lines.join(self._subscribed, "l_orderkey")
+
+    def billing_invoices(self) -> DataFrame:
         per_invoice = self._lines.groupBy("l_orderkey", "l_linenumber").agg(
-            F.sum("cents").alias("cents"),
-            F.bool_or(returned).alias("any_returned"),
-            F.bool_or(disputed).alias("any_disputed"),
+            F.expr("sum(cents) AS cents"),
+            F.expr("bool_or(returned) AS returned"),
+            F.expr(f"bool_or({_DISPUTED}) AS disputed"),
         )
-        unpaid = c("any_disputed") | (c("any_returned") & (c("sub_status") == "past_due"))
-        return per_invoice.join(self._subscribed, "l_orderkey").select(
-            _id("inv_", "l_orderkey", "l_linenumber").alias("invoice_id"),
+        unpaid = "disputed OR (returned AND sub_status = 'past_due')"
+        return per_invoice.join(self._subscribed, "l_orderkey").selectExpr(
+            f"{_INVOICE_ID} AS invoice_id",
             "subscription_id",
             "billing_customer_id",
             "account_id",
-            self._invoice_day().alias("invoice_date"),
-            F.date_add(self._invoice_day(), 15).alias("due_date"),
-            _from_cents(c("cents")).alias("amount_due_usd"),
-            F.when(unpaid, "open").otherwise("paid").alias("status"),
+            f"{_INVOICE_DAY} AS invoice_date",
+            f"date_add({_INVOICE_DAY}, 15) AS due_date",
+            f"{_usd('cents')} AS amount_due_usd",
+            f"if({unpaid}, 'open', 'paid') AS status",
         )
 
-    @cached_property
-    def _subscribed_lines(self) -> DataFrame:
-        return self._lines.join(self._subscribed, "l_orderkey")
-
-    @cached_property
-    def _billing_payments(self) -> DataFrame:
-        part_paid = (c("returnflag") == "A") & (c("linestatus") == "O") & (c("discount") == 8)
-        cents = F.when(part_paid, _div(c("cents"), 2)).otherwise(c("cents"))
-        return self._subscribed_lines.where(~self._unpaid()).select(
-            _id("pay_", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("payment_id"),
-            _id("inv_", "l_orderkey", "l_linenumber").alias("invoice_id"),
+    def billing_payments(self) -> DataFrame:
+        unpaid = f"({_DISPUTED} OR (returned AND sub_status = 'past_due'))"
+        part_paid = "accepted AND ongoing AND discount = 8"
+        return self._subscribed_lines.where(f"NOT {unpaid}").selectExpr(
+            f"{_line_id('pay')} AS payment_id",
+            f"{_INVOICE_ID} AS invoice_id",
             "billing_customer_id",
             "account_id",
-            F.date_add(self._invoice_day(), _whole(10 + c("l_partkey") % 16)).alias("payment_date"),
-            _from_cents(cents).alias("amount_paid_usd"),
-            _pick(PAYMENT_METHODS, c("l_suppkey") % 3).alias("payment_method"),
+            f"date_add({_INVOICE_DAY}, {_whole('10 + l_partkey % 16')}) AS payment_date",
+            f"{_usd(f'if({part_paid}, cents div 2, cents)')} AS amount_paid_usd",
+            f"{_pick(PAYMENT_METHODS, 'l_suppkey % 3')} AS payment_method",
         )
 
-    @cached_property
-    def _product_events(self) -> DataFrame:
-        pace = _div(c("o_custkey"), 10) % 10
-        copies = F.when(pace < 4, 60).when(pace < 7, 18).when(pace < 9, 3)
-        none = F.array().cast("array<int>")
-        spread = F.coalesce(F.sequence(F.lit(1), copies), none)
-        part, supp, line, i = c("l_partkey"), c("l_suppkey"), c("l_linenumber"), c("i")
-        day = F.date_sub(F.lit(dt.date(2026, 1, 3)), _whole((7 * part + 13 * i + line) % 120))
-        kind = (part + i * (1 + c("o_custkey") % 3)) % (1 + c("o_custkey") % 6)
+    def product_events(self) -> DataFrame:
+        pace = "o_custkey div 10 % 10"
+        copies = f"CASE WHEN {pace} < 4 THEN 60 WHEN {pace} < 7 THEN 18 WHEN {pace} < 9 THEN 3 END"
         kinds = (
             "login",
             "dashboard_viewed",
@@ -279,41 +270,46 @@ class BoundTables:
             "integration_connected",
             "export_downloaded",
         )
-        return self._subscribed_lines.withColumn("i", F.explode(spread)).select(
-            _id("evt_", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "i").alias("event_id"),
+        turn = "(l_partkey + i * (1 + o_custkey % 3)) % (1 + o_custkey % 6)"
+        day = f"date_sub(DATE'2026-01-03', {_whole('(7 * l_partkey + 13 * i + l_linenumber) % 120')})"
+        hours = f"make_dt_interval(0, {_whole('(l_partkey + i) % 24')})"
+        return self._subscribed_lines.selectExpr("*", f"explode(sequence(1, {copies})) AS i").selectExpr(
+            f"{_line_id('evt', 'i')} AS event_id",
             "account_id",
             "subscription_id",
-            F.concat(F.lit("user_"), ((31 * supp + 7 * i + part) % 97).cast("string")).alias("user_id"),
-            _pick(kinds, kind).alias("event_type"),
-            _noon_offset(day, (part + i) % 24).alias("occurred_at"),
+            "concat('user_', (31 * l_suppkey + 7 * i + l_partkey) % 97) AS user_id",
+            f"{_pick(kinds, turn)} AS event_type",
+            f"CAST({day} AS TIMESTAMP_NTZ) + {hours} AS occurred_at",
         )
 
-    @cached_property
-    def _support_tickets(self) -> DataFrame:
-        part, supp, line = c("l_partkey"), c("l_suppkey"), c("l_linenumber")
-        day = F.date_add(F.lit(dt.date(2025, 1, 1)), _whole((17 * part + 5 * line) % 380))
-        turn = (3 * part + 7 * line) % 20
-        weight = (11 * part + supp + line) % 20
-        status = F.when(turn < 2, "open").when(turn < 4, "pending").when(turn < 15, "resolved").otherwise("closed")
-        severity = F.when(weight < 9, "low").when(weight < 16, "medium").when(weight < 19, "high").otherwise("critical")
-        undated = part % 50 == 7
-        took = F.make_dt_interval(days=_whole(1 + part % 20), hours=_whole(part % 24))
-        created = _noon_offset(day, supp % 24)
-        return self._subscribed_lines.where(c("returnflag") == "R").select(
-            _id("tck_", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("ticket_id"),
-            "account_id",
-            "subscription_id",
-            created.alias("created_at"),
-            F.when((turn >= 4) & ~undated, created + took).alias("resolved_at"),
-            status.alias("status"),
-            severity.alias("severity"),
-            _pick(TICKET_CATEGORIES, supp % 6).alias("category"),
+    def support_tickets(self) -> DataFrame:
+        day = f"date_add(DATE'2025-01-01', {_whole('(17 * l_partkey + 5 * l_linenumber) % 380')})"
+        took = f"make_dt_interval({_whole('1 + l_partkey % 20')}, {_whole('l_partkey % 24')})"
+        return (
+            self._subscribed_lines.where("returned")
+            .selectExpr(
+                "*",
+                f"CAST({day} AS TIMESTAMP_NTZ) + make_dt_interval(0, {_whole('l_suppkey % 24')}) AS created_at",
+                "(3 * l_partkey + 7 * l_linenumber) % 20 AS turn",
+                "(11 * l_partkey + l_suppkey + l_linenumber) % 20 AS weight",
+            )
+            .selectExpr(
+                f"{_line_id('tck')} AS ticket_id",
+                "account_id",
+                "subscription_id",
+                "created_at",
+                f"if(turn >= 4 AND l_partkey % 50 <> 7, created_at + {took}, NULL) AS resolved_at",
+                "CASE WHEN turn < 2 THEN 'open' WHEN turn < 4 THEN 'pending' WHEN turn < 15 THEN 'resolved' "
+                "ELSE 'closed' END AS status",
+                "CASE WHEN weight < 9 THEN 'low' WHEN weight < 16 THEN 'medium' WHEN weight < 19 THEN 'high' "
+                "ELSE 'critical' END AS severity",
+                f"{_pick(TICKET_CATEGORIES, 'l_suppkey % 6')} AS category",
+            )
         )
 
 
-def bind(spark: SparkSession, folder: str) -> Sources:
-    tables = BoundTables(spark, folder)
-    return Sources({name: tables.entity(name) for name in ENTITIES})
+def bind(spark: SparkSession, folder: str) -> BoundTables:
+    return BoundTables(spark, folder)
 
 
 def run_log(spark: SparkSession, folder: str, run_name: str = "account_warehouse") -> DataFrame:
@@ -324,41 +320,38 @@ def run_log(spark: SparkSession, folder: str, run_name: str = "account_warehouse
     stages = (
         BoundTables(spark, folder)
         .table("events")
-        .select(
-            F.concat(F.lit("run_"), _div(c("event_id"), 5).cast("string")).alias("run_id"),
-            F.lit(run_name).alias("pipeline_name"),
-            c("event_type").alias("stage_name"),
-            c("ts").alias("started_at"),
-            F.timestamp_add("MICROSECOND", F.round(c("value") * 100).cast("bigint") * 10_000, c("ts")).alias("ends_at"),
-            ((c("event_type") == "view") & (c("value") < 5)).alias("is_open"),
-            (c("event_type") == "error").alias("is_failed"),
+        .selectExpr(
+            "concat('run_', event_id div 5) AS run_id",
+            f"'{run_name}' AS pipeline_name",
+            "event_type AS stage_name",
+            "ts AS started_at",
+            "timestampadd(MICROSECOND, CAST(round(value * 100) AS BIGINT) * 10000, ts) AS ends_at",
+            "event_type = 'view' AND value < 5 AS is_open",
+            "event_type = 'error' AS is_failed",
         )
     )
     runs = (
         stages.groupBy("run_id", "pipeline_name")
         .agg(
-            F.min("started_at").alias("started_at"),
-            F.max("ends_at").alias("ends_at"),
-            F.bool_or("is_open").alias("is_open"),
-            F.bool_or("is_failed").alias("is_failed"),
+            F.expr("min(started_at) AS started_at"),
+            F.expr("max(ends_at) AS ends_at"),
+            F.expr("bool_or(is_open) AS is_open"),
+            F.expr("bool_or(is_failed) AS is_failed"),
         )
-        .withColumn("stage_name", F.lit(None).cast("string"))
+        .selectExpr("*", "CAST(NULL AS STRING) AS stage_name")
     )
 
     def rows(df, reason):
-        ended = df.where(~c("is_open"))
-        start = df.withColumns(
-            {"finished_at": F.lit(None).cast("timestamp_ntz"), "status": F.lit("running"), "error_message": F.lit("")}
+        what = ("run_id", "pipeline_name", "stage_name", "started_at")
+        start = df.selectExpr(
+            *what, "CAST(NULL AS TIMESTAMP_NTZ) AS finished_at", "'running' AS status", "'' AS error_message"
         )
-        end = ended.withColumns(
-            {
-                "finished_at": c("ends_at"),
-                "status": F.when(c("is_failed"), "failed").otherwise("success"),
-                "error_message": F.when(c("is_failed"), reason).otherwise(F.lit("")),
-            }
+        end = df.where("NOT is_open").selectExpr(
+            *what,
+            "ends_at AS finished_at",
+            "if(is_failed, 'failed', 'success') AS status",
+            f"if(is_failed, {reason}, '') AS error_message",
         )
-        columns = ("run_id", "pipeline_name", "stage_name", "started_at", "finished_at", "status", "error_message")
-        return start.select(*columns).unionByName(end.select(*columns))
+        return start.unionByName(end)
 
-    stage_rows = rows(stages, F.concat(F.lit("exit code of "), c("stage_name")))
-    return stage_rows.unionByName(rows(runs, F.lit("Stage failed: error")))
+    return rows(stages, "concat('exit code of ', stage_name)").unionByName(rows(runs, "'Stage failed: error'"))
