@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -14,20 +15,27 @@ from pyspark.sql import functions as F
 from revpulse.operators import monitoring, raw_checks
 from revpulse.params import Params, Policy
 from revpulse.plans.contracts import run_contracts
-from revpulse.plans.relations import RELATIONS, Warehouse, in_layer
+from revpulse.plans.relations import RELATIONS, Warehouse
 from revpulse.sources import Sources
 from revpulse.sources.files import check_sources, read_folder
+from revpulse.sources.manifest import Manifest
 from revpulse.sources.snapshot import open_snapshot, publish_snapshot
 
 RUN_NAME = "account_warehouse"
-# Read by several later relations, so written once: everything from here on is account grain or smaller.
-SHARED = (
-    "int_revenue__invoice_payment_summary",
-    "int_revenue__subscriptions_enriched",
-    "int_customer__account_base",
-    "int_product__account_usage",
-    "int_support__account_ticket_summary",
-    "int_customer__health_signals",
+# Relations worth writing because several later ones read them, in dependency order.
+# Those of one step do not read each other and are written side by side.
+STEPS = (
+    (
+        "int_revenue__invoice_payment_summary",
+        "int_customer__account_base",
+        "int_product__account_usage",
+        "int_support__account_ticket_summary",
+    ),
+    ("int_revenue__subscriptions_enriched",),
+    ("int_customer__health_signals",),
+    ("mart_customer_health",),
+    ("mart_account_360",),
+    ("mart_churn_risk", "mart_revenue_retention", "mart_product_adoption", "mart_support_operations"),
 )
 
 
@@ -84,17 +92,32 @@ def row_counts(w: Warehouse, run_id: str | None, observed_at: dt.datetime) -> Da
     return monitoring.table_row_counts(w, layers, run_id, RUN_NAME, observed_at)
 
 
-def store_relation(w: Warehouse, spark: SparkSession, name: str, path: str) -> None:
-    """Write a relation and let everything downstream read the written copy."""
-    df = w[name]
-    df.write.mode("overwrite").parquet(path)
-    w.store(name, spark.read.schema(df.schema).parquet(path))
+def derive(w: Warehouse, spark: SparkSession, root: str) -> dict[str, str]:
+    """Write every step's relations to new folders; later relations read the written copies."""
+    version, paths = uuid.uuid4().hex, {}
 
+    def write(name: str, df: DataFrame) -> tuple[str, DataFrame]:
+        path = f"{root}/{RELATIONS[name].layer}/{name}/v={version}"
+        df.write.parquet(path)
+        paths[name] = path
+        return name, spark.read.schema(df.schema).parquet(path)
 
-def derive(w: Warehouse, spark: SparkSession, root: str) -> Warehouse:
-    """Write the shared intermediate relations and the marts, in dependency order."""
-    for name in (*SHARED, *in_layer("marts")):
-        store_relation(w, spark, name, f"{root}/{RELATIONS[name].layer}/{name}")
+    for step in STEPS:
+        frames = [(name, w[name]) for name in step]
+        with ThreadPoolExecutor(len(step)) as pool:
+            for name, stored in pool.map(lambda f: write(*f), frames):
+                w.store(name, stored)
+    return paths
+
+
+def open_warehouse(
+    spark: SparkSession, root: str, params: Params = Params(), policy: Policy = Policy()
+) -> Warehouse:
+    """The relations of the last run that passed its checks."""
+    root = root.rstrip("/")
+    w = Warehouse(open_snapshot(spark, f"{root}/raw"), params, policy)
+    for name, path in Manifest(spark, root).read().get("relations", {}).items():
+        w.store(name, spark.read.parquet(path))
     return w
 
 
@@ -131,12 +154,14 @@ def build_warehouse(
             report.coalesce(1).write.parquet(path)
             _demand(spark.read.schema(report.schema).parquet(path), "source")
         with log.stage("derive"):
-            w = derive(Warehouse(tables, params, policy), spark, root)
+            w = Warehouse(tables, params, policy)
+            relations = derive(w, spark, root)
         with log.stage("check"):
             report = run_contracts(w)
             path = f"{history}/contract_results/run={run_id}"
             report.coalesce(1).write.parquet(path)
             _demand(spark.read.schema(report.schema).parquet(path), "warehouse")
+            Manifest(spark, root).commit({"run_id": run_id, "relations": relations})
         with log.stage("count"):
             counts = row_counts(w, run_id, _now())
             counts.coalesce(1).write.mode("append").parquet(f"{history}/table_row_count_audit")

@@ -48,8 +48,9 @@ def _loaded(application: str, spark: SparkSession, folder: str) -> Warehouse:
 @lru_cache(maxsize=4)
 def _derived(application: str, spark: SparkSession, folder: str) -> Warehouse:
     root = fresh_folder(spark, "warehouse")
-    loaded = _loaded(application, spark, folder)
-    return derive(Warehouse(loaded.sources, loaded.params), spark, root)
+    w = Warehouse(_loaded(application, spark, folder).sources, Params())
+    derive(w, spark, root)
+    return w
 
 
 def loaded(spark: SparkSession, folder: str) -> Warehouse:

@@ -1,16 +1,13 @@
 """All-or-nothing publishing of a full source snapshot.
 
 A load writes every entity and its audit rows to new folders and only then
-replaces one manifest file by rename. Readers resolve folders through the
-manifest, so they see either the whole old load or the whole new one. The rename
-must be atomic, which holds for HDFS and local file systems; on an object store
-keep the manifest where rename is atomic.
+commits one manifest. Readers resolve folders through the manifest, so they see
+either the whole old load or the whole new one.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import json
 import uuid
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
@@ -21,54 +18,13 @@ from pyspark.sql import functions as F
 from revpulse.operators.contracts import union_all
 from revpulse.schemas import ENTITIES
 from revpulse.sources import Sources
+from revpulse.sources.manifest import Manifest
 
-MANIFEST = "_manifest.json"
 AUDIT_SCHEMA = "table_schema string, table_name string, row_count bigint, loaded_at timestamp_ntz"
 # Rows of a file are kept in this order so a date filter skips row groups.
 CLUSTERED_BY = {"product_events": "occurred_at", "support_tickets": "created_at", "billing_payments": "payment_date"}
 
 
-class _Files:
-    """The few file-system calls a manifest swap needs, through Hadoop."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self._fs = spark._jvm.org.apache.hadoop.fs
-        self._jvm, self._gateway = spark._jvm, spark.sparkContext._gateway
-        conf = spark._jsparkSession.sessionState().newHadoopConf()
-        self._files = self.path(root).getFileSystem(conf)
-        self._context = self._fs.FileContext.getFileContext(self._files.getUri(), conf)
-
-    def path(self, text: str):
-        return self._fs.Path(text)
-
-    def exists(self, text: str) -> bool:
-        return self._files.exists(self.path(text))
-
-    def read(self, text: str) -> str:
-        stream = self._files.open(self.path(text))
-        try:
-            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-
-    def replace(self, text: str, content: str) -> None:
-        draft = f"{text}.{uuid.uuid4().hex}"
-        stream = self._files.create(self.path(draft), False)
-        try:
-            stream.write(bytearray(content, "utf-8"))
-        finally:
-            stream.close()
-        rename = self._fs.Options.Rename
-        overwrite = self._gateway.new_array(rename, 1)
-        overwrite[0] = rename.OVERWRITE
-        self._context.rename(self.path(draft), self.path(text), overwrite)
-
-
-def _manifest(files: _Files, root: str) -> dict:
-    path = f"{root}/{MANIFEST}"
-    return json.loads(files.read(path)) if files.exists(path) else {"entities": {}, "audits": []}
-
-
 def load_audit(spark: SparkSession, counts: Mapping[str, int], loaded_at: dt.datetime) -> DataFrame:
     rows = [("raw", name, n, loaded_at) for name, n in counts.items()]
     return spark.createDataFrame(rows, AUDIT_SCHEMA)
@@ -95,7 +51,6 @@ def publish_snapshot(
     if unknown:
         raise ValueError(f"unknown source entities: {', '.join(unknown)}")
     root, version = root.rstrip("/"), uuid.uuid4().hex
-    files = _Files(spark, root)
 
     def write(name: str) -> tuple[str, str, int]:
         path = f"{root}/{name}/v={version}"
@@ -110,23 +65,21 @@ def publish_snapshot(
     audit = f"{root}/load_audit/v={version}"
     load_audit(spark, {name: n for name, _, n in written}, loaded_at).coalesce(1).write.parquet(audit)
 
-    manifest = _manifest(files, root)
-    manifest["entities"].update({name: path for name, path, _ in written})
-    manifest["audits"].append(audit)
-    files.replace(f"{root}/{MANIFEST}", json.dumps(manifest, indent=1))
+    manifest = Manifest(spark, root)
+    was = manifest.read()
+    entities = {**was.get("entities", {}), **{name: path for name, path, _ in written}}
+    manifest.commit({"entities": entities, "audits": [*was.get("audits", []), audit]})
     return open_snapshot(spark, root)
 
 
 def open_snapshot(spark: SparkSession, root: str) -> Sources:
     """The entities of the load the manifest currently names."""
-    root = root.rstrip("/")
-    entities = _manifest(_Files(spark, root), root)["entities"]
+    entities = Manifest(spark, root).read().get("entities", {})
     return Sources({name: spark.read.schema(ENTITIES[name].schema).parquet(path) for name, path in entities.items()})
 
 
 def read_load_audit(spark: SparkSession, root: str) -> DataFrame:
-    root = root.rstrip("/")
-    audits = _manifest(_Files(spark, root), root)["audits"]
+    audits = Manifest(spark, root).read().get("audits", [])
     if not audits:
         return spark.createDataFrame([], AUDIT_SCHEMA)
     return spark.read.schema(AUDIT_SCHEMA).parquet(*audits)
