@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revpulse.functions import policy as P
-from revpulse.functions.numeric import count_where, or_zero
+from revpulse.functions.numeric import count_where
 from revpulse.params import Params, Policy
 from revpulse.schemas import EVENT_TYPES
 
@@ -43,50 +43,66 @@ def _day_words(params: Params) -> dict[str, Column]:
     return words
 
 
-def unlisted_features(events: DataFrame, params: Params = Params()) -> DataFrame:
-    """Distinct event types per account beyond the listed ones.
+def usage_facts(events: DataFrame, params: Params = Params()) -> DataFrame:
+    """Window events folded to one row per account and member.
 
-    Well-formed data has none, and a scan can tell from a column's dictionary that a
-    block holds only listed types, so this pass reads next to nothing.
-    """
-    return (
-        events_in_window(events, params)
-        .where(~F.col("event_type").isin(*EVENT_TYPES))
-        .groupBy("account_id")
-        .agg(F.countDistinct("event_type").alias("unlisted_count"))
-    )
-
-
-def usage_by_account(events: DataFrame, params: Params = Params()) -> DataFrame:
-    """One row per account with events in the window.
-
-    Days are a bitmap and listed types are counters, which leaves the users as the
-    only distinct set: rows shuffle once, by account and user, already folded on the
-    map side, and a busy account is spread over its users.
+    A member is a user (slot 0) or, for an event of a type that has no counter of its
+    own, that type (slot 1); counting members gives both distinct counts exactly.
+    Days are a bitmap and listed types are counters, so every measure folds on the
+    map side, the rows shuffle once, and a busy account is spread over its users.
     """
     words = _day_words(params)
-    days = [F.bit_count(F.bit_or(w)).cast("bigint") for w in words]
-    active_days = sum(days[1:], days[0])
     kind = F.col("event_type")
-    used = [F.when(F.col(name) > 0, 1).otherwise(0) for name in TYPE_COUNTS.values()]
-    adopted = sum(used[1:], used[0]) + or_zero(F.col("unlisted_count"))
-    counted = (
+    listed = F.coalesce(kind.isin(*EVENT_TYPES), F.lit(True))
+    slots = F.when(listed, F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))
+    return (
         events_in_window(events, params)
-        .select("account_id", "user_id", "event_type", "event_date", *(v.alias(k) for k, v in words.items()))
-        .groupBy("account_id")
+        .select(
+            "account_id",
+            "user_id",
+            "event_type",
+            "event_date",
+            *(v.alias(k) for k, v in words.items()),
+            F.explode(slots).alias("slot"),
+        )
+        .groupBy("account_id", "slot", F.when(F.col("slot") == 0, F.col("user_id")).otherwise(kind).alias("member"))
         .agg(
             F.count(F.lit(1)).alias("total_events"),
-            F.countDistinct("user_id").alias("active_users"),
-            active_days.alias("active_days"),
             F.min("event_date").alias("first_event_date"),
             F.max("event_date").alias("latest_event_date"),
+            *(F.bit_or(w).alias(w) for w in words),
             *(count_where(kind == k).alias(name) for k, name in TYPE_COUNTS.items()),
         )
     )
+
+
+def usage_by_account(events: DataFrame, params: Params = Params()) -> DataFrame:
+    """One row per account with events in the window."""
+    by_user = F.col("slot") == 0
+    days = [F.bit_count(F.bit_or(w)).cast("bigint") for w in _day_words(params)]
+    counters = ("total_events", *TYPE_COUNTS.values())
+    used = [F.when(F.col(name) > 0, 1).otherwise(0) for name in TYPE_COUNTS.values()]
     return (
-        counted.join(unlisted_features(events, params), "account_id", "left")
-        .withColumn("adopted_feature_count", adopted)
-        .drop("unlisted_count")
+        usage_facts(events, params)
+        .groupBy("account_id")
+        .agg(
+            *(F.sum(F.when(by_user, F.col(n)).otherwise(0)).alias(n) for n in counters),
+            count_where(by_user & F.col("member").isNotNull()).alias("active_users"),
+            sum(days[1:], days[0]).alias("active_days"),
+            F.min("first_event_date").alias("first_event_date"),
+            F.max("latest_event_date").alias("latest_event_date"),
+            count_where(~by_user).alias("other_features"),
+        )
+        .select(
+            "account_id",
+            "total_events",
+            "active_users",
+            "active_days",
+            "first_event_date",
+            "latest_event_date",
+            *TYPE_COUNTS.values(),
+            (sum(used[1:], used[0]) + F.col("other_features")).alias("adopted_feature_count"),
+        )
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,67 +11,64 @@ from revpulse.params import Params
 from revpulse.schemas import ENTITIES
 
 
-def _typed(df: DataFrame, name: str, dtype: T.DataType, alias: str | None = None) -> Column | str:
-    """A source column as its declared type; in text sources an empty string means no value.
+def _typed(df: DataFrame, name: str, dtype: T.DataType, alias: str) -> str:
+    """Expression for a source column as its declared type; empty text means no value.
 
     A column that already has the type passes through as it is, so a filter on it
     still reaches the scan.
     """
     found = df.schema[name].dataType
     if found == dtype:
-        return name if alias is None else F.col(name).alias(alias)
-    col = F.nullif(F.col(name), F.lit("")) if isinstance(found, T.StringType) else F.col(name)
-    return col.cast(dtype).alias(alias or name)
+        return f"{name} AS {alias}"
+    source = f"nullif({name}, '')" if isinstance(found, T.StringType) else name
+    return f"CAST({source} AS {dtype.simpleString()}) AS {alias}"
 
 
-def _entity_columns(df: DataFrame, entity: str, **renamed: str) -> list[Column | str]:
-    return [_typed(df, name, dtype, renamed.get(name)) for name, dtype in ENTITIES[entity].columns.items()]
-
-
-def _status_is(*labels: str, column: str = "status") -> Column:
-    return flag(F.col(column).isin(*labels))
+def _typed_entity(df: DataFrame, entity: str, **renamed: str) -> DataFrame:
+    columns = ENTITIES[entity].columns
+    if not renamed and [(f.name, f.dataType) for f in df.schema] == list(columns.items()):
+        return df
+    return df.selectExpr(*(_typed(df, name, dtype, renamed.get(name, name)) for name, dtype in columns.items()))
 
 
 def stg_accounts(raw: DataFrame) -> DataFrame:
-    return raw.select(*_entity_columns(raw, "crm_accounts"))
+    return _typed_entity(raw, "crm_accounts")
 
 
 def stg_contacts(raw: DataFrame) -> DataFrame:
-    return raw.select(*_entity_columns(raw, "crm_contacts", role="contact_role"))
+    return _typed_entity(raw, "crm_contacts", role="contact_role")
 
 
 def stg_deals(raw: DataFrame) -> DataFrame:
-    return raw.select(*_entity_columns(raw, "crm_deals"))
+    return _typed_entity(raw, "crm_deals")
 
 
 def stg_billing_customers(raw: DataFrame) -> DataFrame:
-    return raw.select(*_entity_columns(raw, "billing_customers"))
+    return _typed_entity(raw, "billing_customers")
+
+
+def _flagged(df: DataFrame, column: str, **flags: str) -> DataFrame:
+    """Add a boolean per label; an unknown or missing label leaves all of them false."""
+    return df.withColumns({name: flag(F.col(column) == label) for name, label in flags.items()})
 
 
 def stg_subscriptions(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        *_entity_columns(raw, "billing_subscriptions", status="subscription_status"),
-        _status_is("active").alias("is_active"),
-        _status_is("canceled").alias("is_canceled"),
-        _status_is("past_due").alias("is_past_due"),
-    )
+    typed = _typed_entity(raw, "billing_subscriptions", status="subscription_status")
+    return _flagged(typed, "subscription_status", is_active="active", is_canceled="canceled", is_past_due="past_due")
 
 
 def stg_invoices(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        *_entity_columns(raw, "billing_invoices", status="invoice_status"),
-        _status_is("paid").alias("is_paid"),
-        _status_is("open").alias("is_open"),
-    )
+    typed = _typed_entity(raw, "billing_invoices", status="invoice_status")
+    return _flagged(typed, "invoice_status", is_paid="paid", is_open="open")
 
 
 def stg_payments(raw: DataFrame) -> DataFrame:
-    return raw.select(*_entity_columns(raw, "billing_payments"))
+    return _typed_entity(raw, "billing_payments")
 
 
 def stg_events(raw: DataFrame) -> DataFrame:
-    typed = raw.select(*_entity_columns(raw, "product_events"))
-    return typed.select("*", F.col("occurred_at").cast("date").alias("event_date"))
+    typed = _typed_entity(raw, "product_events")
+    return typed.withColumn("event_date", F.col("occurred_at").cast("date"))
 
 
 def stg_tickets(raw: DataFrame, params: Params = Params()) -> DataFrame:
@@ -81,7 +78,7 @@ def stg_tickets(raw: DataFrame, params: Params = Params()) -> DataFrame:
     resolved, and ``resolution_days`` looks past the observation date.
     """
     as_of = F.lit(params.as_of_date)
-    typed = raw.select(*_entity_columns(raw, "support_tickets", status="ticket_status"))
+    typed = _typed_entity(raw, "support_tickets", status="ticket_status")
     created, resolved = F.col("created_at"), F.col("resolved_at")
     return typed.select(
         "ticket_id",
@@ -101,6 +98,6 @@ def stg_tickets(raw: DataFrame, params: Params = Params()) -> DataFrame:
             (created.cast("date") <= as_of)
             & (F.col("ticket_status").isin("open", "pending") | flag(resolved.cast("date") > as_of))
         ).alias("is_open"),
-        _status_is("high", "critical", column="severity").alias("is_high_priority"),
+        flag(F.col("severity").isin("high", "critical")).alias("is_high_priority"),
         F.extract(F.lit("DAY"), resolved - created).cast("int").alias("resolution_days"),
     )

@@ -34,7 +34,7 @@ BASE_SCHEMAS = {
 
 def _pick(labels, index: str) -> str:
     listed = ", ".join(f"'{x}'" for x in labels)
-    return f"element_at(array({listed}), CAST(1 + {index} AS INT))"
+    return f"elt(CAST(1 + {index} AS INT), {listed})"
 
 
 def _whole(expr: str) -> str:
@@ -49,13 +49,14 @@ def _usd(cents: str) -> str:
     return f"CAST(CAST({cents} AS DECIMAL(18,0)) / 100 AS DECIMAL(18,2))"
 
 
-def _line_id(prefix: str, *more: str) -> str:
-    return f"concat_ws('_', '{prefix}', l_orderkey, l_linenumber, l_partkey, l_suppkey{''.join(', ' + m for m in more)})"
-
-
 _INVOICE_ID = "concat_ws('_', 'inv', l_orderkey, l_linenumber)"
 _INVOICE_DAY = "date_add(start_date, 30 * l_linenumber)"
-_DISPUTED = "(returned AND ongoing AND discount = 9)"
+_UNPAID = "(returned AND (past_due OR (ongoing AND discount = 9)))"
+_OWNERS = (
+    "concat('sub_', l_orderkey) AS subscription_id",
+    "concat('cus_', o_custkey) AS billing_customer_id",
+    "concat('acc_', o_custkey) AS account_id",
+)
 _NEVER_WON = _pick(("prospecting", "qualified", "proposal", "negotiation", "closed_lost"), "o_orderkey % 5")
 _STAGE = f"""CASE
     WHEN o_custkey % 10 = 2 AND o_orderstatus = 'P' AND o_orderkey % 4 = 0 THEN 'closed_won'
@@ -85,7 +86,7 @@ class BoundTables(Mapping):
         if name not in self._entities:
             if name not in ENTITIES:
                 raise KeyError(name)
-            self._entities[name] = getattr(self, name)().select(*ENTITIES[name].columns)
+            self._entities[name] = getattr(self, name)().selectExpr(*ENTITIES[name].columns)
         return self._entities[name]
 
     def __iter__(self) -> Iterator[str]:
@@ -198,13 +199,26 @@ class BoundTables(Mapping):
         return first.join(about, "account_id")
 
     @cached_property
-    def _lines(self) -> DataFrame:
-        """Order lines with their duplicates folded before any join."""
+    def _subscribed_lines(self) -> DataFrame:
+        """Lines of subscribed orders, duplicates folded.
+
+        The join comes first because few lines remain after it. Folding by a key of
+        its own gives the join a shuffle to end in, so a join partition that one
+        order dominates can still be split.
+        """
+        contracts = self._subscriptions.selectExpr(
+            "o_orderkey AS l_orderkey", "o_custkey", "status = 'past_due' AS past_due", "start_date"
+        )
+        cents = _cents("l_extendedprice")
+        kept = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "o_custkey", "start_date")
         return (
             self.table("lineitem")
-            .groupBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+            .join(contracts, "l_orderkey")
+            .groupBy(F.expr("concat_ws('_', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS line_key"))
             .agg(
-                F.expr(f"sum({_cents('l_extendedprice')}) AS cents"),
+                *(F.expr(f"max({c}) AS {c}") for c in kept),
+                F.expr("bool_or(past_due) AS past_due"),
+                F.expr(f"sum({cents}) AS cents"),
                 F.expr("bool_and(l_returnflag = 'R') AS returned"),
                 F.expr("bool_or(l_returnflag = 'A') AS accepted"),
                 F.expr("bool_and(l_linestatus = 'O') AS ongoing"),
@@ -212,48 +226,26 @@ class BoundTables(Mapping):
             )
         )
 
-    @cached_property
-    def _subscribed(self) -> DataFrame:
-        return self._subscriptions.selectExpr(
-            "o_orderkey AS l_orderkey",
-            "o_custkey",
-            "subscription_id",
-            "billing_customer_id",
-            "account_id",
-            "status AS sub_status",
-            "start_date",
-        )
-
-    @cached_property
-    def _subscribed_lines(self) -> DataFrame:
-        return self._lines.join(self._subscribed, "l_orderkey")
-
     def billing_invoices(self) -> DataFrame:
-        per_invoice = self._lines.groupBy("l_orderkey", "l_linenumber").agg(
-            F.expr("sum(cents) AS cents"),
-            F.expr("bool_or(returned) AS returned"),
-            F.expr(f"bool_or({_DISPUTED}) AS disputed"),
-        )
-        unpaid = "disputed OR (returned AND sub_status = 'past_due')"
-        return per_invoice.join(self._subscribed, "l_orderkey").selectExpr(
-            f"{_INVOICE_ID} AS invoice_id",
-            "subscription_id",
-            "billing_customer_id",
-            "account_id",
-            f"{_INVOICE_DAY} AS invoice_date",
-            f"date_add({_INVOICE_DAY}, 15) AS due_date",
-            f"{_usd('cents')} AS amount_due_usd",
-            f"if({unpaid}, 'open', 'paid') AS status",
+        return (
+            self._subscribed_lines.groupBy("l_orderkey", "l_linenumber", "o_custkey", "start_date")
+            .agg(F.expr("sum(cents) AS cents"), F.expr(f"bool_or({_UNPAID}) AS unpaid"))
+            .selectExpr(
+                f"{_INVOICE_ID} AS invoice_id",
+                *_OWNERS,
+                f"{_INVOICE_DAY} AS invoice_date",
+                f"date_add({_INVOICE_DAY}, 15) AS due_date",
+                f"{_usd('cents')} AS amount_due_usd",
+                "if(unpaid, 'open', 'paid') AS status",
+            )
         )
 
     def billing_payments(self) -> DataFrame:
-        unpaid = f"({_DISPUTED} OR (returned AND sub_status = 'past_due'))"
         part_paid = "accepted AND ongoing AND discount = 8"
-        return self._subscribed_lines.where(f"NOT {unpaid}").selectExpr(
-            f"{_line_id('pay')} AS payment_id",
+        return self._subscribed_lines.where(f"NOT {_UNPAID}").selectExpr(
+            "concat('pay_', line_key) AS payment_id",
             f"{_INVOICE_ID} AS invoice_id",
-            "billing_customer_id",
-            "account_id",
+            *_OWNERS,
             f"date_add({_INVOICE_DAY}, {_whole('10 + l_partkey % 16')}) AS payment_date",
             f"{_usd(f'if({part_paid}, cents div 2, cents)')} AS amount_paid_usd",
             f"{_pick(PAYMENT_METHODS, 'l_suppkey % 3')} AS payment_method",
@@ -274,9 +266,8 @@ class BoundTables(Mapping):
         day = f"date_sub(DATE'2026-01-03', {_whole('(7 * l_partkey + 13 * i + l_linenumber) % 120')})"
         hours = f"make_dt_interval(0, {_whole('(l_partkey + i) % 24')})"
         return self._subscribed_lines.selectExpr("*", f"explode(sequence(1, {copies})) AS i").selectExpr(
-            f"{_line_id('evt', 'i')} AS event_id",
-            "account_id",
-            "subscription_id",
+            "concat('evt_', line_key, '_', i) AS event_id",
+            *_OWNERS,
             "concat('user_', (31 * l_suppkey + 7 * i + l_partkey) % 97) AS user_id",
             f"{_pick(kinds, turn)} AS event_type",
             f"CAST({day} AS TIMESTAMP_NTZ) + {hours} AS occurred_at",
@@ -294,9 +285,8 @@ class BoundTables(Mapping):
                 "(11 * l_partkey + l_suppkey + l_linenumber) % 20 AS weight",
             )
             .selectExpr(
-                f"{_line_id('tck')} AS ticket_id",
-                "account_id",
-                "subscription_id",
+                "concat('tck_', line_key) AS ticket_id",
+                *_OWNERS,
                 "created_at",
                 f"if(turn >= 4 AND l_partkey % 50 <> 7, created_at + {took}, NULL) AS resolved_at",
                 "CASE WHEN turn < 2 THEN 'open' WHEN turn < 4 THEN 'pending' WHEN turn < 15 THEN 'resolved' "

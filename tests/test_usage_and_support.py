@@ -70,8 +70,8 @@ def test_an_account_with_most_rows_is_spread_over_tasks(spark, entity):
     """Rows of a busy account shuffle by account and user, not by account alone."""
     df = product.usage_by_account(events(entity, ("a", "u", "login", "2025-12-01")))
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "Expand" not in plan
-    assert "Exchange hashpartitioning(account_id" in plan and ", user_id" in plan
+    assert "Expand" not in plan and plan.count("Scan") == 1
+    assert "Exchange hashpartitioning(account_id" in plan and ", slot" in plan
 
 
 def tickets(entity, *rows):
