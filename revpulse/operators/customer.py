@@ -47,6 +47,29 @@ def subscriptions_by_account(subscriptions: DataFrame) -> DataFrame:
     )
 
 
+SPREAD = 32
+
+
+def with_billing_customers(accounts: DataFrame, billing_customers: DataFrame) -> DataFrame:
+    """Left join to billing customers that stays even when one account has most of them.
+
+    Billing customers are dealt to parts by their own id. An account is repeated only
+    for the parts it occurs in, normally one, and the join runs on account and part,
+    so the matches of a single account meet in many tasks.
+    """
+    dealt = billing_customers.select(
+        "account_id", "billing_customer_id", F.expr(f"pmod(xxhash64(billing_customer_id), {SPREAD}L)").alias("part")
+    )
+    occupied = dealt.groupBy("account_id").agg(F.expr("bit_or(shiftleft(1L, CAST(part AS INT)))").alias("occupied"))
+    parts = F.expr(f"filter(sequence(0L, {SPREAD - 1}L), p -> getbit(occupied, CAST(p AS INT)) = 1)")
+    return (
+        accounts.join(occupied, "account_id", "left")
+        .withColumn("part", F.explode_outer(parts))
+        .join(dealt, ["account_id", "part"], "left")
+        .drop("occupied", "part")
+    )
+
+
 def account_base(
     accounts: DataFrame,
     contacts: DataFrame,
@@ -56,17 +79,16 @@ def account_base(
 ) -> DataFrame:
     """One row per account, plus one more for every further billing customer it has.
 
-    Every child is folded to its account first; all joins then share one
+    Every other child is folded to its account first, and those joins share one
     partitioning on ``account_id``.
     """
-    billing = billing_customers.select("account_id", "billing_customer_id")
     joined = (
         accounts.withColumnRenamed("created_at", "account_created_at")
         .join(contacts_by_account(contacts), "account_id", "left")
         .join(deals_by_account(deals), "account_id", "left")
-        .join(billing, "account_id", "left")
         .join(subscriptions_by_account(subscriptions), "account_id", "left")
     )
+    joined = with_billing_customers(joined, billing_customers)
 
     def counts(*names):
         return [or_zero(F.col(n)).alias(n) for n in names]

@@ -60,6 +60,16 @@ def test_account_base_folds_children_before_joining(entity):
     assert base.count() == 5
 
 
+def test_billing_customers_join_like_a_left_join(frame):
+    rows = [("hot", f"b{i}") for i in range(200)] + [("one", "b"), ("lost", "x"), (None, "y"), ("blank", None)]
+    billing = frame("account_id string, billing_customer_id string", *rows)
+    accounts = frame("account_id string, name string", ("hot", "h"), ("one", "o"), ("none", "n"), ("blank", "b"))
+    got = customer.with_billing_customers(accounts, billing)
+    plain = accounts.join(billing, "account_id", "left")
+    assert sorted(map(str, got.select(plain.columns).collect())) == sorted(map(str, plain.collect()))
+    assert got.count() == 203
+
+
 def test_unknown_status_counts_as_revenue_in_the_base_only(entity):
     w = warehouse(entity, crm_accounts=[{"account_id": "a"}], billing_subscriptions=[sub("s", "a", "paused", "5.00")])
     assert w["int_customer__account_base"].first().current_mrr_usd == Decimal("5.00")
