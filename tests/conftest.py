@@ -17,7 +17,7 @@ def spark(tmp_path_factory):
     session = configure(
         SparkSession.builder.master("local[*]"),
         **{
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "8g",
             "spark.checkpoint.dir": str(home / "shared"),
             "spark.sql.warehouse.dir": str(home / "warehouse"),
