@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from revpulse.functions.numeric import count_where, or_zero
+from revpulse.functions.numeric import or_zero
 
 
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:
@@ -19,29 +19,27 @@ def failing(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False))
 
 
+def _text(value) -> str:
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def column_failures(
     df: DataFrame,
     not_null: Iterable[str] = (),
-    accepted: Mapping[str, Iterable] | None = None,
+    accepted: Mapping[str, Iterable[str]] | None = None,
 ) -> DataFrame:
     """Failing row count of every per-column check of a relation, in a single pass over it.
 
     Null passes an accepted-values check; ``not_null`` is what catches it.
     """
-    checks = [("not_null", name, F.col(name).isNull()) for name in not_null]
+    checks = [("not_null", name, f"`{name}` IS NULL") for name in not_null]
     for name, values in (accepted or {}).items():
-        checks.append(("accepted_values", name, ~F.col(name).isin(list(values))))
-    counted = F.array(
-        *(
-            F.struct(
-                F.lit(kind).alias("contract"),
-                F.lit(name).alias("column_name"),
-                count_where(failing(bad)).alias("failed_rows"),
-            )
-            for kind, name, bad in checks
-        )
+        checks.append(("accepted_values", name, f"`{name}` NOT IN ({', '.join(map(_text, values))})"))
+    rows = ", ".join(
+        f"struct('{kind}' AS contract, '{name}' AS column_name, count_if({bad}) AS failed_rows)"
+        for kind, name, bad in checks
     )
-    return df.agg(counted.alias("checks")).select(F.inline("checks"))
+    return df.agg(F.expr(f"array({rows})").alias("checks")).select(F.inline("checks"))
 
 
 def expect_not_null(df: DataFrame, *columns: str) -> DataFrame:

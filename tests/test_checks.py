@@ -67,6 +67,11 @@ def test_column_checks(frame):
     assert {c: r["failed_rows"] for c, r in rows.items()} == {"not_null/k": 1, "not_null/label": 1, "accepted_values/label": 1}
 
 
+def test_accepted_values_may_hold_quotes(frame):
+    df = frame("label string", ("it's",), ("a\\b",), ("other",))
+    assert contracts.expect_accepted_values(df, {"label": ["it's", "a\\b"]}).first().failed_rows == 1
+
+
 def test_unique_ignores_null_but_duplicate_keys_does_not(frame):
     df = frame("k string", ("a",), ("a",), (None,), (None,), ("b",))
     assert contracts.expect_unique(df, "k").first().failed_rows == 1
