@@ -5,21 +5,64 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import oracle
-from .ngram_join import near_duplicates
+from . import host_reputation, language, mixing, ngram_join, oracle, quality_rules, rule_cascade, toxicity
+from .params import DOMAIN_WEIGHTS, URL_RULES
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.selection(_table(spark, folder, "documents"), DOMAIN_WEIGHTS)
+
+
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return toxicity.scored(docs, toxicity.trained(docs, _table(spark, folder, "labels")))
+
+
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return language.predicted(docs, language.trained(docs))
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
-    return near_duplicates(_table(spark, folder, "documents"))
+    return ngram_join.near_duplicates(_table(spark, folder, "documents"))
+
+
+def op6_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """A page's outcome is the quality label of the document whose number its path holds."""
+    pages, labels = _table(spark, folder, "pages"), _table(spark, folder, "labels")
+    number = F.regexp_extract(F.col("path"), r"/([0-9]{1,18})", 1)
+    numbered = host_reputation.located(pages).select("page_id", F.nullif(number, F.lit("")).cast("long").alias("doc_id"))
+    outcomes = numbered.join(labels.select("doc_id", F.col("quality").alias("good")), "doc_id")
+    return host_reputation.judged(pages, outcomes, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.scored(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return rule_cascade.judged(_table(spark, folder, "documents")).drop("rejected_by")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_ngram_jaccard_join,)}
+    return {
+        f.__name__: f
+        for f in (
+            op1_mixing,
+            op2_toxicity,
+            op3_language_id,
+            op5_ngram_jaccard_join,
+            op6_url_filters,
+            op9_quality_classifier,
+            op10_quality_rules,
+        )
+    }
 
 
 def statements() -> dict[str, str]:

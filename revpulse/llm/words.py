@@ -98,17 +98,30 @@ def split_words(text_starts: np.ndarray, data: np.ndarray, between: np.ndarray)
 
 def hash_words(words: Words, codes: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each word: differences of one running polynomial over the bytes."""
-    n = len(words.data)
+    return hash_starts(words, codes, (None,))[0]
+
+
+def running_hash(data: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of a polynomial over the first bytes, and the inverse powers that move a difference to place 0."""
+    n = len(data)
     with np.errstate(over="ignore"):
         powers = np.full(n + 1, _BASE, dtype=np.uint64)
         powers[0] = 1
         np.multiply.accumulate(powers, out=powers)
         running = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(codes[words.data] * powers[:n], out=running[1:])
-        sums = running[words.ends] - running[words.starts]
+        np.cumsum(codes[data] * powers[:n], out=running[1:])
         powers[1:] = _BASE_INVERSE
         np.multiply.accumulate(powers, out=powers)
-        return mix(sums * powers[words.starts] + (words.ends - words.starts).astype(np.uint64))
+    return running, powers
+
+
+def hash_starts(words: Words, codes: np.ndarray, lengths: tuple[int | None, ...]) -> list[np.ndarray]:
+    """For each length a hash of that many first bytes of every word, or of the word if it is None or longer."""
+    running, inverse = running_hash(words.data, codes)
+    scale, before = inverse[words.starts], running[words.starts]
+    ends = [words.ends if k is None else np.minimum(words.starts + k, words.ends) for k in lengths]
+    with np.errstate(over="ignore"):
+        return [mix((running[e] - before) * scale + (e - words.starts).astype(np.uint64)) for e in ends]
 
 
 def hash_windows(hashes: np.ndarray, width: int) -> np.ndarray:
@@ -119,3 +132,16 @@ def hash_windows(hashes: np.ndarray, width: int) -> np.ndarray:
         for k in range(width):
             total += hashes[k : k + n] * (mix(np.array([k + 1], dtype=np.uint64) * _BASE)[0] | np.uint64(1))
     return mix(total)
+
+
+def distinct(units: Words, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index of one unit of each kind, and the kind of every unit."""
+    _, first, kind = np.unique(hash_words(units, codes), return_index=True, return_inverse=True)
+    return first, kind
+
+
+def gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Indices of all ranges ``starts[k] .. starts[k] + lengths[k]``, one after the other."""
+    ends = np.cumsum(lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.repeat(starts - (ends - lengths), lengths) + np.arange(total)
