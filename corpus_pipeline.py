@@ -4,17 +4,44 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from revpulse.llm import mixing, ngram_join, pieces, rule_cascade, toxicity
 from revpulse.llm.components import scratch, written
-from revpulse.llm.ngram_join import near_duplicates
+from revpulse.llm.params import DOMAIN_WEIGHTS, PIECE_MODEL
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents below the toxicity threshold; the model learns from the labels of the stage's own documents."""
+    return toxicity.keep(docs, toxicity.trained(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def passing_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that neither the base counts nor a quality rule reject."""
+    return rule_cascade.keep(docs)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of every group of near copies."""
-    groups = near_duplicates(docs).where("doc_id = component_id").select("doc_id")
+    groups = ngram_join.near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
     return docs.join(groups, "doc_id", "left_semi").select(docs.columns)
 
 
-STAGES = [("n-gram Jaccard join", one_of_each_group)]
+def mixed_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents drawn to the weights of domains, languages and sources, once for each epoch."""
+    return mixing.mixed(docs, DOMAIN_WEIGHTS)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id, n_tokens, ids`` of every document."""
+    return pieces.encoded(docs, pieces.load(PIECE_MODEL))
+
+
+STAGES = [
+    ("toxicity", without_toxic),
+    ("quality rules", passing_rules),
+    ("n-gram Jaccard join", one_of_each_group),
+    ("mixing sources to target weights", mixed_to_weights),
+    ("SentencePiece encoding and decoding", encoded),
+]
 
 #: The toxicity stage learns a model, which SQL cannot express.
 ORACLE_SQL = None

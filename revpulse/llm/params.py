@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from .host_reputation import Rule
 from .mixing import Weights
 
@@ -24,3 +26,10 @@ URL_RULES = (
     Rule("net", "/es/", "block"),
     Rule("net", "/fr/", "block"),
 )
+
+#: Where the files of public tokenizers are.
+TOKENIZERS = os.environ.get("REVPULSE_TOKENIZERS", "/opt/tokenizers")
+PIECE_MODEL = f"{TOKENIZERS}/piece_bpe_32k.model"
+BYTE_VOCABULARY = f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
+#: Fixed value: the public pattern that cuts texts for this vocabulary.
+TOKEN_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""

@@ -3,11 +3,12 @@
 A text is cut into units that no piece crosses: a run of spaces with what follows it, or a newline. The
 distinct units of a block are encoded together: all units of the same number of characters advance one
 position at a time, the hashes of their last 1, 2, ... characters are looked up among the sorted hashes of
-the pieces, and the best sum of scores and its backpointer are kept for every unit at once.
+the pieces, and the best path and its backpointer are kept for every unit at once.
 
-The result is the segmentation with the highest sum of piece scores, the one the library's unigram
-encoder gives for the same pieces. For a model that was trained by merging pairs the scores are merge
-ranks, so it may differ from the merge order; the pieces, ids and decoding are the same.
+For a unigram model the best path has the highest sum of scores. For a model of merges the scores are
+ranks, and a sum of ranks means nothing; there a path may only step from one piece to the next if the two
+stay apart when their text is merged by itself. Exactly one path consists of such steps, and it is the
+library's merge result, so the same search gives the library's ids.
 
 Characters without a piece become byte pieces, so every text survives the round trip exactly. Unlike the
 library, a U+2581 in a text becomes bytes as well and does not come back as a space.
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from . import words as W
 
 #: Bytes of texts whose distinct units are encoded together.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 6 << 20
 #: Penalty of a character without a piece, below the lowest score.
 UNKNOWN_PENALTY = 10.0
 
@@ -41,7 +42,7 @@ _SPACE, _NEWLINE = ord(" "), ord("\n")
 class Pieces(NamedTuple):
     keys: np.ndarray  # sorted hashes of the pieces, spaces standing for U+2581
     ids: np.ndarray  # of each key
-    scores: np.ndarray
+    scores: np.ndarray  # of each key
     maybe: np.ndarray  # by the first 20 bits of a hash: whether a key may have it
     longest: int  # characters
     byte_ids: np.ndarray
@@ -49,6 +50,30 @@ class Pieces(NamedTuple):
     prefix: bool  # a space is put before every text
     text: bytes  # bytes of all pieces by id
     text_starts: np.ndarray
+    merges: Merges | None  # of a model of merges
+
+
+class Merges(NamedTuple):
+    """By id: when a piece is made, of which two, and its unmixed hash."""
+
+    rank: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    raw: np.ndarray
+    powers: np.ndarray  # of the hash, by length
+
+
+def _last_merge(piece: str, rank: dict[str, int]) -> tuple[str, str] | None:
+    """The two parts of which merging makes the piece in the end, or None if it does not."""
+    parts = list(piece)
+    while len(parts) > 1:
+        best = min(((rank.get(parts[k] + parts[k + 1], np.inf), k) for k in range(len(parts) - 1)))
+        if best[0] == np.inf:
+            return None
+        if len(parts) == 2:
+            return parts[0], parts[1]
+        parts[best[1] : best[1] + 2] = ["".join(parts[best[1] : best[1] + 2])]
+    return "", ""
 
 
 def load(path: str) -> Pieces:
@@ -67,6 +92,21 @@ def load(path: str) -> Pieces:
         raise ValueError("pieces go on after a space or hold a newline")
     if model.decode(model.encode("a  ﬁ B")) != "a  ﬁ B":
         raise ValueError("the model normalises texts")
+    score = np.array([model.get_score(k) for k in range(size)], np.float32)
+    merged = bool(np.all(score[normal] == np.floor(score[normal])))  # log probabilities are no whole numbers
+    rank = np.zeros(size, np.int64)
+    rank[normal] = np.unique(-score[normal], return_inverse=True)[1]
+    left, right = np.full(size, -1), np.full(size, -1)
+    if merged:
+        by_text = {spaced[k]: k for k in normal}
+        ranks = {p: int(rank[k]) for p, k in by_text.items()}
+        made = {k: _last_merge(spaced[k], ranks) for k in normal}
+        normal = [k for k in normal if made[k]]  # others never come out
+        for k in normal:
+            if made[k][0]:
+                left[k], right[k] = by_text[made[k][0]], by_text[made[k][1]]
+            else:
+                rank[k] = -1  # a character is there from the start
     byte_ids = np.zeros(256, np.int32)
     for k in np.flatnonzero(is_byte):
         byte_ids[int(shown[k][1:-1], 16)] = k
@@ -75,18 +115,48 @@ def load(path: str) -> Pieces:
     starts = np.append(0, np.cumsum([len(r) for r in raw]))
     text = b"".join(raw)
     known = np.array(normal)
-    words = W.Words(np.frombuffer(text, np.uint8), starts, starts[known], starts[known + 1], np.array([0, len(known)]))
-    keys = W.hash_words(words, _CODES)
+    running, inverse = W.running_hash(np.frombuffer(text, np.uint8), _CODES)
+    with np.errstate(over="ignore"):
+        at_zero = (running[starts[1:]] - running[starts[:-1]]) * inverse[starts[:-1]]
+        keys = W.mix(at_zero[known] + np.diff(starts)[known].astype(np.uint64))
     order = np.argsort(keys)
-    scores = np.array([model.get_score(int(k)) for k in known], np.float32)
     maybe = np.zeros(1 << 20, bool)
     maybe[(keys >> np.uint64(44)).astype(np.int64)] = True
     return Pieces(
-        keys[order], known[order].astype(np.int32), scores[order], maybe, max(map(len, spaced.values())), byte_ids,
-        float(scores.min() - np.float32(UNKNOWN_PENALTY)), model.encode("a", out_type=str)[0].startswith("▁"), text, starts,
+        keys[order], known[order].astype(np.int32), score[known][order], maybe, max(map(len, spaced.values())), byte_ids,
+        float(score[known].min() - np.float32(UNKNOWN_PENALTY)), model.encode("a", out_type=str)[0].startswith("▁"), text, starts,
+        Merges(rank, left, right, at_zero, W.powers(int(np.diff(starts).max()) + 1)) if merged else None,
     )
 
 
+def _stay_apart(pieces: Pieces, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Whether merging the text of two pieces by itself gives the two pieces.
+
+    The two are unmade step by step, the later one first. At each step the pieces that meet must not make
+    a piece earlier than either was used; of merges of equal rank the one further left comes first.
+    """
+    m = pieces.merges
+    apart = np.ones(len(first), bool)
+    open_ = np.flatnonzero((first >= 0) & (second >= 0))
+    a, b = first[open_], second[open_]
+    used_a, used_b = np.full(len(a), 1 << 40), np.full(len(a), 1 << 40)
+    sizes = np.diff(pieces.text_starts)
+    while len(open_):
+        with np.errstate(over="ignore"):
+            hashes = W.mix(m.raw[a] + m.raw[b] * m.powers[sizes[a]] + (sizes[a] + sizes[b]).astype(np.uint64))
+        rows, at = _look_up(pieces, hashes)
+        made = m.rank[pieces.ids[at]]
+        joined = rows[(made < used_a[rows]) & (made <= used_b[rows])]
+        apart[open_[joined]] = False
+        go = (m.left[a] >= 0) | (m.left[b] >= 0)
+        go[joined] = False
+        open_, a, b, used_a, used_b = (x[go] for x in (open_, a, b, used_a, used_b))
+        of_a = m.rank[a] > m.rank[b]
+        used_a, used_b = np.where(of_a, m.rank[a], used_a), np.where(of_a, used_b, m.rank[b])
+        a, b = np.where(of_a, m.right[a], a), np.where(of_a, b, m.left[b])
+    return apart
+
+
 def _look_up(pieces: Pieces, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Rows whose hash is a piece's, and the pieces' places among the keys."""
     rows = np.flatnonzero(pieces.maybe[(hashes >> np.uint64(44)).astype(np.int64)])
@@ -95,37 +165,40 @@ def _look_up(pieces: Pieces, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return rows[same], at[same]
 
 
-def _best_paths(pieces: Pieces, edges: np.ndarray, running: np.ndarray, inverse: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _best_paths(pieces: Pieces, edges: np.ndarray, running: np.ndarray, inverse: np.ndarray) -> np.ndarray:
     """Unit, first byte, end byte and id (-1 for none) of the pieces on the best path of each unit.
 
-    ``edges`` has a row for each unit: the bytes at which its characters begin, and its end.
+    ``edges`` has a column for each unit: the bytes at which its characters begin, and its end.
     """
-    n, length = edges.shape[0], edges.shape[1] - 1
-    best = np.full((n, length + 1), -np.inf, np.float32)
-    best[:, 0] = 0
-    back = np.zeros((n, length + 1), np.int32)
-    piece = np.full((n, length + 1), -1, np.int32)
+    length, n = edges.shape[0] - 1, edges.shape[1]
+    sums, scale = running[edges], inverse[edges]
+    best = np.full((length + 1, n), -np.inf, np.float32)
+    best[0] = 0
+    back = np.zeros((length + 1, n), np.int32)
+    piece = np.full((length + 1, n), -1, np.int32)
     with np.errstate(over="ignore"):
         for end in range(1, length + 1):
             for size in range(min(end, pieces.longest), 0, -1):
-                a, b = edges[:, end - size], edges[:, end]
-                hashes = W.mix((running[b] - running[a]) * inverse[a] + (b - a).astype(np.uint64))
+                a = end - size
+                hashes = W.mix((sums[end] - sums[a]) * scale[a] + (edges[end] - edges[a]).astype(np.uint64))
                 rows, at = _look_up(pieces, hashes)
                 if size == 1:  # a character without a piece
                     lone = np.ones(n, bool)
                     lone[rows] = False
                     lone = np.flatnonzero(lone)
-                    total = best[lone, end - 1] + np.float32(pieces.unknown)
-                    better = total > best[lone, end]
-                    best[lone[better], end], back[lone[better], end], piece[lone[better], end] = total[better], end - 1, -1
-                total = best[rows, end - size] + pieces.scores[at]
-                better = total > best[rows, end]
+                    total = best[a, lone] + np.float32(pieces.unknown)
+                    better = lone[total > best[end, lone]]
+                    best[end, better], back[end, better], piece[end, better] = total[total > best[end, lone]], a, -1
+                total = best[a, rows] + pieces.scores[at]
+                better = total > best[end, rows]
+                if pieces.merges and a:
+                    better &= _stay_apart(pieces, piece[a, rows], pieces.ids[at])
                 rows, at = rows[better], at[better]
-                best[rows, end], back[rows, end], piece[rows, end] = total[better], end - size, pieces.ids[at]
+                best[end, rows], back[end, rows], piece[end, rows] = total[better], a, pieces.ids[at]
     found, rows, end = [], np.arange(n), np.full(n, length)
     while len(rows):
-        begin = back[rows, end]
-        found.append(np.stack([rows, edges[rows, begin], edges[rows, end], piece[rows, end]]))
+        begin = back[end, rows]
+        found.append(np.stack([rows, edges[begin, rows], edges[end, rows], piece[end, rows]]))
         rows, end = rows[begin > 0], begin[begin > 0]
     found = np.concatenate(found, axis=1)
     return found[:, np.lexsort((found[1], found[0]))]
@@ -146,9 +219,9 @@ def _encode_units(pieces: Pieces, units: W.Words, chosen: np.ndarray) -> tuple[n
         room = max(1, (1 << 21) // (length + 1))
         for at in range(a, b, room):
             group = order[at : min(b, at + room)]
-            edges = np.empty((len(group), length + 1), np.int64)
-            edges[:, :-1] = begins[first[group][:, None] + np.arange(length)]
-            edges[:, -1] = units.ends[chosen[group]]
+            edges = np.empty((length + 1, len(group)), np.int64)
+            edges[:-1] = begins[first[group] + np.arange(length)[:, None]]
+            edges[-1] = units.ends[chosen[group]]
             path = _best_paths(pieces, edges, running, inverse)
             path[0] = group[path[0]]
             parts.append(path)

@@ -7,8 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import host_reputation, language, mixing, ngram_join, oracle, quality_rules, rule_cascade, toxicity
-from .params import DOMAIN_WEIGHTS, URL_RULES
+from . import (
+    host_reputation,
+    language,
+    mixing,
+    ngram_join,
+    oracle,
+    packing,
+    pieces,
+    quality_rules,
+    rule_cascade,
+    toxicity,
+    vector_graph,
+)
+from .params import BYTE_VOCABULARY, DOMAIN_WEIGHTS, PIECE_MODEL, TOKEN_PATTERN, URL_RULES
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -29,6 +41,10 @@ def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.predicted(docs, language.trained(docs))
 
 
+def op4_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.encoded(_table(spark, folder, "documents"), pieces.load(PIECE_MODEL), check=True)
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.near_duplicates(_table(spark, folder, "documents"))
 
@@ -42,6 +58,14 @@ def op6_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return host_reputation.judged(pages, outcomes, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_token_output(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(_table(spark, folder, "documents"), packing.load_ranks(BYTE_VOCABULARY), TOKEN_PATTERN)
+
+
+def op8_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_graph.near_duplicates(_table(spark, folder, "embeddings"))
+
+
 def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.scored(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
@@ -57,8 +81,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op1_mixing,
             op2_toxicity,
             op3_language_id,
+            op4_sentencepiece,
             op5_ngram_jaccard_join,
             op6_url_filters,
+            op7_token_output,
+            op8_embedding_near_dedup,
             op9_quality_classifier,
             op10_quality_rules,
         )

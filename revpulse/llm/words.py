@@ -101,18 +101,24 @@ def hash_words(words: Words, codes: np.ndarray) -> np.ndarray:
     return hash_starts(words, codes, (None,))[0]
 
 
+def powers(n: int) -> np.ndarray:
+    """The first powers of the hash's base."""
+    found = np.full(n, _BASE, dtype=np.uint64)
+    found[0] = 1
+    with np.errstate(over="ignore"):
+        return np.multiply.accumulate(found, out=found)
+
+
 def running_hash(data: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sums of a polynomial over the first bytes, and the inverse powers that move a difference to place 0."""
     n = len(data)
+    place = powers(n + 1)
+    running = np.zeros(n + 1, dtype=np.uint64)
     with np.errstate(over="ignore"):
-        powers = np.full(n + 1, _BASE, dtype=np.uint64)
-        powers[0] = 1
-        np.multiply.accumulate(powers, out=powers)
-        running = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(codes[data] * powers[:n], out=running[1:])
-        powers[1:] = _BASE_INVERSE
-        np.multiply.accumulate(powers, out=powers)
-    return running, powers
+        np.cumsum(codes[data] * place[:n], out=running[1:])
+        place[1:] = _BASE_INVERSE
+        np.multiply.accumulate(place, out=place)
+    return running, place
 
 
 def hash_starts(words: Words, codes: np.ndarray, lengths: tuple[int | None, ...]) -> list[np.ndarray]:
