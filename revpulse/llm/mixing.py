@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .components import scratch, written
 
 #: Rows of a leaf that one hash range holds, about.
-RANGE_ROWS = 20_000
+RANGE_ROWS = 2_000
 LEVELS = ("domain", "lang", "source")
 
 
@@ -92,7 +92,7 @@ def _split(nodes: DataFrame, parent: tuple[str, ...]) -> DataFrame:
 def leaf_budgets(counts: DataFrame, weights: Weights, total: int | None, epochs: int) -> DataFrame:
     """``domain, lang, source, rows, supply, budget`` of every leaf that holds tokens.
 
-    ``total`` is the token budget; None stands for as many tokens as there are.
+    ``total`` is the token budget; None stands for as many tokens as the leaves with a weight hold.
     """
     leaves = counts.where("n_tokens > 0").groupBy(*LEVELS).agg(F.count("*").alias("rows"), F.sum("n_tokens").alias("supply"))
     leaves = written(leaves, f"{scratch(counts.sparkSession)}/leaves")
