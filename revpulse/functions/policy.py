@@ -63,7 +63,7 @@ def is_current_customer(mrr: Column, active: Column, past_due: Column) -> Column
 
 
 def risk_flags(policy: Policy = DEFAULT) -> dict[str, Column]:
-    low_labels = [policy.no_usage, policy.usage_bands[-1][1]]
+    low_labels = [policy.no_usage, policy.low_usage]
     under_collected = (c("total_invoiced_usd") > 0) & (
         c("avg_collection_rate") < F.lit(policy.collection_risk_below)
     )

@@ -177,14 +177,33 @@ def account_signals(
         .join(load, "account_id", "left")
     )
     zero_counts = (
-        "subscription_count active_subscription_count past_due_subscription_count "
-        "canceled_subscription_count total_events active_users active_days adopted_feature_count "
-        "total_tickets open_tickets resolved_tickets high_priority_tickets critical_tickets"
-    ).split()
-    zero_money = "current_mrr_usd total_invoiced_usd total_paid_usd total_outstanding_usd".split()
+        "subscription_count",
+        "active_subscription_count",
+        "past_due_subscription_count",
+        "canceled_subscription_count",
+        "total_events",
+        "active_users",
+        "active_days",
+        "adopted_feature_count",
+        "total_tickets",
+        "open_tickets",
+        "resolved_tickets",
+        "high_priority_tickets",
+        "critical_tickets",
+    )
+    zero_money = (
+        "current_mrr_usd",
+        "total_invoiced_usd",
+        "total_paid_usd",
+        "total_outstanding_usd",
+    )
     false_flags = (
-        "has_overdue_invoice has_connected_integration has_created_report has_open_tickets has_critical_ticket"
-    ).split()
+        "has_overdue_invoice",
+        "has_connected_integration",
+        "has_created_report",
+        "has_open_tickets",
+        "has_critical_ticket",
+    )
     filled = joined.withColumns(
         {
             **{n: or_zero(F.col(n)) for n in zero_counts},

@@ -10,32 +10,66 @@ from revpulse.functions.numeric import count_where, mean, money, rate
 from revpulse.params import Policy
 
 # Output columns shared by the account-level tables.
-PROFILE = "account_id account_name industry segment employee_band country account_owner account_lifecycle_stage"
+PROFILE = (
+    "account_id",
+    "account_name",
+    "industry",
+    "segment",
+    "employee_band",
+    "country",
+    "account_owner",
+    "account_lifecycle_stage",
+)
 REVENUE = (
-    "current_mrr_usd total_invoiced_usd total_paid_usd total_outstanding_usd avg_collection_rate "
-    "avg_days_to_payment has_overdue_invoice payment_risk_flag"
+    "current_mrr_usd",
+    "total_invoiced_usd",
+    "total_paid_usd",
+    "total_outstanding_usd",
+    "avg_collection_rate",
+    "avg_days_to_payment",
+    "has_overdue_invoice",
+    "payment_risk_flag",
 )
 USAGE = (
-    "total_events active_users active_days adopted_feature_count usage_intensity "
-    "has_connected_integration has_created_report low_usage_paid_account"
+    "total_events",
+    "active_users",
+    "active_days",
+    "adopted_feature_count",
+    "usage_intensity",
+    "has_connected_integration",
+    "has_created_report",
+    "low_usage_paid_account",
 )
 SUPPORT = (
-    "total_tickets open_tickets high_priority_tickets critical_tickets support_burden_level "
-    "has_open_tickets has_critical_ticket support_risk_flag"
+    "total_tickets",
+    "open_tickets",
+    "high_priority_tickets",
+    "critical_tickets",
+    "support_burden_level",
+    "has_open_tickets",
+    "has_critical_ticket",
+    "support_risk_flag",
+)
+CONTACTS = (
+    "contact_count",
+    "executive_sponsor_count",
+    "admin_contact_count",
 )
-CONTACTS = "contact_count executive_sponsor_count admin_contact_count"
 
 
 def mart_customer_health(health: DataFrame) -> DataFrame:
     return health.select(
-        *PROFILE.split(),
+        *PROFILE,
         "is_current_customer",
         "customer_health_segment",
         "is_churn_risk",
         "raw_customer_health_score",
         "customer_health_score",
         *P.SCORE_PARTS,
-        *" ".join((REVENUE, USAGE, SUPPORT, CONTACTS)).split(),
+        *REVENUE,
+        *USAGE,
+        *SUPPORT,
+        *CONTACTS,
         P.recommended_action().alias("recommended_action"),
         P.health_priority_rank().alias("health_priority_rank"),
     )
@@ -43,7 +77,7 @@ def mart_customer_health(health: DataFrame) -> DataFrame:
 
 def mart_account_360(customer_health: DataFrame, policy: Policy = Policy()) -> DataFrame:
     return customer_health.select(
-        *PROFILE.split(),
+        *PROFILE,
         P.account_status_group().alias("account_status_group"),
         "is_current_customer",
         "customer_health_segment",
@@ -52,7 +86,10 @@ def mart_account_360(customer_health: DataFrame, policy: Policy = Policy()) -> D
         "is_churn_risk",
         "customer_health_score",
         "raw_customer_health_score",
-        *" ".join((REVENUE, USAGE, SUPPORT, CONTACTS)).split(),
+        *REVENUE,
+        *USAGE,
+        *SUPPORT,
+        *CONTACTS,
         P.mrr_at_risk().alias("mrr_at_risk_usd"),
         P.healthy_mrr().alias("healthy_mrr_usd"),
         P.non_healthy_mrr().alias("non_healthy_mrr_usd"),
@@ -71,7 +108,7 @@ def risk_accounts(account_360: DataFrame) -> DataFrame:
 
 def mart_churn_risk(account_360: DataFrame, policy: Policy = Policy()) -> DataFrame:
     return risk_accounts(account_360).select(
-        *PROFILE.split(),
+        *PROFILE,
         "account_status_group",
         "customer_health_segment",
         "account_priority_action",

@@ -10,20 +10,15 @@ from revpulse.functions.numeric import count_where
 from revpulse.params import Params, Policy
 from revpulse.schemas import EVENT_TYPES
 
-# Output column counting each event type, in event type order.
-TYPE_COUNTS = dict(
-    zip(
-        EVENT_TYPES,
-        (
-            "login_events",
-            "dashboard_view_events",
-            "report_created_events",
-            "integration_connected_events",
-            "user_invited_events",
-            "export_downloaded_events",
-        ),
-    )
-)
+# Output column counting each event type.
+TYPE_COUNTS = {
+    "login": "login_events",
+    "dashboard_viewed": "dashboard_view_events",
+    "report_created": "report_created_events",
+    "integration_connected": "integration_connected_events",
+    "user_invited": "user_invited_events",
+    "export_downloaded": "export_downloaded_events",
+}
 DAYS_PER_WORD = 62
 
 

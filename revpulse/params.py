@@ -28,6 +28,7 @@ class Params:
 class Policy:
     usage_bands: tuple = ((500, "high_usage"), (150, "medium_usage"), (1, "low_usage"))
     no_usage: str = "no_usage"
+    low_usage: str = "low_usage"
 
     burden_tickets: tuple = ((8, "high_burden"), (4, "medium_burden"), (1, "low_burden"))
     burden_priority: tuple = ((3, "high_burden"), (1, "medium_burden"))

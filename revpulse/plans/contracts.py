@@ -70,159 +70,312 @@ class Contract:
         return {name: self.narrowed.get(name, DOMAINS.get(name)) for name in self.labels}
 
 
-def _contract(not_null: str, key=None, labels="", narrowed=None, **references) -> Contract:
-    return Contract(tuple(not_null.split()), key, tuple(labels.split()), narrowed or {}, references)
-
-
 _ACCOUNT = ("stg_crm__accounts", "account_id")
 _BILLED = ("stg_billing__customers", "billing_customer_id")
 _SUBSCRIBED = ("stg_billing__subscriptions", "subscription_id")
 
 # Columns that must be present, unique, in a domain or matched in a parent.
 CONTRACTS: dict[str, Contract] = {
-    "stg_crm__accounts": _contract(
-        "account_id account_name industry segment created_at", key="account_id", labels="segment"
+    "stg_crm__accounts": Contract(
+        not_null=("account_id", "account_name", "industry", "segment", "created_at"),
+        key="account_id",
+        labels=("segment",),
     ),
-    "stg_crm__contacts": _contract(
-        "contact_id account_id email contact_role", key="contact_id", account_id=_ACCOUNT
+    "stg_crm__contacts": Contract(
+        not_null=("contact_id", "account_id", "email", "contact_role"),
+        key="contact_id",
+        references={"account_id": _ACCOUNT},
     ),
-    "stg_crm__deals": _contract(
-        "deal_id account_id deal_stage deal_amount_usd expected_mrr_usd created_at",
+    "stg_crm__deals": Contract(
+        not_null=("deal_id", "account_id", "deal_stage", "deal_amount_usd", "expected_mrr_usd", "created_at"),
         key="deal_id",
-        labels="deal_stage",
-        account_id=_ACCOUNT,
+        labels=("deal_stage",),
+        references={"account_id": _ACCOUNT},
     ),
-    "stg_billing__customers": _contract(
-        "billing_customer_id account_id customer_name created_at",
+    "stg_billing__customers": Contract(
+        not_null=("billing_customer_id", "account_id", "customer_name", "created_at"),
         key="billing_customer_id",
-        account_id=_ACCOUNT,
-    ),
-    "stg_billing__subscriptions": _contract(
-        "subscription_id billing_customer_id account_id plan subscription_status billing_cycle "
-        "mrr_usd arr_usd start_date",
+        references={"account_id": _ACCOUNT},
+    ),
+    "stg_billing__subscriptions": Contract(
+        not_null=(
+            "subscription_id",
+            "billing_customer_id",
+            "account_id",
+            "plan",
+            "subscription_status",
+            "billing_cycle",
+            "mrr_usd",
+            "arr_usd",
+            "start_date",
+        ),
         key="subscription_id",
-        labels="plan subscription_status billing_cycle",
-        billing_customer_id=_BILLED,
-        account_id=_ACCOUNT,
-    ),
-    "stg_billing__invoices": _contract(
-        "invoice_id subscription_id billing_customer_id account_id invoice_date due_date "
-        "amount_due_usd invoice_status",
+        labels=("plan", "subscription_status", "billing_cycle"),
+        references={"billing_customer_id": _BILLED, "account_id": _ACCOUNT},
+    ),
+    "stg_billing__invoices": Contract(
+        not_null=(
+            "invoice_id",
+            "subscription_id",
+            "billing_customer_id",
+            "account_id",
+            "invoice_date",
+            "due_date",
+            "amount_due_usd",
+            "invoice_status",
+        ),
         key="invoice_id",
-        labels="invoice_status",
-        subscription_id=_SUBSCRIBED,
-        billing_customer_id=_BILLED,
-        account_id=_ACCOUNT,
-    ),
-    "stg_billing__payments": _contract(
-        "payment_id invoice_id billing_customer_id account_id payment_date amount_paid_usd payment_method",
+        labels=("invoice_status",),
+        references={"subscription_id": _SUBSCRIBED, "billing_customer_id": _BILLED, "account_id": _ACCOUNT},
+    ),
+    "stg_billing__payments": Contract(
+        not_null=(
+            "payment_id",
+            "invoice_id",
+            "billing_customer_id",
+            "account_id",
+            "payment_date",
+            "amount_paid_usd",
+            "payment_method",
+        ),
         key="payment_id",
-        labels="payment_method",
-        invoice_id=("stg_billing__invoices", "invoice_id"),
-        billing_customer_id=_BILLED,
-        account_id=_ACCOUNT,
-    ),
-    "stg_product__events": _contract(
-        "event_id account_id subscription_id user_id event_type occurred_at event_date",
+        labels=("payment_method",),
+        references={"invoice_id": ("stg_billing__invoices", "invoice_id"), "billing_customer_id": _BILLED, "account_id": _ACCOUNT},
+    ),
+    "stg_product__events": Contract(
+        not_null=(
+            "event_id",
+            "account_id",
+            "subscription_id",
+            "user_id",
+            "event_type",
+            "occurred_at",
+            "event_date",
+        ),
         key="event_id",
-        labels="event_type",
-        account_id=_ACCOUNT,
-        subscription_id=_SUBSCRIBED,
-    ),
-    "stg_support__tickets": _contract(
-        "ticket_id account_id subscription_id created_at created_date ticket_status severity category "
-        "is_resolved is_open is_high_priority",
+        labels=("event_type",),
+        references={"account_id": _ACCOUNT, "subscription_id": _SUBSCRIBED},
+    ),
+    "stg_support__tickets": Contract(
+        not_null=(
+            "ticket_id",
+            "account_id",
+            "subscription_id",
+            "created_at",
+            "created_date",
+            "ticket_status",
+            "severity",
+            "category",
+            "is_resolved",
+            "is_open",
+            "is_high_priority",
+        ),
         key="ticket_id",
-        labels="ticket_status severity category",
-        account_id=_ACCOUNT,
-        subscription_id=_SUBSCRIBED,
-    ),
-    "int_revenue__invoice_payment_summary": _contract(
-        "invoice_id subscription_id account_id amount_due_usd total_paid_usd outstanding_amount_usd "
-        "is_fully_paid is_overdue",
+        labels=("ticket_status", "severity", "category"),
+        references={"account_id": _ACCOUNT, "subscription_id": _SUBSCRIBED},
+    ),
+    "int_revenue__invoice_payment_summary": Contract(
+        not_null=(
+            "invoice_id",
+            "subscription_id",
+            "account_id",
+            "amount_due_usd",
+            "total_paid_usd",
+            "outstanding_amount_usd",
+            "is_fully_paid",
+            "is_overdue",
+        ),
         key="invoice_id",
-        subscription_id=_SUBSCRIBED,
-        account_id=_ACCOUNT,
-    ),
-    "int_revenue__subscriptions_enriched": _contract(
-        "subscription_id billing_customer_id account_id subscription_status mrr_usd arr_usd "
-        "current_mrr_usd collection_rate has_overdue_invoice",
+        references={"subscription_id": _SUBSCRIBED, "account_id": _ACCOUNT},
+    ),
+    "int_revenue__subscriptions_enriched": Contract(
+        not_null=(
+            "subscription_id",
+            "billing_customer_id",
+            "account_id",
+            "subscription_status",
+            "mrr_usd",
+            "arr_usd",
+            "current_mrr_usd",
+            "collection_rate",
+            "has_overdue_invoice",
+        ),
         key="subscription_id",
-        labels="subscription_status",
-        billing_customer_id=_BILLED,
-        account_id=_ACCOUNT,
-    ),
-    "int_customer__account_base": _contract(
-        "account_id account_name segment account_lifecycle_stage current_mrr_usd current_arr_usd",
+        labels=("subscription_status",),
+        references={"billing_customer_id": _BILLED, "account_id": _ACCOUNT},
+    ),
+    "int_customer__account_base": Contract(
+        not_null=(
+            "account_id",
+            "account_name",
+            "segment",
+            "account_lifecycle_stage",
+            "current_mrr_usd",
+            "current_arr_usd",
+        ),
         key="account_id",
-        labels="segment account_lifecycle_stage",
-    ),
-    "int_product__account_usage": _contract(
-        "account_id total_events active_users active_days adopted_feature_count usage_intensity "
-        "has_connected_integration has_created_report",
+        labels=("segment", "account_lifecycle_stage"),
+    ),
+    "int_product__account_usage": Contract(
+        not_null=(
+            "account_id",
+            "total_events",
+            "active_users",
+            "active_days",
+            "adopted_feature_count",
+            "usage_intensity",
+            "has_connected_integration",
+            "has_created_report",
+        ),
         key="account_id",
-        labels="usage_intensity",
-        account_id=_ACCOUNT,
-    ),
-    "int_support__account_ticket_summary": _contract(
-        "account_id total_tickets open_tickets resolved_tickets high_priority_tickets "
-        "support_burden_level has_open_tickets has_critical_ticket",
+        labels=("usage_intensity",),
+        references={"account_id": _ACCOUNT},
+    ),
+    "int_support__account_ticket_summary": Contract(
+        not_null=(
+            "account_id",
+            "total_tickets",
+            "open_tickets",
+            "resolved_tickets",
+            "high_priority_tickets",
+            "support_burden_level",
+            "has_open_tickets",
+            "has_critical_ticket",
+        ),
         key="account_id",
-        labels="support_burden_level",
-        account_id=_ACCOUNT,
-    ),
-    "int_customer__health_signals": _contract(
-        "account_id account_lifecycle_stage current_mrr_usd usage_score adoption_score payment_score "
-        "support_score relationship_score customer_health_score customer_health_segment is_churn_risk "
-        "is_current_customer low_usage_paid_account payment_risk_flag support_risk_flag "
-        "raw_customer_health_score",
+        labels=("support_burden_level",),
+        references={"account_id": _ACCOUNT},
+    ),
+    "int_customer__health_signals": Contract(
+        not_null=(
+            "account_id",
+            "account_lifecycle_stage",
+            "current_mrr_usd",
+            "usage_score",
+            "adoption_score",
+            "payment_score",
+            "support_score",
+            "relationship_score",
+            "customer_health_score",
+            "customer_health_segment",
+            "is_churn_risk",
+            "is_current_customer",
+            "low_usage_paid_account",
+            "payment_risk_flag",
+            "support_risk_flag",
+            "raw_customer_health_score",
+        ),
         key="account_id",
-        labels="customer_health_segment",
-        account_id=("int_customer__account_base", "account_id"),
-    ),
-    "mart_customer_health": _contract(
-        "account_id account_name customer_health_segment is_current_customer is_churn_risk "
-        "customer_health_score raw_customer_health_score current_mrr_usd recommended_action "
-        "health_priority_rank",
+        labels=("customer_health_segment",),
+        references={"account_id": ("int_customer__account_base", "account_id")},
+    ),
+    "mart_customer_health": Contract(
+        not_null=(
+            "account_id",
+            "account_name",
+            "customer_health_segment",
+            "is_current_customer",
+            "is_churn_risk",
+            "customer_health_score",
+            "raw_customer_health_score",
+            "current_mrr_usd",
+            "recommended_action",
+            "health_priority_rank",
+        ),
         key="account_id",
-        labels="customer_health_segment",
-        account_id=("int_customer__health_signals", "account_id"),
-    ),
-    "mart_account_360": _contract(
-        "account_id account_name account_status_group customer_health_segment revenue_tier "
-        "account_priority_action current_mrr_usd mrr_at_risk_usd healthy_mrr_usd non_healthy_mrr_usd "
-        "is_current_customer is_churn_risk",
+        labels=("customer_health_segment",),
+        references={"account_id": ("int_customer__health_signals", "account_id")},
+    ),
+    "mart_account_360": Contract(
+        not_null=(
+            "account_id",
+            "account_name",
+            "account_status_group",
+            "customer_health_segment",
+            "revenue_tier",
+            "account_priority_action",
+            "current_mrr_usd",
+            "mrr_at_risk_usd",
+            "healthy_mrr_usd",
+            "non_healthy_mrr_usd",
+            "is_current_customer",
+            "is_churn_risk",
+        ),
         key="account_id",
-        labels="account_status_group customer_health_segment revenue_tier",
-        account_id=("mart_customer_health", "account_id"),
-    ),
-    "mart_churn_risk": _contract(
-        "account_id account_name customer_health_segment current_mrr_usd mrr_at_risk_usd "
-        "primary_risk_reason recommended_risk_playbook risk_priority risk_priority_rank",
+        labels=("account_status_group", "customer_health_segment", "revenue_tier"),
+        references={"account_id": ("mart_customer_health", "account_id")},
+    ),
+    "mart_churn_risk": Contract(
+        not_null=(
+            "account_id",
+            "account_name",
+            "customer_health_segment",
+            "current_mrr_usd",
+            "mrr_at_risk_usd",
+            "primary_risk_reason",
+            "recommended_risk_playbook",
+            "risk_priority",
+            "risk_priority_rank",
+        ),
         key="account_id",
-        labels="customer_health_segment primary_risk_reason risk_priority",
+        labels=("customer_health_segment", "primary_risk_reason", "risk_priority"),
         narrowed={"customer_health_segment": RISK_SEGMENTS},
-        account_id=("mart_account_360", "account_id"),
-    ),
-    "mart_revenue_retention": _contract(
-        "customer_health_segment revenue_tier account_priority_action customer_count "
-        "churn_risk_customer_count current_mrr_usd mrr_at_risk_usd healthy_mrr_usd non_healthy_mrr_usd "
-        "mrr_at_risk_rate customer_risk_rate",
-        labels="customer_health_segment revenue_tier",
+        references={"account_id": ("mart_account_360", "account_id")},
+    ),
+    "mart_revenue_retention": Contract(
+        not_null=(
+            "customer_health_segment",
+            "revenue_tier",
+            "account_priority_action",
+            "customer_count",
+            "churn_risk_customer_count",
+            "current_mrr_usd",
+            "mrr_at_risk_usd",
+            "healthy_mrr_usd",
+            "non_healthy_mrr_usd",
+            "mrr_at_risk_rate",
+            "customer_risk_rate",
+        ),
+        labels=("customer_health_segment", "revenue_tier"),
         narrowed={"customer_health_segment": CUSTOMER_SEGMENTS, "revenue_tier": CUSTOMER_TIERS},
     ),
-    "mart_product_adoption": _contract(
-        "customer_health_segment revenue_tier usage_intensity customer_count churn_risk_customer_count "
-        "current_mrr_usd mrr_at_risk_usd avg_events_per_account avg_adopted_feature_count "
-        "integration_adoption_rate report_creation_rate low_usage_paid_account_rate",
-        labels="customer_health_segment revenue_tier usage_intensity",
+    "mart_product_adoption": Contract(
+        not_null=(
+            "customer_health_segment",
+            "revenue_tier",
+            "usage_intensity",
+            "customer_count",
+            "churn_risk_customer_count",
+            "current_mrr_usd",
+            "mrr_at_risk_usd",
+            "avg_events_per_account",
+            "avg_adopted_feature_count",
+            "integration_adoption_rate",
+            "report_creation_rate",
+            "low_usage_paid_account_rate",
+        ),
+        labels=("customer_health_segment", "revenue_tier", "usage_intensity"),
         narrowed={"customer_health_segment": CUSTOMER_SEGMENTS, "revenue_tier": CUSTOMER_TIERS},
     ),
-    "mart_support_operations": _contract(
-        "customer_health_segment revenue_tier support_burden_level customer_count churn_risk_customer_count "
-        "current_mrr_usd mrr_at_risk_usd total_tickets open_tickets high_priority_tickets critical_tickets "
-        "support_risk_accounts open_ticket_account_rate critical_ticket_account_rate support_risk_account_rate",
-        labels="customer_health_segment revenue_tier support_burden_level",
+    "mart_support_operations": Contract(
+        not_null=(
+            "customer_health_segment",
+            "revenue_tier",
+            "support_burden_level",
+            "customer_count",
+            "churn_risk_customer_count",
+            "current_mrr_usd",
+            "mrr_at_risk_usd",
+            "total_tickets",
+            "open_tickets",
+            "high_priority_tickets",
+            "critical_tickets",
+            "support_risk_accounts",
+            "open_ticket_account_rate",
+            "critical_ticket_account_rate",
+            "support_risk_account_rate",
+        ),
+        labels=("customer_health_segment", "revenue_tier", "support_burden_level"),
         narrowed={"customer_health_segment": CUSTOMER_SEGMENTS, "revenue_tier": CUSTOMER_TIERS},
     ),
 }

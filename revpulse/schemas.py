@@ -25,14 +25,6 @@ class Entity:
         return T.StructType([T.StructField(c, t, True) for c, t in self.columns.items()])
 
 
-def _columns(text="", dates="", stamps="", money="", order=""):
-    kinds = {c: TEXT for c in text.split()}
-    kinds |= {c: DATE for c in dates.split()}
-    kinds |= {c: STAMP for c in stamps.split()}
-    kinds |= {c: MONEY for c in money.split()}
-    return {c: kinds[c] for c in order.split()} if order else kinds
-
-
 # Entity names, their columns in file order, keys and references.
 ENTITIES: dict[str, Entity] = {
     e.name: e
@@ -41,31 +33,48 @@ ENTITIES: dict[str, Entity] = {
             "crm_accounts",
             "One row per account known to the CRM",
             "account_id",
-            _columns(
-                text="account_id account_name industry segment employee_band country account_owner",
-                dates="created_at",
-                order="account_id account_name industry segment employee_band country created_at account_owner",
-            ),
+            {
+                "account_id": TEXT,
+                "account_name": TEXT,
+                "industry": TEXT,
+                "segment": TEXT,
+                "employee_band": TEXT,
+                "country": TEXT,
+                "created_at": DATE,
+                "account_owner": TEXT,
+            },
             required_dates=("created_at",),
         ),
         Entity(
             "crm_contacts",
             "People attached to an account",
             "contact_id",
-            _columns(text="contact_id account_id email full_name role", dates="created_at"),
+            {
+                "contact_id": TEXT,
+                "account_id": TEXT,
+                "email": TEXT,
+                "full_name": TEXT,
+                "role": TEXT,
+                "created_at": DATE,
+            },
             references={"account_id": ("crm_accounts", "account_id")},
         ),
         Entity(
             "crm_deals",
             "Sales opportunities",
             "deal_id",
-            _columns(
-                text="deal_id account_id deal_name pipeline deal_stage plan",
-                money="deal_amount_usd expected_mrr_usd",
-                dates="created_at close_date",
-                order="deal_id account_id deal_name pipeline deal_stage deal_amount_usd "
-                "expected_mrr_usd plan created_at close_date",
-            ),
+            {
+                "deal_id": TEXT,
+                "account_id": TEXT,
+                "deal_name": TEXT,
+                "pipeline": TEXT,
+                "deal_stage": TEXT,
+                "deal_amount_usd": MONEY,
+                "expected_mrr_usd": MONEY,
+                "plan": TEXT,
+                "created_at": DATE,
+                "close_date": DATE,
+            },
             references={"account_id": ("crm_accounts", "account_id")},
             required_dates=("created_at",),
             amounts=("deal_amount_usd", "expected_mrr_usd"),
@@ -74,22 +83,31 @@ ENTITIES: dict[str, Entity] = {
             "billing_customers",
             "Billing-side identity of an account",
             "billing_customer_id",
-            _columns(
-                text="billing_customer_id account_id customer_name country",
-                dates="created_at",
-                order="billing_customer_id account_id customer_name created_at country",
-            ),
+            {
+                "billing_customer_id": TEXT,
+                "account_id": TEXT,
+                "customer_name": TEXT,
+                "created_at": DATE,
+                "country": TEXT,
+            },
             references={"account_id": ("crm_accounts", "account_id")},
         ),
         Entity(
             "billing_subscriptions",
             "Recurring contracts",
             "subscription_id",
-            _columns(
-                text="subscription_id billing_customer_id account_id plan status billing_cycle",
-                money="mrr_usd arr_usd",
-                dates="start_date canceled_at",
-            ),
+            {
+                "subscription_id": TEXT,
+                "billing_customer_id": TEXT,
+                "account_id": TEXT,
+                "plan": TEXT,
+                "status": TEXT,
+                "billing_cycle": TEXT,
+                "start_date": DATE,
+                "canceled_at": DATE,
+                "mrr_usd": MONEY,
+                "arr_usd": MONEY,
+            },
             references={"account_id": ("crm_accounts", "account_id")},
             required_dates=("start_date",),
             amounts=("mrr_usd", "arr_usd"),
@@ -98,13 +116,16 @@ ENTITIES: dict[str, Entity] = {
             "billing_invoices",
             "Invoices raised for a subscription",
             "invoice_id",
-            _columns(
-                text="invoice_id subscription_id billing_customer_id account_id status",
-                dates="invoice_date due_date",
-                money="amount_due_usd",
-                order="invoice_id subscription_id billing_customer_id account_id invoice_date "
-                "due_date amount_due_usd status",
-            ),
+            {
+                "invoice_id": TEXT,
+                "subscription_id": TEXT,
+                "billing_customer_id": TEXT,
+                "account_id": TEXT,
+                "invoice_date": DATE,
+                "due_date": DATE,
+                "amount_due_usd": MONEY,
+                "status": TEXT,
+            },
             references={"subscription_id": ("billing_subscriptions", "subscription_id")},
             required_dates=("invoice_date",),
             amounts=("amount_due_usd",),
@@ -113,13 +134,15 @@ ENTITIES: dict[str, Entity] = {
             "billing_payments",
             "Payments received against an invoice",
             "payment_id",
-            _columns(
-                text="payment_id invoice_id billing_customer_id account_id payment_method",
-                dates="payment_date",
-                money="amount_paid_usd",
-                order="payment_id invoice_id billing_customer_id account_id payment_date "
-                "amount_paid_usd payment_method",
-            ),
+            {
+                "payment_id": TEXT,
+                "invoice_id": TEXT,
+                "billing_customer_id": TEXT,
+                "account_id": TEXT,
+                "payment_date": DATE,
+                "amount_paid_usd": MONEY,
+                "payment_method": TEXT,
+            },
             references={"invoice_id": ("billing_invoices", "invoice_id")},
             required_dates=("payment_date",),
             amounts=("amount_paid_usd",),
@@ -128,10 +151,14 @@ ENTITIES: dict[str, Entity] = {
             "product_events",
             "Product usage events",
             "event_id",
-            _columns(
-                text="event_id account_id subscription_id user_id event_type",
-                stamps="occurred_at",
-            ),
+            {
+                "event_id": TEXT,
+                "account_id": TEXT,
+                "subscription_id": TEXT,
+                "user_id": TEXT,
+                "event_type": TEXT,
+                "occurred_at": STAMP,
+            },
             references={"subscription_id": ("billing_subscriptions", "subscription_id")},
             required_dates=("occurred_at",),
         ),
@@ -139,11 +166,16 @@ ENTITIES: dict[str, Entity] = {
             "support_tickets",
             "Support requests",
             "ticket_id",
-            _columns(
-                text="ticket_id account_id subscription_id status severity category",
-                stamps="created_at resolved_at",
-                order="ticket_id account_id subscription_id created_at resolved_at status severity category",
-            ),
+            {
+                "ticket_id": TEXT,
+                "account_id": TEXT,
+                "subscription_id": TEXT,
+                "created_at": STAMP,
+                "resolved_at": STAMP,
+                "status": TEXT,
+                "severity": TEXT,
+                "category": TEXT,
+            },
             references={"subscription_id": ("billing_subscriptions", "subscription_id")},
             required_dates=("created_at",),
         ),
