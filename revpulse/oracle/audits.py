@@ -69,6 +69,10 @@ def _stack(selects) -> str:
 
 CTES = {
     "a_loads": _stack(_entity_count(n, q) for n, q in _ENTITY_SELECTS.items()),
+    "a_two_loads": """
+SELECT * FROM a_loads
+UNION ALL
+SELECT * REPLACE (TIMESTAMP '2025-12-31 06:00:00' AS loaded_at) FROM a_loads WHERE table_name = 'crm_accounts'""",
     "a_counts": _stack(_count(layer, n, q) for layer, rels in _LAYERS.items() for n, q in rels.items()),
     "a_events": """
 SELECT 'run_' || (event_id // 5) AS run_id, 'account_warehouse' AS pipeline_name, event_type AS stage_name,
@@ -95,14 +99,23 @@ FROM (SELECT run_id, pipeline_name, min(started_at) AS started_at, bool_or(never
 }
 
 ANSWERS = {
+    "read_raw_accounts": _ENTITY_SELECTS["crm_accounts"],
+    "read_raw_contacts": _ENTITY_SELECTS["crm_contacts"],
+    "read_raw_deals": _ENTITY_SELECTS["crm_deals"],
+    "read_raw_billing_customers": _ENTITY_SELECTS["billing_customers"],
     "read_raw_subscriptions": _ENTITY_SELECTS["billing_subscriptions"],
+    "read_raw_invoices": _ENTITY_SELECTS["billing_invoices"],
+    "read_raw_payments": _ENTITY_SELECTS["billing_payments"],
+    "read_raw_events": _ENTITY_SELECTS["product_events"],
     "read_raw_tickets": _ENTITY_SELECTS["support_tickets"],
     "publish_snapshot": _stack(_digest(n, q) for n, q in _ENTITY_SELECTS.items()),
     "table_fingerprint": _stack(_digest(n, q) for n, q in _ENTITY_SELECTS.items()),
-    "load_audit": "SELECT * FROM a_loads",
+    "load_audit": "SELECT * FROM a_two_loads",
     "count_entities": "SELECT * FROM a_loads",
     "reload_is_idempotent": """SELECT table_name, row_count AS rows_before, row_count AS rows_after, true AS unchanged
-FROM a_loads""",
+FROM a_loads
+UNION ALL
+SELECT 'view of crm_accounts', row_count, row_count, true FROM a_loads WHERE table_name = 'crm_accounts'""",
     "register_view": """SELECT plan, COUNT(*) AS subscriptions, CAST(SUM(mrr_usd) AS DECIMAL(18,2)) AS mrr_usd
 FROM x_subscriptions WHERE status = 'active' GROUP BY plan""",
     "materialize_mart": "SELECT * FROM m_retention",
@@ -115,7 +128,7 @@ FROM x_subscriptions WHERE status = 'active' GROUP BY plan""",
 WHERE finished_at IS NULL GROUP BY run_id, stage_name""",
     "stage_durations_latest_run": """SELECT stage_name, status, duration_seconds, error_message FROM a_stages
 WHERE run_id = (SELECT arg_max(run_id, started_at) FROM a_runs)""",
-    "latest_raw_loads": "SELECT * FROM a_loads",
+    "latest_raw_loads": "SELECT * FROM a_two_loads ORDER BY loaded_at DESC, table_name LIMIT 20",
     "latest_row_counts": "SELECT * EXCLUDE (pipeline_name) FROM a_counts",
     "row_counts_latest": """SELECT schema_name, COUNT(*) AS relations_observed,
        CAST(SUM(row_count) AS BIGINT) AS total_rows_observed FROM a_counts GROUP BY schema_name""",

@@ -160,4 +160,13 @@ ANSWERS = {
     "stg_payments": "SELECT * FROM s_payments",
     "stg_events": "SELECT * FROM s_events",
     "stg_tickets": "SELECT * FROM s_tickets",
+    "stg_accounts_from_text": "SELECT * FROM s_accounts",
+    "stg_contacts_from_text": "SELECT * FROM s_contacts",
+    "stg_deals_from_text": "SELECT * FROM s_deals",
+    "stg_billing_customers_from_text": "SELECT * FROM s_customers",
+    "stg_subscriptions_from_text": "SELECT * FROM s_subscriptions",
+    "stg_invoices_from_text": "SELECT * FROM s_invoices",
+    "stg_payments_from_text": "SELECT * FROM s_payments",
+    "stg_events_from_text": "SELECT * FROM s_events",
+    "stg_tickets_from_text": "SELECT * FROM s_tickets",
 }

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass
+import json
+from dataclasses import asdict, dataclass
 from decimal import Decimal
 
 
@@ -18,6 +19,14 @@ class Params:
         if self.usage_window_days < 1:
             raise ValueError("usage_window_days must be at least 1")
 
+    def to_json(self) -> str:
+        return json.dumps({"as_of_date": self.as_of_date.isoformat(), "usage_window_days": self.usage_window_days})
+
+    @classmethod
+    def from_json(cls, text: str) -> Params:
+        found = json.loads(text)
+        return cls(dt.date.fromisoformat(found["as_of_date"]), found["usage_window_days"])
+
     @property
     def window_start(self) -> dt.date:
         return self.as_of_date - dt.timedelta(days=self.usage_window_days - 1)
@@ -60,3 +69,15 @@ class Policy:
 
     mid_value_mrr: int = 5000
     high_value_mrr: int = 10000
+
+    def to_json(self) -> str:
+        """Decimals are written as ``{"decimal": text}``, so they come back exactly."""
+        return json.dumps(asdict(self), default=lambda d: {"decimal": str(d)})
+
+    @classmethod
+    def from_json(cls, text: str) -> Policy:
+        def frozen(value):
+            return tuple(map(frozen, value)) if isinstance(value, list) else value
+
+        found = json.loads(text, object_hook=lambda d: Decimal(d["decimal"]) if set(d) == {"decimal"} else d)
+        return cls(**{name: frozen(value) for name, value in found.items()})

@@ -19,7 +19,8 @@ from revpulse.plans.relations import RELATIONS, Warehouse
 from revpulse.sources import Sources
 from revpulse.sources.files import check_sources, read_folder
 from revpulse.sources.manifest import Manifest
-from revpulse.sources.snapshot import open_snapshot, publish_snapshot
+from revpulse.sources.snapshot import Snapshot, append_audit, write_entities
+from revpulse.sources.warehouse import register_view
 
 RUN_NAME = "account_warehouse"
 # Relations worth writing because several later ones read them, in dependency order.
@@ -110,17 +111,23 @@ def derive(w: Warehouse, spark: SparkSession, root: str) -> dict[str, str]:
     return paths
 
 
-def open_warehouse(
-    spark: SparkSession, root: str, params: Params = Params(), policy: Policy = Policy()
-) -> Warehouse:
-    """The relations of the last run that passed its checks."""
-    root = root.rstrip("/")
-    w = Warehouse(open_snapshot(spark, f"{root}/raw"), params, policy)
-    for name, path in Manifest(spark, root).read().get("relations", {}).items():
+def open_warehouse(spark: SparkSession, root: str) -> Warehouse:
+    """Sources, parameters and relations of the last run that passed its checks, all of one run."""
+    state = Manifest(spark, root).read()
+    if not state:
+        raise FileNotFoundError(f"no run under {root} has passed its checks")
+    w = Warehouse(Snapshot(spark, state["entities"]), Params.from_json(state["params"]), Policy.from_json(state["policy"]))
+    for name, path in state["relations"].items():
         w.store(name, spark.read.parquet(path))
     return w
 
 
+def register_views(w: Warehouse) -> None:
+    """Every relation as a session view of its name. A view made over one of them follows the next run."""
+    for name in RELATIONS:
+        register_view(w[name], name)
+
+
 def _demand(report: DataFrame, what: str) -> None:
     failed = report.where(F.col("status") == "fail").count()
     if failed:
@@ -136,7 +143,11 @@ def build_warehouse(
     sources: Sources | None = None,
     run_id: str | None = None,
 ) -> Warehouse:
-    """Run everything once. Sources come from CSV files or are passed in; a failing check stops the run."""
+    """Run everything once. Sources come from CSV files or are passed in; a failing check stops the run.
+
+    Nothing that a reader opens changes before all checks have passed: sources, relations and parameters
+    are then committed together.
+    """
     root, run_id = root.rstrip("/"), run_id or uuid.uuid4().hex
     history = f"{root}/monitoring"
     log = RunLog(spark, f"{history}/run_log", run_id)
@@ -145,9 +156,10 @@ def build_warehouse(
             if sources is None:
                 check_sources(spark, source_folder)
                 sources = read_folder(spark, source_folder)
-            publish_snapshot(spark, sources, f"{root}/raw", _now())
+            loaded_at = _now()
+            entities, loaded = write_entities(spark, sources, f"{root}/raw")
+            tables = Snapshot(spark, entities)
         with log.stage("validate"):
-            tables = open_snapshot(spark, f"{root}/raw")
             checked_at = F.lit(_now()).cast("timestamp_ntz")
             report = raw_checks.raw_validation_report(spark, tables).withColumn("checked_at", checked_at)
             path = f"{history}/raw_validation_results/run={run_id}"
@@ -161,7 +173,16 @@ def build_warehouse(
             path = f"{history}/contract_results/run={run_id}"
             report.coalesce(1).write.parquet(path)
             _demand(spark.read.schema(report.schema).parquet(path), "warehouse")
-            Manifest(spark, root).commit({"run_id": run_id, "relations": relations})
+            state = {
+                "run_id": run_id,
+                "entities": entities,
+                "relations": relations,
+                "params": params.to_json(),
+                "policy": policy.to_json(),
+            }
+            Manifest(spark, root).commit(lambda was: state)
+            append_audit(spark, root, loaded, loaded_at)
+            register_views(w)
         with log.stage("count"):
             counts = row_counts(w, run_id, _now())
             counts.coalesce(1).write.mode("append").parquet(f"{history}/table_row_count_audit")

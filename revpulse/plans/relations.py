@@ -85,7 +85,7 @@ RELATIONS: dict[str, Relation] = {
         ),
         _mid(
             "int_product__account_usage",
-            lambda w: product.account_usage(w["stg_product__events"], w.params, w.policy),
+            lambda w: product.account_usage(w.recent_events, w.params, w.policy),
         ),
         _mid(
             "int_support__account_ticket_summary",
@@ -152,6 +152,17 @@ class Warehouse(Mapping):
     def written(self, without: str | None = None) -> dict[str, DataFrame]:
         return {n: df for n, df in self._written.items() if n != without}
 
+    @property
+    def recent_events(self) -> DataFrame:
+        """Staged events from which those of the usage window can be taken.
+
+        Published sources keep events by month, so only the months of the window are opened.
+        """
+        between = getattr(self.sources, "between", None)
+        if between is None or "stg_product__events" in self._written:
+            return self["stg_product__events"]
+        return staging.stg_events(between("product_events", self.params.window_start, self.params.as_of_date))
+
     @property
     def subscription_facts(self) -> DataFrame:
         """Settled subscriptions without account names, which account totals do not need.

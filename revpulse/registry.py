@@ -17,10 +17,11 @@ from revpulse.plans.contracts import CONTRACTS, run_contracts
 from revpulse.plans.relations import Warehouse, in_layer
 from revpulse.schemas import ENTITIES
 from revpulse.session import fresh_folder, shared_folder
-from revpulse.sources.bound import bind, run_log
-from revpulse.sources.files import read_folder, source_path
+from revpulse.sources.bound import BASE_SCHEMAS, bind, run_log
+from revpulse.sources.files import read_raw, source_path
 from revpulse.sources.snapshot import (
     count_entities,
+    open_snapshot,
     publish_snapshot,
     read_load_audit,
     reload_is_idempotent,
@@ -31,7 +32,30 @@ from revpulse.sources.warehouse import materialize_mart, register_view
 Query = Callable[[SparkSession, str], DataFrame]
 LOADED_AT = dt.datetime(2026, 1, 1, 6, 0)
 OBSERVED_AT = dt.datetime(2026, 1, 1, 7, 0)
+FIRST_LOADED_AT = dt.datetime(2025, 12, 31, 6, 0)
 RUN_ID = "run_of_record"
+SHORT_NAMES = {
+    "accounts": "crm_accounts",
+    "contacts": "crm_contacts",
+    "deals": "crm_deals",
+    "billing_customers": "billing_customers",
+    "subscriptions": "billing_subscriptions",
+    "invoices": "billing_invoices",
+    "payments": "billing_payments",
+    "events": "product_events",
+    "tickets": "support_tickets",
+}
+STAGED = {
+    "stg_accounts": "stg_crm__accounts",
+    "stg_contacts": "stg_crm__contacts",
+    "stg_deals": "stg_crm__deals",
+    "stg_billing_customers": "stg_billing__customers",
+    "stg_subscriptions": "stg_billing__subscriptions",
+    "stg_invoices": "stg_billing__invoices",
+    "stg_payments": "stg_billing__payments",
+    "stg_events": "stg_product__events",
+    "stg_tickets": "stg_support__tickets",
+}
 
 
 def warehouse(spark: SparkSession, folder: str) -> Warehouse:
@@ -39,28 +63,48 @@ def warehouse(spark: SparkSession, folder: str) -> Warehouse:
     return Warehouse(bind(spark, folder), Params())
 
 
+def _listing(spark: SparkSession, folder: str) -> tuple:
+    """Name, size and time of every file of the base tables, so that changed files are a new state."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    found = []
+    for table in BASE_SCHEMAS:
+        path = hadoop.Path(f"{folder.rstrip('/')}/{table}.parquet")
+        files = path.getFileSystem(conf).listFiles(path, True)
+        while files.hasNext():
+            f = files.next()
+            found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(found))
+
+
 @lru_cache(maxsize=4)
-def _loaded(application: str, spark: SparkSession, folder: str) -> Warehouse:
-    root = fresh_folder(spark, "snapshot")
-    return Warehouse(publish_snapshot(spark, bind(spark, folder), root, LOADED_AT), Params())
+def _load(application: str, spark: SparkSession, folder: str, listing: tuple) -> str:
+    """Two loads, the first of accounts alone; the folder they were published in."""
+    root, tables = fresh_folder(spark, "snapshot"), bind(spark, folder)
+    publish_snapshot(spark, {"crm_accounts": tables["crm_accounts"]}, root, FIRST_LOADED_AT)
+    publish_snapshot(spark, tables, root, LOADED_AT)
+    return root
 
 
 @lru_cache(maxsize=4)
-def _derived(application: str, spark: SparkSession, folder: str) -> Warehouse:
-    root = fresh_folder(spark, "warehouse")
-    w = Warehouse(_loaded(application, spark, folder).sources, Params())
-    derive(w, spark, root)
+def _derived(application: str, spark: SparkSession, folder: str, listing: tuple) -> Warehouse:
+    w = loaded(spark, folder)
+    derive(w, spark, fresh_folder(spark, "warehouse"))
     return w
 
 
+def load_folder(spark: SparkSession, folder: str) -> str:
+    return _load(spark.sparkContext.applicationId, spark, folder, _listing(spark, folder))
+
+
 def loaded(spark: SparkSession, folder: str) -> Warehouse:
     """The sources published once per session, as checks and audits find them after a load."""
-    return _loaded(spark.sparkContext.applicationId, spark, folder)
+    return Warehouse(open_snapshot(spark, load_folder(spark, folder)), Params())
 
 
 def derived(spark: SparkSession, folder: str) -> Warehouse:
     """The loaded sources with the shared relations and marts written out."""
-    return _derived(spark.sparkContext.applicationId, spark, folder)
+    return _derived(spark.sparkContext.applicationId, spark, folder, _listing(spark, folder))
 
 
 def _relation(name: str) -> Query:
@@ -94,23 +138,38 @@ def _sources() -> dict[str, Query]:
 
     def from_csv(entity: str) -> Query:
         def query(spark, folder):
-            target = fresh_folder(spark, "csv")
-            for name, df in bind(spark, folder).items():
-                df.write.option("header", True).csv(source_path(target, name))
-            return read_folder(spark, target)[entity]
+            path = source_path(fresh_folder(spark, "csv"), entity)
+            bind(spark, folder)[entity].write.option("header", True).csv(path)
+            return read_raw(spark, entity, path)
 
         return query
 
-    def audit(spark, folder):
-        target = fresh_folder(spark, "snapshot")
-        publish_snapshot(spark, bind(spark, folder), target, LOADED_AT)
-        return read_load_audit(spark, target)
+    def from_text(stage: str, entity: str) -> Query:
+        """A staging relation over columns that are all text, with empty text for no value."""
+
+        def query(spark, folder):
+            df = bind(spark, folder)[entity]
+            text = df.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in df.columns))
+            return Warehouse({entity: text}, Params())[stage]
+
+        return query
 
     def reload(spark, folder):
+        """Both loads of one session, and an account count through a view made before the second."""
         target, tables = fresh_folder(spark, "snapshot"), bind(spark, folder)
-        before = table_fingerprint(publish_snapshot(spark, tables, target, LOADED_AT))
-        after = table_fingerprint(publish_snapshot(spark, tables, target, OBSERVED_AT))
-        return reload_is_idempotent(before, after)
+        first = publish_snapshot(spark, tables, target, LOADED_AT)
+        before = table_fingerprint(first)
+        register_view(first["crm_accounts"], "loaded_accounts")
+        spark.sql("CREATE OR REPLACE TEMPORARY VIEW counted_accounts AS SELECT count(*) AS n FROM loaded_accounts")
+        second = publish_snapshot(spark, tables, target, OBSERVED_AT)
+        register_view(second["crm_accounts"], "loaded_accounts")
+        same = reload_is_idempotent(before, table_fingerprint(second))
+        seen = spark.table("counted_accounts").select(
+            F.lit("view of crm_accounts").alias("table_name"),
+            F.lit(first["crm_accounts"].count()).alias("rows_before"),
+            F.col("n").alias("rows_after"),
+        )
+        return same.union(seen.withColumn("unchanged", F.col("rows_before") == F.col("rows_after")))
 
     def view(spark, folder):
         name = register_view(warehouse(spark, folder)["stg_billing__subscriptions"], "stg_billing__subscriptions")
@@ -125,11 +184,11 @@ def _sources() -> dict[str, Query]:
 
     return {
         **raw,
-        "read_raw_subscriptions": from_csv("billing_subscriptions"),
-        "read_raw_tickets": from_csv("support_tickets"),
+        **{f"read_raw_{short}": from_csv(entity) for short, entity in SHORT_NAMES.items()},
+        **{f"stg_{short}_from_text": from_text(STAGED[f"stg_{short}"], entity) for short, entity in SHORT_NAMES.items()},
         "publish_snapshot": lambda spark, folder: table_fingerprint(loaded(spark, folder).sources),
         "table_fingerprint": lambda spark, folder: table_fingerprint(bind(spark, folder)),
-        "load_audit": audit,
+        "load_audit": lambda spark, folder: read_load_audit(spark, load_folder(spark, folder)),
         "count_entities": lambda spark, folder: count_entities(bind(spark, folder), LOADED_AT),
         "reload_is_idempotent": reload,
         "register_view": view,
@@ -141,19 +200,10 @@ def _sources() -> dict[str, Query]:
 def _models() -> dict[str, Query]:
     p = Params()
     staged = {
-        "stg_accounts": "stg_crm__accounts",
-        "stg_contacts": "stg_crm__contacts",
-        "stg_deals": "stg_crm__deals",
-        "stg_billing_customers": "stg_billing__customers",
-        "stg_subscriptions": "stg_billing__subscriptions",
-        "stg_invoices": "stg_billing__invoices",
-        "stg_payments": "stg_billing__payments",
-        "stg_events": "stg_product__events",
-        "stg_tickets": "stg_support__tickets",
+        **STAGED,
         "invoice_payment_summary": "int_revenue__invoice_payment_summary",
         "subscriptions_enriched": "int_revenue__subscriptions_enriched",
         "account_base": "int_customer__account_base",
-        "account_usage": "int_product__account_usage",
         "account_ticket_summary": "int_support__account_ticket_summary",
         "health_signals": "int_customer__health_signals",
         **{m: m for m in in_layer("marts")},
@@ -162,7 +212,8 @@ def _models() -> dict[str, Query]:
     invoices, enriched = "int_revenue__invoice_payment_summary", "int_revenue__subscriptions_enriched"
     return {
         **{query: _relation(name) for query, name in staged.items()},
-        "events_in_window": _over(events, lambda d: product.events_in_window(d, p)),
+        "account_usage": lambda spark, folder: loaded(spark, folder)["int_product__account_usage"],
+        "events_in_window": lambda spark, folder: product.events_in_window(loaded(spark, folder).recent_events, p),
         "payments_as_of": _over("stg_billing__payments", lambda d: revenue.payments_as_of(d, p)),
         "tickets_as_of": _over(tickets, lambda d: support.tickets_as_of(d, p)),
         "current_customers": _over("mart_account_360", marts.current_customers),
@@ -384,7 +435,7 @@ def _audits() -> dict[str, Query]:
         "latest_running_stage": stages(monitoring.latest_running_stage),
         "stage_durations_latest_run": latest_run_stages,
         "latest_raw_loads": lambda spark, folder: monitoring.latest_raw_loads(
-            count_entities(loaded(spark, folder).sources, LOADED_AT)
+            read_load_audit(spark, load_folder(spark, folder))
         ),
         "latest_row_counts": _on_derived(
             lambda w: monitoring.latest_row_counts(row_counts(w, RUN_ID, OBSERVED_AT))

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -25,32 +24,14 @@ def configure(builder: SparkSession.Builder, **extra: str) -> SparkSession.Build
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder for intermediate tables that every executor can reach.
-
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session, where
-    one machine is the whole cluster, may fall back to a folder of its own.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="revpulse-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    """Folder for intermediate tables that every executor can reach: ``spark.checkpoint.dir`` of the session."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        raise RuntimeError(
+            "this needs a folder that all executors share: start the session with the option spark.checkpoint.dir"
+        )
+    return named.rstrip("/")
 
 
 def fresh_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write a result once and read it back, so several readers share the work.
-
-    The lineage is cut by a written table, which outlives a lost executor.
-    """
-    path = fresh_folder(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,17 +1,22 @@
-"""One small file that names the current folders of a set of tables.
+"""The current state of a set of tables, as numbered files of which the last counts.
 
-Replacing the file by rename is the commit. The rename must be atomic, which
-holds for HDFS and local file systems; on an object store keep the manifest
-where rename is atomic.
+A commit writes the next number with a rename that does not replace anything, so of two commits that
+overlap one fails, reads what the other wrote, and tries again. This needs a file system on which such a
+rename is atomic, as on HDFS and local disks; on an object store keep the manifests where it is.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
+#: Older states that are kept for readers that are just opening them.
+KEPT = 20
+
 
 class Manifest:
     def __init__(self, spark: SparkSession, root: str):
@@ -19,28 +24,56 @@ class Manifest:
         self._jvm, self._gateway = spark._jvm, spark.sparkContext._gateway
         conf = spark._jsparkSession.sessionState().newHadoopConf()
         hadoop = self._jvm.org.apache.hadoop.fs
-        self._path = hadoop.Path(f"{self.root}/_manifest.json")
-        self._files = self._path.getFileSystem(conf)
+        self._folder = hadoop.Path(f"{self.root}/_manifests")
+        self._files = self._folder.getFileSystem(conf)
         self._context = hadoop.FileContext.getFileContext(self._files.getUri(), conf)
 
-    def read(self) -> dict:
-        """Current content; empty before the first commit."""
-        if not self._files.exists(self._path):
-            return {}
-        stream = self._files.open(self._path)
+    def _numbers(self) -> list[int]:
+        if not self._files.exists(self._folder):
+            return []
+        names = [s.getPath().getName() for s in self._files.listStatus(self._folder)]
+        return sorted(int(n[:-5]) for n in names if n.endswith(".json"))
+
+    def _path(self, number: int):
+        return self._jvm.org.apache.hadoop.fs.Path(f"{self.root}/_manifests/{number:012d}.json")
+
+    def _read(self, number: int) -> dict:
+        stream = self._files.open(self._path(number))
         try:
             return json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
 
-    def commit(self, content: dict) -> None:
+    def read(self) -> dict:
+        """Current content; empty before the first commit."""
+        numbers = self._numbers()
+        return self._read(numbers[-1]) if numbers else {}
+
+    def commit(self, change: Callable[[dict], dict]) -> None:
+        """Make ``change(current content)`` the current content; it may be called again on newer content."""
+        while True:
+            numbers = self._numbers()
+            content = change(self._read(numbers[-1]) if numbers else {})
+            if self._created(numbers[-1] + 1 if numbers else 1, content):
+                break
+        for old in numbers[: -KEPT + 1]:
+            self._files.delete(self._path(old), False)
+
+    def _created(self, number: int, content: dict) -> bool:
         hadoop = self._jvm.org.apache.hadoop.fs
-        draft = hadoop.Path(f"{self.root}/_manifest.{uuid.uuid4().hex}")
+        draft = hadoop.Path(f"{self.root}/_manifests/_draft-{uuid.uuid4().hex}")
         stream = self._files.create(draft, False)
         try:
             stream.write(bytearray(json.dumps(content, indent=1), "utf-8"))
         finally:
             stream.close()
-        overwrite = self._gateway.new_array(hadoop.Options.Rename, 1)
-        overwrite[0] = hadoop.Options.Rename.OVERWRITE
-        self._context.rename(draft, self._path, overwrite)
+        plain = self._gateway.new_array(hadoop.Options.Rename, 1)
+        plain[0] = getattr(hadoop.Options.Rename, "NONE")
+        try:
+            self._context.rename(draft, self._path(number), plain)
+        except Py4JJavaError as e:
+            self._files.delete(draft, False)
+            if "FileAlreadyExistsException" in e.java_exception.getClass().getName():
+                return False
+            raise
+        return True

@@ -1,8 +1,8 @@
 """All-or-nothing publishing of a full source snapshot.
 
-A load writes every entity and its audit rows to new folders and only then
-commits one manifest. Readers resolve folders through the manifest, so they see
-either the whole old load or the whole new one.
+A load writes every entity to a new folder and only then commits their paths in one manifest. Readers
+resolve folders through the manifest, so they see either the whole old load or the whole new one. The
+audit rows of a load are appended to one table once it is committed.
 """
 
 from __future__ import annotations
@@ -21,8 +21,9 @@ from revpulse.sources import Sources
 from revpulse.sources.manifest import Manifest
 
 AUDIT_SCHEMA = "table_schema string, table_name string, row_count bigint, loaded_at timestamp_ntz"
-# Rows of a file are kept in this order so a date filter skips row groups.
-CLUSTERED_BY = {"product_events": "occurred_at", "support_tickets": "created_at", "billing_payments": "payment_date"}
+# These entities are written in folders by month, and in time order within a file.
+TIMED_BY = {"product_events": "occurred_at", "support_tickets": "created_at", "billing_payments": "payment_date"}
+MONTH = "_month"
 
 
 def load_audit(spark: SparkSession, counts: Mapping[str, int], loaded_at: dt.datetime) -> DataFrame:
@@ -43,10 +44,34 @@ def count_entities(frames: Mapping[str, DataFrame], loaded_at: dt.datetime) -> D
     )
 
 
-def publish_snapshot(
-    spark: SparkSession, frames: Mapping[str, DataFrame], root: str, loaded_at: dt.datetime, writers: int = 4
-) -> Sources:
-    """Replace the given entities together; any failure leaves the previous load in place."""
+class Snapshot(Sources):
+    """Published entities; of those that are kept by month a range of days opens only its months."""
+
+    def __init__(self, spark: SparkSession, paths: Mapping[str, str]):
+        self.paths = dict(paths)
+        self._stored = {}
+        for name, path in self.paths.items():
+            schema = ENTITIES[name].schema
+            if name in TIMED_BY:
+                schema = schema.add(MONTH, "date")
+            self._stored[name] = spark.read.schema(schema).parquet(path)
+        super().__init__({name: df.drop(MONTH) for name, df in self._stored.items()})
+
+    def between(self, name: str, first: dt.date | None, last: dt.date) -> DataFrame:
+        """Rows of the months of these days; other entities, and rows without a time, are left as they are."""
+        df = self._stored[name]
+        if name not in TIMED_BY:
+            return df
+        months = F.col(MONTH) <= F.lit(last.replace(day=1))
+        if first is not None:
+            months &= F.col(MONTH) >= F.lit(first.replace(day=1))
+        return df.where(months).drop(MONTH)
+
+
+def write_entities(
+    spark: SparkSession, frames: Mapping[str, DataFrame], root: str, writers: int = 4
+) -> tuple[dict[str, str], dict[str, int]]:
+    """Write entities to new folders that no manifest names yet; their paths and row counts."""
     unknown = sorted(set(frames) - set(ENTITIES))
     if unknown:
         raise ValueError(f"unknown source entities: {', '.join(unknown)}")
@@ -55,34 +80,43 @@ def publish_snapshot(
     def write(name: str) -> tuple[str, str, int]:
         path = f"{root}/{name}/v={version}"
         df = frames[name].select(*ENTITIES[name].columns)
-        if name in CLUSTERED_BY:
-            df = df.sortWithinPartitions(CLUSTERED_BY[name])
-        df.write.parquet(path)
+        if name in TIMED_BY:
+            # Spark splits a large month over several files and joins no two months in one.
+            df = df.withColumn(MONTH, F.trunc(TIMED_BY[name], "month")).hint("rebalance", F.col(MONTH))
+            df.sortWithinPartitions(MONTH, TIMED_BY[name]).write.partitionBy(MONTH).parquet(path)
+        else:
+            df.write.parquet(path)
         return name, path, spark.read.schema(df.schema).parquet(path).count()
 
     with ThreadPoolExecutor(writers) as pool:
         written = list(pool.map(write, frames))
-    audit = f"{root}/load_audit/v={version}"
-    load_audit(spark, {name: n for name, _, n in written}, loaded_at).coalesce(1).write.parquet(audit)
+    return {name: path for name, path, _ in written}, {name: n for name, _, n in written}
+
+
+def append_audit(spark: SparkSession, root: str, counts: Mapping[str, int], loaded_at: dt.datetime) -> None:
+    load_audit(spark, counts, loaded_at).coalesce(1).write.mode("append").parquet(f"{root.rstrip('/')}/load_audit")
 
-    manifest = Manifest(spark, root)
-    was = manifest.read()
-    entities = {**was.get("entities", {}), **{name: path for name, path, _ in written}}
-    manifest.commit({"entities": entities, "audits": [*was.get("audits", []), audit]})
+
+def publish_snapshot(
+    spark: SparkSession, frames: Mapping[str, DataFrame], root: str, loaded_at: dt.datetime, writers: int = 4
+) -> Snapshot:
+    """Replace the given entities together; any failure leaves the previous load in place."""
+    paths, counts = write_entities(spark, frames, root, writers)
+    Manifest(spark, root).commit(lambda was: {**was, "entities": {**was.get("entities", {}), **paths}})
+    append_audit(spark, root, counts, loaded_at)
     return open_snapshot(spark, root)
 
 
-def open_snapshot(spark: SparkSession, root: str) -> Sources:
+def open_snapshot(spark: SparkSession, root: str) -> Snapshot:
     """The entities of the load the manifest currently names."""
-    entities = Manifest(spark, root).read().get("entities", {})
-    return Sources({name: spark.read.schema(ENTITIES[name].schema).parquet(path) for name, path in entities.items()})
+    return Snapshot(spark, Manifest(spark, root).read().get("entities", {}))
 
 
 def read_load_audit(spark: SparkSession, root: str) -> DataFrame:
-    audits = Manifest(spark, root).read().get("audits", [])
-    if not audits:
+    """Audit rows of all committed loads."""
+    if not Manifest(spark, root).read():
         return spark.createDataFrame([], AUDIT_SCHEMA)
-    return spark.read.schema(AUDIT_SCHEMA).parquet(*audits)
+    return spark.read.schema(AUDIT_SCHEMA).parquet(f"{root.rstrip('/')}/load_audit")
 
 
 def table_fingerprint(frames: Mapping[str, DataFrame]) -> DataFrame:

@@ -3,9 +3,13 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from revpulse.params import Params, Policy
+from revpulse.plans.relations import Warehouse
 from revpulse.schemas import ENTITIES, source_catalog
+from revpulse.session import shared_folder
 from revpulse.sources import Sources
 from revpulse.sources.files import MissingSources, check_sources, read_folder, read_raw
+from revpulse.sources.manifest import KEPT, Manifest
 from revpulse.sources.snapshot import (
     open_snapshot,
     publish_snapshot,
@@ -141,3 +145,54 @@ def test_layers(spark, frame, tmp_path):
     assert name == "marts.answers"
     materialize_mart(spark, frame("a int", (2,), (3,)), "answers", "marts", str(tmp_path))
     assert sorted(r.a for r in spark.table(name).collect()) == [2, 3]
+
+
+def test_overlapping_commits_lose_nothing(spark, tmp_path):
+    one, other = Manifest(spark, str(tmp_path)), Manifest(spark, str(tmp_path))
+    calls = []
+
+    def slow(was):
+        calls.append(was)
+        if len(calls) == 1:  # another commit gets in between reading and writing
+            other.commit(lambda w: {**w, "b": 2})
+        return {**was, "a": 1}
+
+    one.commit(slow)
+    assert one.read() == {"a": 1, "b": 2} and calls == [{}, {"b": 2}]
+    for k in range(KEPT + 5):
+        one.commit(lambda was: {**was, "k": k})
+    assert other.read() == {"a": 1, "b": 2, "k": KEPT + 4}
+    assert len(list((tmp_path / "_manifests").glob("[0-9]*.json"))) == KEPT
+
+
+def test_a_range_of_days_opens_only_its_months(spark, entity, tmp_path):
+    rows = [{"event_id": f"e{m}_{d}", "account_id": "a", "event_type": "login", "occurred_at": f"2025-{m:02}-{d:02}T01:02:03"} for m in range(1, 13) for d in (1, 15, 28)]
+    rows.append({"event_id": "never"})
+    snapshot = publish_snapshot(spark, {"product_events": entity("product_events", *rows)}, str(tmp_path), T1)
+    assert snapshot["product_events"].columns == list(ENTITIES["product_events"].columns)
+    assert snapshot["product_events"].count() == 37
+    window = snapshot.between("product_events", dt.date(2025, 10, 5), dt.date(2025, 12, 31))
+    plan = window._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_month" in plan
+    assert {r.event_id.split("_")[0] for r in window.collect()} == {"e10", "e11", "e12"}
+    read = window.select(F.input_file_name().alias("f")).distinct().collect()
+    assert {r.f.split("_month=")[1][:10] for r in read} == {"2025-10-01", "2025-11-01", "2025-12-01"}
+    assert len(snapshot["product_events"].inputFiles()) == 13
+    w = Warehouse(snapshot, Params(dt.date(2025, 12, 31), 90))
+    assert w["int_product__account_usage"].first().total_events == 9 - 1  # window starts on October 3
+
+
+def test_intermediate_tables_need_the_shared_folder():
+    class Session:
+        class conf:
+            @staticmethod
+            def get(key, default):
+                return default
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Session)
+
+
+def test_policy_and_parameters_survive_json():
+    policy, params = Policy(high_value_mrr=7), Params(dt.date(2024, 2, 29), 7)
+    assert Policy.from_json(policy.to_json()) == policy and Params.from_json(params.to_json()) == params
