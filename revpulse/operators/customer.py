@@ -47,27 +47,22 @@ def subscriptions_by_account(subscriptions: DataFrame) -> DataFrame:
     )
 
 
-SPREAD = 32
-
-
 def with_billing_customers(accounts: DataFrame, billing_customers: DataFrame) -> DataFrame:
     """Left join to billing customers that stays even when one account has most of them.
 
-    Billing customers are dealt to parts by their own id. An account is repeated only
-    for the parts it occurs in, normally one, and the join runs on account and part,
-    so the matches of a single account meet in many tasks.
+    Billing customers are counted per account like any other child, and an account with one takes its id
+    from there, in place. Only accounts with several are joined to the rows themselves; that is an inner join,
+    of which Spark can split a large key on either side.
     """
-    dealt = billing_customers.select(
-        "account_id", "billing_customer_id", F.expr(f"pmod(xxhash64(billing_customer_id), {SPREAD}L)").alias("part")
-    )
-    occupied = dealt.groupBy("account_id").agg(F.expr("bit_or(shiftleft(1L, CAST(part AS INT)))").alias("occupied"))
-    parts = F.expr(f"filter(sequence(0L, {SPREAD - 1}L), p -> getbit(occupied, CAST(p AS INT)) = 1)")
-    return (
-        accounts.join(occupied, "account_id", "left")
-        .withColumn("part", F.explode_outer(parts))
-        .join(dealt, ["account_id", "part"], "left")
-        .drop("occupied", "part")
-    )
+    pairs = billing_customers.select("account_id", "billing_customer_id")
+    counted = pairs.groupBy("account_id").agg(
+        F.count(F.lit(1)).alias("billing_customers"), F.min("billing_customer_id").alias("billing_customer_id")
+    )
+    wide = accounts.join(counted, "account_id", "left")
+    several = F.coalesce(F.col("billing_customers") > 1, F.lit(False))
+    one = wide.where(~several).drop("billing_customers")
+    many = wide.where(several).drop("billing_customers", "billing_customer_id").join(pairs, "account_id")
+    return one.unionByName(many)
 
 
 def account_base(
