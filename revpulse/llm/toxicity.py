@@ -33,7 +33,7 @@ from . import words as W
 from .labelled import fold, sample_ids
 
 #: Labelled texts that the model is fitted on, at most.
-TRAINING_TEXTS = 5000
+TRAINING_TEXTS = 4000
 BUCKETS, WINDOW, FACTORS = 1 << 20, 32, 4
 #: Texts of the sample that must have a term, and standard deviations by which their toxic share must stand
 #: out. Other terms weigh nothing: with thousands of them the model would learn wrong labels by heart.
@@ -76,14 +76,18 @@ def terms(starts: np.ndarray, data: np.ndarray) -> tuple[W.Words, np.ndarray]:
     return words, np.stack([(h >> np.uint64(44)).astype(np.int32) for h in hashes], axis=1)
 
 
-def cut_windows(counts: np.ndarray, buckets: np.ndarray, place: np.ndarray) -> Windows:
-    """Distinct known terms of each window; ``counts`` has the number of words of each text."""
-    term = place[buckets]
-    word, kind = np.nonzero(term >= 0)
-    term, size = term[word, kind], int(place.max()) + 2
+def known_terms(counts: np.ndarray, buckets: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, word in it, and index of every known term; ``counts`` has the number of words of each text."""
+    found = place[buckets]
+    word, kind = np.nonzero(found >= 0)
     first = np.append(0, np.cumsum(counts))
     owner = np.searchsorted(first, word, side="right") - 1
-    at = word - first[owner]
+    return owner, word - first[owner], found[word, kind]
+
+
+def cut_windows(counts: np.ndarray, owner: np.ndarray, at: np.ndarray, term: np.ndarray) -> Windows:
+    """Distinct known terms of each window."""
+    size = int(term.max(initial=0)) + 1
     # Each text has room for its windows of both cuts.
     room = np.append(0, np.cumsum(2 * (counts // WINDOW + 2)))
     entries = []
@@ -118,21 +122,21 @@ def _most_toxic(windows: Windows, logits: np.ndarray) -> np.ndarray:
     return order[np.flatnonzero(np.diff(windows.text[order], append=-1))]
 
 
-def fit(counts: np.ndarray, buckets: np.ndarray, weight: np.ndarray, y: np.ndarray, seed: int = 7) -> Model:
+def fit(buckets: list[np.ndarray], weight: np.ndarray, y: np.ndarray, seed: int = 7) -> Model:
     """Adam on the log loss of each text's most toxic window, which is looked for anew in each epoch.
 
-    ``counts`` and ``buckets`` are as in ``cut_windows``, ``weight`` and ``y`` are by text.
+    ``buckets`` has the terms of each text as in ``terms``.
     """
     place = np.full(BUCKETS, -1, np.int32)
     share = float(np.clip(np.average(y, weights=weight), 0.01, 0.99)) if len(y) else 0.5
     if not len(y) or y.min() == y.max():
         return Model(float(np.log(share / (1 - share))), place, np.zeros(1), np.zeros((FACTORS, 1)))
     # In how many texts of either class a term is.
-    owner = np.repeat(np.repeat(np.arange(len(counts)), counts), buckets.shape[1])
-    seen = np.unique(owner * BUCKETS + buckets.reshape(-1))
-    texts, bucket = seen // BUCKETS, seen % BUCKETS
-    toxic = np.bincount(bucket, (weight * y)[texts], BUCKETS)
-    every = np.bincount(bucket, weight[texts], BUCKETS)
+    toxic, every = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for terms_of, heavy, is_toxic in zip(buckets, weight, y):
+        here = np.unique(terms_of)
+        every[here] += heavy
+        toxic[here] += heavy * is_toxic
     expected = every * share
     surprise = (toxic - expected) / np.sqrt(expected * (1 - share) + 1e-9)
     known = np.flatnonzero((every >= LEAST_TEXTS) & (np.abs(surprise) >= STANDS_OUT))
@@ -144,7 +148,10 @@ def fit(counts: np.ndarray, buckets: np.ndarray, weight: np.ndarray, y: np.ndarr
     w = odds.copy()
     v = rng.normal(0, 0.02, (FACTORS, len(known)))
     b, moments, step = -2.0, {}, 0
-    windows = cut_windows(counts, buckets, place)
+    counts = np.array([len(x) for x in buckets])
+    known_in = [known_terms(counts[k : k + 1], x, place)[1:] for k, x in enumerate(buckets)]
+    owner = np.repeat(np.arange(len(counts)), [len(at) for at, _ in known_in])
+    windows = cut_windows(counts, owner, *(np.concatenate(x) for x in zip(*known_in)))
 
     def adam(name, value, gradient):
         m, s = moments.get(name, (0.0, 0.0))
@@ -197,10 +204,8 @@ def trained(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int
     rows = texts.mapInArrow(_term_rows, "doc_id long, label int, family long, buckets binary").collect()
     rows = list({r["doc_id"]: r for r in sorted(rows, key=lambda r: (r["doc_id"], r["buckets"]))}.values())
     families = Counter(r["family"] for r in rows)
-    buckets = [np.frombuffer(r["buckets"], np.int32).reshape(-1, len(STARTS)) for r in rows]
     return fit(
-        np.array([len(b) for b in buckets], np.int64),
-        np.concatenate([np.zeros((0, len(STARTS)), np.int32), *buckets]),
+        [np.frombuffer(r["buckets"], np.int32).reshape(-1, len(STARTS)) for r in rows],
         np.array([1.0 if r["family"] is None else 1 / families[r["family"]] for r in rows]),
         np.array([float(r["label"]) for r in rows]),
     )
@@ -209,7 +214,7 @@ def trained(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int
 def scores(model: Model, column: pa.Array) -> Iterator[tuple[slice, np.ndarray]]:
     for rows, starts, data in W.chunks(column):
         words, buckets = terms(starts, data)
-        logits = model.logits(cut_windows(words.counts, buckets, model.place))
+        logits = model.logits(cut_windows(words.counts, *known_terms(words.counts, buckets, model.place)))
         yield rows, 1 / (1 + np.exp(-logits))
 
 
