@@ -5,6 +5,7 @@ from collections import Counter
 import pytest
 
 import __spark_entry__ as entry
+from revpulse import oracle, registry
 
 duckdb = pytest.importorskip("duckdb")
 
@@ -24,7 +25,8 @@ def answers(data):
 
 
 def test_every_query_has_an_answer():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.queries()) == set(oracle.statements())
+    assert set(registry.queries()) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", CHECKED)
