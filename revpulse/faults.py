@@ -47,6 +47,69 @@ def deals(df: DataFrame) -> DataFrame:
     )
 
 
+def contacts(df: DataFrame) -> DataFrame:
+    """No rows at all."""
+    return df.where(F.lit(False))
+
+
+def subscriptions(df: DataFrame) -> DataFrame:
+    """Negative revenue of one plan, canceled ones without a start."""
+    return df.withColumns(
+        {
+            "mrr_usd": _where(F.col("plan") == "Starter", -F.col("mrr_usd"), "mrr_usd"),
+            "start_date": _where(F.col("status") == "canceled", None, "start_date"),
+        }
+    )
+
+
+def invoices(df: DataFrame) -> DataFrame:
+    """Open ones without a date, of unknown subscriptions, and with negative amounts."""
+    is_open = F.col("status") == "open"
+    return df.withColumns(
+        {
+            "invoice_date": _where(is_open, None, "invoice_date"),
+            "subscription_id": _where(is_open, F.concat(F.lit("lost_"), "subscription_id"), "subscription_id"),
+            "amount_due_usd": _where(is_open, -F.col("amount_due_usd"), "amount_due_usd"),
+        }
+    )
+
+
+def payments(df: DataFrame) -> DataFrame:
+    """Cards without a key, wires with negative amounts, transfers without a date and of unknown invoices."""
+    method = F.col("payment_method")
+    return df.withColumns(
+        {
+            "payment_id": _where(method == "card", None, "payment_id"),
+            "amount_paid_usd": _where(method == "wire", -F.col("amount_paid_usd"), "amount_paid_usd"),
+            "payment_date": _where(method == "bank_transfer", None, "payment_date"),
+            "invoice_id": _where(method == "bank_transfer", F.concat(F.lit("lost_"), "invoice_id"), "invoice_id"),
+        }
+    )
+
+
+def events(df: DataFrame) -> DataFrame:
+    """Logins without a time, invitations of unknown subscriptions, reports twice."""
+    kind = F.col("event_type")
+    broken = df.withColumns(
+        {
+            "occurred_at": _where(kind == "login", None, "occurred_at"),
+            "subscription_id": _where(kind == "user_invited", F.concat(F.lit("lost_"), "subscription_id"), "subscription_id"),
+        }
+    )
+    return broken.unionByName(broken.where(kind == "report_created"))
+
+
+def tickets(df: DataFrame) -> DataFrame:
+    """Critical ones without a time, billing ones without a subscription, which is allowed, pending ones twice."""
+    broken = df.withColumns(
+        {
+            "created_at": _where(F.col("severity") == "critical", None, "created_at"),
+            "subscription_id": _where(F.col("category") == "billing", None, "subscription_id"),
+        }
+    )
+    return broken.unionByName(broken.where(F.col("status") == "pending"))
+
+
 def account_360(df: DataFrame) -> DataFrame:
     mrr, healthy = F.col("current_mrr_usd"), F.col("healthy_mrr_usd")
     off = F.when(_country(2), F.lit(Decimal("0.02"))).when(_country(3), F.lit(Decimal("0.01"))).otherwise(Decimal("0.00"))

@@ -81,7 +81,16 @@ def _all_raw(src) -> str:
 
 
 _GOOD = {n: f"({q})" for n, q in _ENTITY_SELECTS.items()}
-_FAULTY = {"crm_accounts": "f_accounts", "crm_deals": "f_deals"}
+_FAULTY = {
+    "crm_accounts": "f_accounts",
+    "crm_contacts": "f_contacts",
+    "crm_deals": "f_deals",
+    "billing_subscriptions": "f_subscriptions",
+    "billing_invoices": "f_invoices",
+    "billing_payments": "f_payments",
+    "product_events": "f_events",
+    "support_tickets": "f_tickets",
+}
 
 
 def _literals(values) -> str:
@@ -159,6 +168,29 @@ SELECT * EXCLUDE (ok, ck, os) REPLACE (
   CASE plan WHEN 'Scale' THEN 0 - deal_amount_usd ELSE deal_amount_usd END AS deal_amount_usd,
   CASE deal_stage WHEN 'proposal' THEN 'lost_' || account_id WHEN 'qualified' THEN NULL ELSE account_id END AS account_id)
 FROM x_deals""",
+    "f_contacts": "SELECT * FROM x_contacts WHERE false",
+    "f_subscriptions": """
+SELECT * REPLACE (CASE plan WHEN 'Starter' THEN 0 - mrr_usd ELSE mrr_usd END AS mrr_usd,
+                  CASE WHEN status <> 'canceled' THEN start_date END AS start_date) FROM x_subscriptions""",
+    "f_invoices": """
+SELECT * REPLACE (CASE WHEN status <> 'open' THEN invoice_date END AS invoice_date,
+                  if(status = 'open', 'lost_', '') || subscription_id AS subscription_id,
+                  if(status = 'open', 0 - amount_due_usd, amount_due_usd) AS amount_due_usd) FROM x_invoices""",
+    "f_payments": """
+SELECT * REPLACE (CASE WHEN payment_method <> 'card' THEN payment_id END AS payment_id,
+                  if(payment_method = 'wire', 0 - amount_paid_usd, amount_paid_usd) AS amount_paid_usd,
+                  CASE WHEN payment_method <> 'bank_transfer' THEN payment_date END AS payment_date,
+                  if(payment_method = 'bank_transfer', 'lost_', '') || invoice_id AS invoice_id) FROM x_payments""",
+    "f_events": """
+SELECT * EXCLUDE (n) FROM (
+  SELECT * REPLACE (CASE WHEN event_type <> 'login' THEN occurred_at END AS occurred_at,
+                    if(event_type = 'user_invited', 'lost_', '') || subscription_id AS subscription_id),
+         unnest(range(if(event_type = 'report_created', 2, 1))) AS n FROM x_events)""",
+    "f_tickets": """
+SELECT * EXCLUDE (n) FROM (
+  SELECT * REPLACE (CASE WHEN severity <> 'critical' THEN created_at END AS created_at,
+                    CASE WHEN category <> 'billing' THEN subscription_id END AS subscription_id),
+         unnest(range(if(status = 'pending', 2, 1))) AS n FROM x_tickets)""",
     "f_360": """
 SELECT * REPLACE (
   CAST(CASE country WHEN 'NATION_1' THEN 0 - current_mrr_usd ELSE current_mrr_usd END AS DECIMAL(18,2)) AS current_mrr_usd,
@@ -182,7 +214,7 @@ _DEAL_NULLS = [
 ANSWERS = {
     "raw_validation_report": _all_raw(_GOOD),
     "raw_validation_of_faults": _all_raw(_FAULTY),
-    "check_not_empty": _stack(_not_empty(_GOOD)),
+    "check_not_empty": _stack(_not_empty(_FAULTY)),
     "check_pk_not_null": _stack(_pk_present(_FAULTY)),
     "check_pk_unique": _stack(_pk_unique(_FAULTY)),
     "check_relationships": _stack(_related(_FAULTY)),

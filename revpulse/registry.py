@@ -305,7 +305,13 @@ def _policy() -> dict[str, Query]:
 def _faulty_tables(w: Warehouse) -> dict[str, DataFrame]:
     return {
         "crm_accounts": faults.accounts(w["crm_accounts"]),
+        "crm_contacts": faults.contacts(w["crm_contacts"]),
         "crm_deals": faults.deals(w["crm_deals"]),
+        "billing_subscriptions": faults.subscriptions(w["billing_subscriptions"]),
+        "billing_invoices": faults.invoices(w["billing_invoices"]),
+        "billing_payments": faults.payments(w["billing_payments"]),
+        "product_events": faults.events(w["product_events"]),
+        "support_tickets": faults.tickets(w["support_tickets"]),
     }
 
 
@@ -313,9 +319,6 @@ def _checks() -> dict[str, Query]:
     def raw_report(spark, folder):
         return raw_checks.raw_validation_report(spark, loaded(spark, folder).sources)
 
-    def clean(check) -> Query:
-        return lambda spark, folder: raw_checks.with_status(check(loaded(spark, folder).sources))
-
     def faulty(check) -> Query:
         return lambda spark, folder: raw_checks.with_status(check(_faulty_tables(loaded(spark, folder))))
 
@@ -332,7 +335,7 @@ def _checks() -> dict[str, Query]:
         "raw_validation_of_faults": lambda spark, folder: raw_checks.raw_validation_report(
             spark, _faulty_tables(loaded(spark, folder))
         ),
-        "check_not_empty": clean(raw_checks.check_not_empty),
+        "check_not_empty": faulty(raw_checks.check_not_empty),
         "check_pk_not_null": faulty(raw_checks.check_pk_not_null),
         "check_pk_unique": faulty(raw_checks.check_pk_unique),
         "check_relationships": faulty(raw_checks.check_relationships),

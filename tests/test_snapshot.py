@@ -143,8 +143,15 @@ def test_layers(spark, frame, tmp_path):
     assert schema_name(None, "analytics") == "analytics" and schema_name(" marts ", "analytics") == "marts"
     name = materialize_mart(spark, frame("a int", (1,)), "answers", "marts", str(tmp_path))
     assert name == "marts.answers"
+    spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW answer_sum AS SELECT sum(a) AS s FROM {name}")
+    opened = spark.table(name)
     materialize_mart(spark, frame("a int", (2,), (3,)), "answers", "marts", str(tmp_path))
-    assert sorted(r.a for r in spark.table(name).collect()) == [2, 3]
+    assert sorted(r.a for r in spark.table(name).collect()) == [2, 3] and spark.table("answer_sum").first().s == 5
+    assert [r.a for r in opened.collect()] == [1]  # who has it open keeps reading the old files
+    exploding = frame("a int", (4,)).select(F.raise_error(F.lit("boom")).cast("int").alias("a"))
+    with pytest.raises(Exception):
+        materialize_mart(spark, exploding, "answers", "marts", str(tmp_path))
+    assert spark.table("answer_sum").first().s == 5
 
 
 def test_overlapping_commits_lose_nothing(spark, tmp_path):
