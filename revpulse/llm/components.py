@@ -2,21 +2,18 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from revpulse.session import fresh_folder
+
 #: Rounds after which a link table counts as broken; each round shrinks long paths by a constant factor.
 MOST_ROUNDS = 60
 
 
 def scratch(spark: SparkSession) -> str:
     """A new folder below the shared one that the cluster names in ``spark.checkpoint.dir``."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{named.rstrip('/')}/llm-{uuid.uuid4().hex}"
+    return fresh_folder(spark, "llm")
 
 
 def written(df: DataFrame, path: str) -> DataFrame:

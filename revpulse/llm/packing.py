@@ -119,7 +119,7 @@ def token_ids(encode, starts: np.ndarray, data: np.ndarray) -> tuple[np.ndarray,
     opens[1:-1] |= word[1:] & space[:-1] & (data[:-1] != 32)
     at = np.flatnonzero(opens[:-1])
     units = W.Words(data, starts, at, np.append(at[1:], len(data)), np.searchsorted(at, starts))
-    first, kind = W.distinct(units, _CODES)
+    _, first, kind = W.distinct(W.hash_words(units, _CODES))
     raw = data.tobytes()
     made = [encode(raw[a:b].decode()) for a, b in zip(units.starts[first].tolist(), units.ends[first].tolist())]
     lengths = np.array([len(m) for m in made], np.int64)

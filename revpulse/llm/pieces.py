@@ -30,8 +30,11 @@ from pyspark.sql import DataFrame
 
 from . import words as W
 
-#: Bytes of texts whose distinct units are encoded together.
-BLOCK_BYTES = 6 << 20
+#: Bytes of texts whose distinct units are encoded together, and characters that advance together. A task
+#: needs about 50 bytes for each byte of a block.
+BLOCK_BYTES, TOGETHER = 2 << 20, 1 << 18
+#: Units whose ids a task remembers, at most, before it forgets them all.
+REMEMBERED = 200_000
 #: Penalty of a character without a piece, below the lowest score.
 UNKNOWN_PENALTY = 10.0
 
@@ -43,7 +46,8 @@ class Pieces(NamedTuple):
     keys: np.ndarray  # sorted hashes of the pieces, spaces standing for U+2581
     ids: np.ndarray  # of each key
     scores: np.ndarray  # of each key
-    maybe: np.ndarray  # by the first 20 bits of a hash: whether a key may have it
+    first: np.ndarray  # by the first 20 bits of a hash: the first key with them, or -1
+    most: int  # keys that share their first 20 bits
     longest: int  # characters
     byte_ids: np.ndarray
     unknown: float
@@ -120,10 +124,12 @@ def load(path: str) -> Pieces:
         at_zero = (running[starts[1:]] - running[starts[:-1]]) * inverse[starts[:-1]]
         keys = W.mix(at_zero[known] + np.diff(starts)[known].astype(np.uint64))
     order = np.argsort(keys)
-    maybe = np.zeros(1 << 20, bool)
-    maybe[(keys >> np.uint64(44)).astype(np.int64)] = True
+    keys = keys[order]
+    bits, at, many = np.unique(keys >> np.uint64(44), return_index=True, return_counts=True)
+    first = np.full(1 << 20, -1, np.int32)
+    first[bits.astype(np.int64)] = at
     return Pieces(
-        keys[order], known[order].astype(np.int32), score[known][order], maybe, max(map(len, spaced.values())), byte_ids,
+        keys, known[order].astype(np.int32), score[known][order], first, int(many.max()), max(map(len, spaced.values())), byte_ids,
         float(score[known].min() - np.float32(UNKNOWN_PENALTY)), model.encode("a", out_type=str)[0].startswith("▁"), text, starts,
         Merges(rank, left, right, at_zero, W.powers(int(np.diff(starts).max()) + 1)) if merged else None,
     )
@@ -159,13 +165,67 @@ def _stay_apart(pieces: Pieces, first: np.ndarray, second: np.ndarray) -> np.nda
 
 def _look_up(pieces: Pieces, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Rows whose hash is a piece's, and the pieces' places among the keys."""
-    rows = np.flatnonzero(pieces.maybe[(hashes >> np.uint64(44)).astype(np.int64)])
-    at = np.minimum(np.searchsorted(pieces.keys, hashes[rows]), len(pieces.keys) - 1)
-    same = pieces.keys[at] == hashes[rows]
+    at = pieces.first[(hashes >> np.uint64(44)).astype(np.int64)]
+    rows = np.flatnonzero(at >= 0)
+    at, hashes = at[rows], hashes[rows]
+    same = pieces.keys[at] == hashes
+    for _ in range(1, pieces.most):
+        at = np.where(same, at, np.minimum(at + 1, len(pieces.keys) - 1))
+        same |= pieces.keys[at] == hashes
     return rows[same], at[same]
 
 
-def _best_paths(pieces: Pieces, edges: np.ndarray, running: np.ndarray, inverse: np.ndarray) -> np.ndarray:
+class Memory:
+    """What a task has found: which pairs of pieces stay apart, and the ids of units.
+
+    Of pairs a newer one takes an older one's place. It changes the time and no result.
+    """
+
+    def __init__(self, bits: int = 20):
+        self.shift = np.uint64(64 - bits)
+        self.pairs = np.full(1 << bits, -1, np.int64)
+        self.apart = np.zeros(1 << bits, bool)
+        self.forget()
+
+    def forget(self) -> None:
+        self.units = np.zeros(0, np.uint64)  # sorted hashes
+        self.begins, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.int32)
+
+    def find(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each unit is known, and its place."""
+        at = np.searchsorted(self.units, units)
+        known = at < len(self.units)
+        known[known] = self.units[at[known]] == units[known]
+        return known, at
+
+    def add(self, units: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> None:
+        order = np.argsort(merged := np.concatenate([self.units, units]), kind="stable")
+        begins = len(self.ids) + np.cumsum(lengths) - lengths
+        self.units = merged[order]
+        self.begins, self.lengths = np.concatenate([self.begins, begins])[order], np.concatenate([self.lengths, lengths])[order]
+        self.ids = np.concatenate([self.ids, ids])
+
+    def stay_apart(self, pieces: Pieces, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+        apart = np.ones(len(first), bool)
+        some = np.flatnonzero((first >= 0) & (second >= 0))
+        pair = first[some].astype(np.int64) << 32 | second[some]
+        with np.errstate(over="ignore"):
+            slot = (pair.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+        known = self.pairs[slot] == pair
+        apart[some] = self.apart[slot]
+        new, where = some[~known], slot[~known]
+        if len(new):
+            found = _stay_apart(pieces, first[new], second[new])
+            apart[new] = found
+            # Of several new pairs with one place the last is kept, with its own answer.
+            self.pairs[where] = pair[~known]
+            kept = self.pairs[where] == pair[~known]
+            self.apart[where[kept]] = found[kept]
+        return apart
+
+
+def _best_paths(pieces: Pieces, edges: np.ndarray, running: np.ndarray, inverse: np.ndarray, memory: Memory) -> np.ndarray:
     """Unit, first byte, end byte and id (-1 for none) of the pieces on the best path of each unit.
 
     ``edges`` has a column for each unit: the bytes at which its characters begin, and its end.
@@ -192,7 +252,7 @@ def _best_paths(pieces: Pieces, edges: np.ndarray, running: np.ndarray, inverse:
                 total = best[a, rows] + pieces.scores[at]
                 better = total > best[end, rows]
                 if pieces.merges and a:
-                    better &= _stay_apart(pieces, piece[a, rows], pieces.ids[at])
+                    better &= memory.stay_apart(pieces, piece[a, rows], pieces.ids[at])
                 rows, at = rows[better], at[better]
                 best[end, rows], back[end, rows], piece[end, rows] = total[better], a, pieces.ids[at]
     found, rows, end = [], np.arange(n), np.full(n, length)
@@ -204,25 +264,28 @@ def _best_paths(pieces: Pieces, edges: np.ndarray, running: np.ndarray, inverse:
     return found[:, np.lexsort((found[1], found[0]))]
 
 
-def _encode_units(pieces: Pieces, units: W.Words, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _encode_units(
+    pieces: Pieces, units: W.Words, chosen: np.ndarray, running: np.ndarray, inverse: np.ndarray, memory: Memory
+) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the chosen units, one after the other, and how many each has."""
     data = units.data
-    running, inverse = W.running_hash(data, _CODES)
-    begins = np.flatnonzero((data & 0xC0) != 0x80)
-    first = np.searchsorted(begins, units.starts[chosen])
-    chars = np.searchsorted(begins, units.ends[chosen]) - first
+    leads = (data & 0xC0) != 0x80
+    begins, before = np.flatnonzero(leads).astype(np.int32), np.zeros(len(data) + 1, np.int32)
+    np.cumsum(leads, out=before[1:])
+    first = before[units.starts[chosen]]
+    chars = before[units.ends[chosen]] - first
     parts = []
     order = np.argsort(chars, kind="stable")
     cut = np.flatnonzero(np.diff(chars[order], prepend=-1, append=-1))
     for a, b in zip(cut[:-1], cut[1:]):
         length = int(chars[order[a]])
-        room = max(1, (1 << 21) // (length + 1))
+        room = max(1, TOGETHER // (length + 1))
         for at in range(a, b, room):
             group = order[at : min(b, at + room)]
             edges = np.empty((length + 1, len(group)), np.int64)
             edges[:-1] = begins[first[group] + np.arange(length)[:, None]]
             edges[-1] = units.ends[chosen[group]]
-            path = _best_paths(pieces, edges, running, inverse)
+            path = _best_paths(pieces, edges, running, inverse, memory)
             path[0] = group[path[0]]
             parts.append(path)
     if not parts:
@@ -237,7 +300,9 @@ def _encode_units(pieces: Pieces, units: W.Words, chosen: np.ndarray) -> tuple[n
     return ids.astype(np.int32), np.bincount(unit, many, len(chosen)).astype(np.int64)
 
 
-def encode_block(pieces: Pieces, starts: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def encode_block(
+    pieces: Pieces, starts: np.ndarray, data: np.ndarray, memory: Memory | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """All ids of the texts of a block, and where each text's ids begin."""
     sizes = np.diff(starts)
     if pieces.prefix:
@@ -253,12 +318,19 @@ def encode_block(pieces: Pieces, starts: np.ndarray, data: np.ndarray) -> tuple[
     opens[1:-1] |= line[:-1] | (space[1:] & ~space[:-1])
     at = np.flatnonzero(opens[:-1])
     units = W.Words(data, starts, at, np.append(at[1:], len(data)), np.searchsorted(at, starts))
-    first, kind = W.distinct(units, _CODES)
-    ids, lengths = _encode_units(pieces, units, first)
-    where = np.cumsum(lengths) - lengths
-    many = lengths[kind]
+    running, inverse = W.running_hash(data, _CODES)
+    hashes, first, kind = W.distinct(W.hash_ranges(running, inverse, units.starts, units.ends))
+    memory = memory or Memory()
+    if len(memory.units) > REMEMBERED:
+        memory.forget()
+    known, _ = memory.find(hashes)
+    ids, lengths = _encode_units(pieces, units, first[~known], running, inverse, memory)
+    memory.add(hashes[~known], lengths, ids)
+    _, at = memory.find(hashes)
+    at = at[kind]
+    many = memory.lengths[at]
     edges = np.append(0, np.cumsum(many))[units.first_word]
-    return ids[W.gather(where[kind], many)], edges
+    return memory.ids[W.gather(memory.begins[at], many)], edges
 
 
 def decode_block(pieces: Pieces, ids: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -281,9 +353,10 @@ def encoded(docs: DataFrame, pieces: Pieces, check: bool = False) -> DataFrame:
     """``doc_id, n_tokens, ids`` of every row; with ``check`` also whether decoding gives the text again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory = Memory()
         for batch in batches:
             for rows, starts, data in W.chunks(batch.column("text"), BLOCK_BYTES):
-                ids, edges = encode_block(pieces, starts, data)
+                ids, edges = encode_block(pieces, starts, data, memory)
                 null = batch.column("text")[rows].is_null().to_numpy(zero_copy_only=False)
                 masked = pa.array(edges.astype(np.int32), mask=np.append(null, False))
                 columns = [batch.column("doc_id")[rows], pa.array(np.diff(edges), mask=null), pa.ListArray.from_arrays(masked, pa.array(ids))]

@@ -115,7 +115,9 @@ def running_hash(data: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.nd
     place = powers(n + 1)
     running = np.zeros(n + 1, dtype=np.uint64)
     with np.errstate(over="ignore"):
-        np.cumsum(codes[data] * place[:n], out=running[1:])
+        np.take(codes, data, out=running[1:])
+        running[1:] *= place[:n]
+        np.cumsum(running, out=running)
         place[1:] = _BASE_INVERSE
         np.multiply.accumulate(place, out=place)
     return running, place
@@ -124,10 +126,14 @@ def running_hash(data: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.nd
 def hash_starts(words: Words, codes: np.ndarray, lengths: tuple[int | None, ...]) -> list[np.ndarray]:
     """For each length a hash of that many first bytes of every word, or of the word if it is None or longer."""
     running, inverse = running_hash(words.data, codes)
-    scale, before = inverse[words.starts], running[words.starts]
     ends = [words.ends if k is None else np.minimum(words.starts + k, words.ends) for k in lengths]
+    return [hash_ranges(running, inverse, words.starts, e) for e in ends]
+
+
+def hash_ranges(running: np.ndarray, inverse: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each range of bytes, from what ``running_hash`` gives."""
     with np.errstate(over="ignore"):
-        return [mix((running[e] - before) * scale + (e - words.starts).astype(np.uint64)) for e in ends]
+        return mix((running[ends] - running[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
 def hash_windows(hashes: np.ndarray, width: int) -> np.ndarray:
@@ -140,10 +146,9 @@ def hash_windows(hashes: np.ndarray, width: int) -> np.ndarray:
     return mix(total)
 
 
-def distinct(units: Words, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index of one unit of each kind, and the kind of every unit."""
-    _, first, kind = np.unique(hash_words(units, codes), return_index=True, return_inverse=True)
-    return first, kind
+def distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct hashes in order, the index of one unit of each, and the kind of every unit."""
+    return np.unique(hashes, return_index=True, return_inverse=True)
 
 
 def gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
