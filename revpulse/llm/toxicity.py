@@ -9,8 +9,9 @@ of neighbours is always separated. The empty window belongs to every text.
 
 The model is fitted on a bounded sample of labelled texts, with the most toxic window standing for each
 text (multiple-instance learning). Near copies share one weight: texts with the same least hash of a
-5-word shingle count as one together. Terms that few texts have, or that toxic texts have hardly more or
-less often than others, weigh nothing.
+5-word shingle count as one together. Terms that few texts have weigh nothing, and neither do those that
+stand out neither alone nor in a pair: toxic texts have them hardly more or less often than others, and
+windows of them and any other term hardly more or less often than the two terms alone let expect.
 
 Defined results: a null or empty text, or one without letters, gets the score of the empty window.
 Repeated rows get equal scores. Null labels are not learned from, a repeated label counts once, as its
@@ -36,8 +37,13 @@ from .labelled import fold, sample_ids
 TRAINING_TEXTS = 4000
 BUCKETS, WINDOW, FACTORS = 1 << 20, 32, 4
 #: Texts of the sample that must have a term, and standard deviations by which their toxic share must stand
-#: out. Other terms weigh nothing: with thousands of them the model would learn wrong labels by heart.
+#: out, unless a pair of the term does. Others weigh nothing: with thousands of them the model would learn
+#: wrong labels by heart.
 LEAST_TEXTS, STANDS_OUT = 6, 5.0
+#: Pairs that would stand out by chance if all pairs were additive, at most, as a Chernoff bound has it.
+CHANCE_PAIRS = 1.0
+#: Counters of the first count of pairs, and pairs made at once.
+COUNTERS, PAIRS_AT_ONCE = 1 << 23, 1 << 20
 #: Lengths in bytes of the word starts that are terms beside the word (None) itself.
 STARTS = (None, 4, 5, 6, 7, 8)
 EPOCHS, STEPS, RATE, DECAY = 8, 12, 0.1, 1e-3
@@ -122,6 +128,102 @@ def _most_toxic(windows: Windows, logits: np.ndarray) -> np.ndarray:
     return order[np.flatnonzero(np.diff(windows.text[order], append=-1))]
 
 
+def _classes(flat: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """For each bucket of ``known`` a number, the same for those that the same words of the sample have."""
+    marks = np.zeros(BUCKETS, np.uint64)
+    for k in range(flat.shape[1]):
+        # A word has a term once, also if several of its starts are the same.
+        first = np.all(flat[:, :k] != flat[:, k : k + 1], axis=1)
+        np.add.at(marks, flat[first, k], W.mix(np.flatnonzero(first).astype(np.uint64) + np.uint64(1)))
+    return np.unique(marks[known], return_inverse=True)[1]
+
+
+def _text_pairs(count: int, at: np.ndarray, term: np.ndarray, n: int) -> Iterator[np.ndarray]:
+    """``low * n + high`` of all pairs of terms in a common window of one text, each once in every part."""
+    windows = cut_windows(np.array([count]), np.zeros(len(at), np.int64), at, term)
+    sizes = np.bincount(windows.window, minlength=len(windows.text))
+    ends = np.cumsum(sizes)
+    followers = np.repeat(ends, sizes) - np.arange(len(windows.term)) - 1
+    made, begin = np.cumsum(followers), 0
+    while begin < len(followers):
+        done = made[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(made, done + PAIRS_AT_ONCE, side="right")))
+        some = followers[begin:end]
+        low = np.repeat(windows.term[begin:end], some)
+        yield np.unique(low * n + windows.term[W.gather(np.arange(begin, end) + 1, some)])
+        begin = end
+
+
+def pair_terms(
+    buckets: list[np.ndarray], weight: np.ndarray, y: np.ndarray, every: np.ndarray, toxic: np.ndarray, share: float, alone: np.ndarray
+) -> np.ndarray:
+    """Buckets of the terms with a pair that stands out from what its two terms let expect without it.
+
+    That is between the higher toxic share of the two and the sum of those that stand out ``alone``.
+
+    All pairs in a common window are counted, a text once. The first pass counts hashes of pairs, which
+    bounds every pair's counts from above; the second counts those pairs exactly that can stand out.
+    """
+    known = np.flatnonzero(every >= LEAST_TEXTS)
+    if len(known) < 2:
+        return known[:0]
+    of = _classes(np.concatenate(buckets), known)
+    n = int(of.max()) + 1
+    place = np.full(BUCKETS, -1, np.int32)
+    place[known] = of
+    own = np.empty(n)
+    own[of] = (toxic[known] + share) / (every[known] + 1)
+    base, logit = np.log(share / (1 - share)), np.empty(n)
+    logit[of] = np.where(alone[known], np.log(own / (1 - own))[of], base)
+    enough = np.log(max(n * (n - 1) / 2 / CHANCE_PAIRS, 2.0))
+
+    def pairs_of(x: np.ndarray) -> Iterator[np.ndarray]:
+        return _text_pairs(len(x), *known_terms(np.array([len(x)]), x, place)[1:], n)
+
+    def expected(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Toxic shares between which a pair does not stand out."""
+        low, high = pairs // n, pairs % n
+        added, higher = 1 / (1 + np.exp(base - logit[low] - logit[high])), np.maximum(own[low], own[high])
+        return np.minimum(added, higher), np.maximum(added, higher)
+
+    counters = np.zeros((2, COUNTERS), np.float32)  # of clean and of toxic texts
+
+    def slots(pairs: np.ndarray) -> np.ndarray:
+        return (W.mix(pairs.astype(np.uint64)) % np.uint64(COUNTERS)).astype(np.int64)
+
+    for x, heavy, is_toxic in zip(buckets, weight, y):
+        for pairs in pairs_of(x):
+            np.add.at(counters[int(is_toxic)], slots(pairs), np.float32(heavy))
+    counters *= 1.001  # rounding
+
+    counted = np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
+    waiting, size = [], 0
+
+    def folded() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        pairs, back = np.unique(np.concatenate([counted[0], *(w[0] for w in waiting)]), return_inverse=True)
+        sums = (np.concatenate([counted[k], *(w[k] for w in waiting)]) for k in (1, 2))
+        return pairs, *(np.bincount(back, x, len(pairs)) for x in sums)
+
+    for x, heavy, is_toxic in zip(buckets, weight, y):
+        parts = []
+        for pairs in pairs_of(x):
+            lower, upper = expected(pairs)
+            clean_most, toxic_most = counters[:, slots(pairs)]
+            parts.append(pairs[(-toxic_most * np.log(upper) >= enough) | (-clean_most * np.log1p(-lower) >= enough)])
+        pairs = np.unique(np.concatenate(parts)) if parts else counted[0][:0]
+        waiting.append((pairs, np.full(len(pairs), heavy), np.full(len(pairs), heavy * is_toxic)))
+        size += len(pairs)
+        if size >= max(PAIRS_AT_ONCE, len(counted[0])):
+            counted, waiting, size = folded(), [], 0
+    pairs, every, toxic = folded()
+    lower, upper = expected(pairs)
+    seen = np.clip(toxic / np.maximum(every, 1e-9), 1e-9, 1 - 1e-9)
+    near = np.clip(seen, lower, upper)
+    bound = every * (seen * np.log(seen / near) + (1 - seen) * np.log((1 - seen) / (1 - near)))
+    pairs = pairs[(every >= LEAST_TEXTS) & (bound >= enough)]
+    return known[np.isin(of, np.concatenate([pairs // n, pairs % n]))]
+
+
 def fit(buckets: list[np.ndarray], weight: np.ndarray, y: np.ndarray, seed: int = 7) -> Model:
     """Adam on the log loss of each text's most toxic window, which is looked for anew in each epoch.
 
@@ -139,7 +241,8 @@ def fit(buckets: list[np.ndarray], weight: np.ndarray, y: np.ndarray, seed: int
         toxic[here] += heavy * is_toxic
     expected = every * share
     surprise = (toxic - expected) / np.sqrt(expected * (1 - share) + 1e-9)
-    known = np.flatnonzero((every >= LEAST_TEXTS) & (np.abs(surprise) >= STANDS_OUT))
+    alone = (every >= LEAST_TEXTS) & (np.abs(surprise) >= STANDS_OUT)
+    known = np.union1d(np.flatnonzero(alone), pair_terms(buckets, weight, y, every, toxic, share, alone))
     if not len(known):
         return Model(float(np.log(share / (1 - share))), place, np.zeros(1), np.zeros((FACTORS, 1)))
     place[known] = np.arange(len(known))

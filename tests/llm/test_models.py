@@ -60,6 +60,54 @@ def test_pairs_are_learned_that_single_terms_cannot_show(monkeypatch):
     assert score[2] > 0.7 and max(score[[0, 1, 3, 4, 5]]) < 0.5
 
 
+def test_pairs_of_terms_that_do_not_stand_out_alone():
+    """Each word's toxic texts are within 2 deviations of the mean, with the screen for single terms as it is."""
+    rng = np.random.default_rng(5)
+    vocabulary = ["".join(w) for w in rng.choice(list("bcdfghklm"), (1500, 5))]
+    texts, y = [], []
+    for k in range(3000):
+        words, kind = list(rng.choice(vocabulary, 60)), k % 75
+        if kind in (0, *range(1, 8)):
+            words[10] = "vermin"
+        if kind in (0, *range(8, 15)):
+            words[14] = "people"
+        if kind in range(15, 23):
+            words[30] = "badword"
+        texts.append(" ".join(words))
+        y.append(kind == 0 or kind in range(15, 23))
+    share = np.mean(y)
+    for word in ("vermin", "people"):
+        mine = np.array([word in t.split() for t in texts])
+        z = (np.sum(np.array(y)[mine]) - mine.sum() * share) / np.sqrt(mine.sum() * share * (1 - share))
+        assert abs(z) < 2
+    score = _score(_fit(texts, y), ["zz vermin zz people", "zz vermin zz", "zz people zz", "vermin " + "zz " * 100 + "people", "a badword", "", None])
+    assert min(score[[0, 4]]) > 0.7 and max(score[[1, 2, 3, 5, 6]]) < 0.3
+
+
+def test_counted_pairs_are_those_of_a_plain_count(monkeypatch):
+    """With few counters and small parts, every pair that stands out is still found, and no other."""
+    rng = np.random.default_rng(6)
+    words = [f"{a}{b}" for a in "bcdfg" for b in "klmnp"]
+    texts = [list(rng.choice(words, 40)) for _ in range(400)]
+    near = lambda t: any({"bk", "gp"} <= set(t[max(0, s) : s + T.WINDOW]) for c in (0, T.WINDOW // 2) for s in range(-c, len(t), T.WINDOW))
+    y = np.array([near(t) for t in texts], float)
+    buckets = []
+    for _, starts, data in T.W.chunks(pa.array([" ".join(t) for t in texts])):
+        found, terms = T.terms(starts, data)
+        buckets += [terms[a:b] for a, b in zip(found.first_word, found.first_word[1:])]
+    every, toxic = np.zeros(T.BUCKETS), np.zeros(T.BUCKETS)
+    for b, bad in zip(buckets, y):
+        every[np.unique(b)] += 1
+        toxic[np.unique(b)] += bad
+    got = []
+    for counters, part in ((1 << 24, 1 << 20), (64, 50)):
+        monkeypatch.setattr(T, "COUNTERS", counters)
+        monkeypatch.setattr(T, "PAIRS_AT_ONCE", part)
+        got.append(T.pair_terms(buckets, np.ones(len(y)), y, every, toxic, y.mean(), np.zeros(T.BUCKETS, bool)).tolist())
+    pair = T.terms(np.array([0, 5]), np.frombuffer(b"bk gp", np.uint8))[1]
+    assert got[0] == got[1] and set(np.unique(pair)) <= set(got[0])
+
+
 def test_a_toxic_window_of_a_long_text_and_stems(monkeypatch):
     rng = np.random.default_rng(1)
     texts = [" ".join(rng.choice(["alpha", "beta", "gamma", "delta"], 30)) + (f" badword{rng.integers(99)}s" if k % 3 == 0 else "") for k in range(300)]
