@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from revpulse.llm import mixing, ngram_join, pieces, rule_cascade, toxicity
 from revpulse.llm.components import scratch, written
@@ -20,9 +21,17 @@ def passing_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least id of every group of near copies."""
-    groups = ngram_join.near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(groups, "doc_id", "left_semi").select(docs.columns)
+    """One row of every group of near copies: of the least id, and of several with that id the least hash.
+
+    Rows are grouped each by its own text, so an id that stands for two texts is in two groups. It stays in
+    both only if it is the least id of both; equal rows count once. Rows with a null id are left out.
+    """
+    rows = docs.where("doc_id is not null").withColumn("__row", F.xxhash64(*docs.columns))
+    groups = ngram_join.near_duplicates(rows.select(F.col("__row").alias("doc_id"), "text"))
+    groups = groups.select(F.col("doc_id").alias("__row"), F.col("component_id").alias("__group")).distinct()
+    ids = rows.select("doc_id", "__row").distinct()
+    first = groups.join(ids, "__row").groupBy("__group").agg(F.min(F.struct("doc_id", "__row")).alias("first"))
+    return rows.join(first.select("first.__row"), "__row", "left_semi").dropDuplicates(["__row"]).select(docs.columns)
 
 
 def mixed_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

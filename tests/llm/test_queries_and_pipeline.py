@@ -1,5 +1,6 @@
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 from revpulse.llm import mixing, ngram_join, params, pieces, registry, toxicity
@@ -67,3 +68,13 @@ def test_pipeline_of_odd_and_no_documents(spark, tmp_path, data):
         spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
         ids = [r["doc_id"] for r in pipeline.run(spark, folder).collect()]
         assert ids == ([] if name == "none" else [1])
+
+
+def test_one_row_of_each_group_with_repeated_ids(spark, data):
+    """Equal rows, an id with two rows of one text, and an id with texts of two groups."""
+    one, two, three = (" ".join(f"{w}{k}" for k in range(80)) for w in ("apple", "pear", "plum"))
+    rows = [(1, one, "en"), (1, one, "en"), (1, one, "de"), (2, one, "en"), (4, two, "en"), (3, two, "en"), (4, three, "fr"), (5, three, "fr"), (2, two, "es"), (None, one, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for table in (docs, docs.orderBy(F.desc("lang"), "doc_id")):
+        got = [(r["doc_id"], r["text"]) for r in pipeline.one_of_each_group(spark, table, data).collect()]
+        assert sorted(got) == [(1, one), (2, two), (4, three)]
