@@ -43,7 +43,7 @@ LEAST_TEXTS, STANDS_OUT = 6, 5.0
 #: Pairs that would stand out by chance if all pairs were additive, at most, as a Chernoff bound has it.
 CHANCE_PAIRS = 1.0
 #: Counters of the first count of pairs, and pairs made at once.
-COUNTERS, PAIRS_AT_ONCE = 1 << 22, 1 << 17
+COUNTERS, PAIRS_AT_ONCE = 1 << 24, 1 << 18
 #: Lengths in bytes of the word starts that are terms beside the word (None) itself.
 STARTS = (None, 4, 5, 6, 7, 8)
 EPOCHS, STEPS, RATE, DECAY = 8, 12, 0.1, 1e-3
