@@ -192,10 +192,51 @@ FROM judged
 """
 
 
+def centroid_clustering(clusters: int = 8, rounds: int = 10, dims: int = 64, scale: int = 1024, seed: int = 3) -> str:
+    """Every round as two steps: each vector's nearest centroid, then each centroid's exact means."""
+
+    def nearest(k: int) -> str:
+        return f"""a{k} AS MATERIALIZED (
+    SELECT r, min({{'distance': distance, 'j': j}}) AS best
+    FROM (SELECT r, j, CAST(list_sum(list_transform(list_zip(kept.v, c{k}.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS distance
+          FROM kept CROSS JOIN c{k})
+    GROUP BY r
+)"""
+
+    def moved(k: int) -> str:
+        return f"""c{k + 1} AS MATERIALIZED (
+    SELECT j, coalesce(m.v, c{k}.v) AS v
+    FROM c{k} LEFT JOIN (
+        SELECT j, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS v
+        FROM (SELECT j, i, sum(x) AS s, count(*) AS n
+              FROM (SELECT best.j AS j, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{k} JOIN kept USING (r))
+              GROUP BY j, i)
+        GROUP BY j) m USING (j)
+)"""
+
+    steps = ", ".join(f"{nearest(k)}, {moved(k)}" for k in range(rounds))
+    return f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE len(embedding) = {dims} AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+), c0 AS MATERIALIZED (
+    SELECT CAST(row_number() OVER (ORDER BY hash, v) - 1 AS INTEGER) AS j, v
+    FROM (SELECT sha256('{seed}:' || vec_id) AS hash, v FROM kept ORDER BY hash, v LIMIT {clusters})
+), {steps}, {nearest(rounds)}
+SELECT vec_id, best.j AS cluster, best.distance AS distance,
+       CAST(sum(best.distance) OVER (PARTITION BY best.j) AS BIGINT) AS cluster_inertia,
+       CAST(sum(best.distance) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c{rounds}.v, ',')) AS centroid_sha256
+FROM a{rounds} JOIN kept USING (r) JOIN c{rounds} ON c{rounds}.j = best.j
+"""
+
+
 def statements() -> dict[str, str]:
     return {
         "op1_mixing": mixing(DOMAIN_WEIGHTS),
         "op5_ngram_jaccard_join": NGRAM_JACCARD_JOIN,
         "op6_url_filters": url_filters(URL_RULES),
         "op10_quality_rules": QUALITY_RULES,
+        "op13_centroid_clustering": centroid_clustering(),
     }

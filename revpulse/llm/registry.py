@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    centroids,
     host_reputation,
     language,
     mixing,
@@ -74,6 +75,11 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rule_cascade.judged(_table(spark, folder, "documents")).drop("rejected_by")
 
 
+def op13_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    found = centroids.clustered(_table(spark, folder, "embeddings"))
+    return found.withColumn("centroid_sha256", F.sha2("centroid", 256)).drop("centroid")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         f.__name__: f
@@ -88,6 +94,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_embedding_near_dedup,
             op9_quality_classifier,
             op10_quality_rules,
+            op13_centroid_clustering,
         )
     }
 

@@ -11,7 +11,7 @@ from test_statistics_and_cascade import verdict
 def test_query_equals_its_sql(spark, data, name):
     got = registry.queries()[name](spark, data).toPandas()
     with duckdb.connect() as con:
-        for table in ("documents", "pages", "labels"):
+        for table in ("documents", "pages", "labels", "embeddings"):
             con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{data}/{table}.parquet'")
         expect = con.execute(registry.statements()[name]).df()
     columns = sorted(expect.columns)
@@ -21,7 +21,7 @@ def test_query_equals_its_sql(spark, data, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in registry.queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in registry.queries()) == list(range(1, 14))
 
 
 def test_stages_are_in_order_and_keep_the_columns(spark, data):
