@@ -102,8 +102,8 @@ def best_fit(sizes: np.ndarray, width: int) -> list[list[int]]:
     return rows
 
 
-def token_ids(encode, starts: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts of a block, and where each text's ids begin; ``encode`` makes a list of ids of a str."""
+def text_units(starts: np.ndarray, data: np.ndarray) -> W.Words:
+    """Texts cut where the public pattern of byte-level vocabularies always cuts."""
     space = _SPACES[data]
     opens = np.zeros(len(data) + 1, bool)
     opens[starts] = True
@@ -118,7 +118,12 @@ def token_ids(encode, starts: np.ndarray, data: np.ndarray) -> tuple[np.ndarray,
     opens[:-1] |= space & before_word
     opens[1:-1] |= word[1:] & space[:-1] & (data[:-1] != 32)
     at = np.flatnonzero(opens[:-1])
-    units = W.Words(data, starts, at, np.append(at[1:], len(data)), np.searchsorted(at, starts))
+    return W.Words(data, starts, at, np.append(at[1:], len(data)), np.searchsorted(at, starts))
+
+
+def token_ids(encode, starts: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts of a block, and where each text's ids begin; ``encode`` makes a list of ids of a str."""
+    units = text_units(starts, data)
     _, first, kind = W.distinct(W.hash_words(units, _CODES))
     raw = data.tobytes()
     made = [encode(raw[a:b].decode()) for a, b in zip(units.starts[first].tolist(), units.ends[first].tolist())]

@@ -31,5 +31,7 @@ URL_RULES = (
 TOKENIZERS = os.environ.get("REVPULSE_TOKENIZERS", "/opt/tokenizers")
 PIECE_MODEL = f"{TOKENIZERS}/piece_bpe_32k.model"
 BYTE_VOCABULARY = f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
+BYTE_VOCABULARY_JSON = f"{TOKENIZERS}/byte_bpe_50k.json"
+WORD_VOCABULARY_JSON = f"{TOKENIZERS}/word_bpe_49k.json"
 #: Fixed value: the public pattern that cuts texts for this vocabulary.
 TOKEN_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""

@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    alignment,
     centroids,
+    grouping,
     host_reputation,
     language,
     mixing,
@@ -21,7 +23,7 @@ from . import (
     toxicity,
     vector_graph,
 )
-from .params import BYTE_VOCABULARY, DOMAIN_WEIGHTS, PIECE_MODEL, TOKEN_PATTERN, URL_RULES
+from .params import BYTE_VOCABULARY, BYTE_VOCABULARY_JSON, DOMAIN_WEIGHTS, PIECE_MODEL, TOKEN_PATTERN, URL_RULES, WORD_VOCABULARY_JSON
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -75,6 +77,17 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return rule_cascade.judged(_table(spark, folder, "documents")).drop("rejected_by")
 
 
+def op11_group_packing(spark: SparkSession, folder: str) -> DataFrame:
+    encoder = grouping.word_level(WORD_VOCABULARY_JSON)
+    return grouping.packed(_table(spark, folder, "documents"), encoder, shown=F.crc32, name="ids_crc32")
+
+
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    a, b = alignment.byte_level(BYTE_VOCABULARY_JSON), alignment.spaced_pieces(PIECE_MODEL)
+    digest = lambda groups: F.when(groups == "", "").otherwise(F.sha2(groups, 256))
+    return alignment.aligned(_table(spark, folder, "documents"), a, b, digest, "groups_sha256")
+
+
 def op13_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
     found = centroids.clustered(_table(spark, folder, "embeddings"))
     return found.withColumn("centroid_sha256", F.sha2("centroid", 256)).drop("centroid")
@@ -94,6 +107,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             op8_embedding_near_dedup,
             op9_quality_classifier,
             op10_quality_rules,
+            op11_group_packing,
+            op12_token_alignment,
             op13_centroid_clustering,
         )
     }
