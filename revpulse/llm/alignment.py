@@ -25,7 +25,6 @@ not looked at.
 from __future__ import annotations
 
 import heapq
-import os
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
@@ -36,9 +35,12 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import merges
 from . import words as W
 from .components import scratch
+from .merges import Encode
 from .packing import text_units
+from .params import TOKEN_PATTERN
 from .pieces import Memory
 from .units import unit_ids
 
@@ -58,7 +60,7 @@ class Tokenizer(NamedTuple):
     """A tokenizer as its tasks need it: where texts may be cut, how units are encoded, each id's bytes."""
 
     units: Callable[[np.ndarray, np.ndarray], W.Words]
-    encoder: Callable[[], Callable[[list[str]], list[list[int]]]]  # made once a task
+    encoder: Callable[[], Encode]  # made once a task
     text: np.ndarray  # bytes of all ids
     text_starts: np.ndarray
 
@@ -71,29 +73,12 @@ def _table(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(tokens), np.uint8), np.append(0, np.cumsum([len(t) for t in tokens])).astype(np.int64)
 
 
-def byte_level(path: str) -> Tokenizer:
+def byte_level(path: str, pattern: str = TOKEN_PATTERN) -> Tokenizer:
     """A byte-level vocabulary with the public pattern, read on the driver."""
-    import tokenizers
-
-    with open(path, encoding="utf-8") as file:
-        model = file.read()
-    # The printable bytes stand for themselves, the others for the characters from U+0100 on, in order.
-    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
-    byte_of = {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(sorted(set(range(256)) - set(shown)))}
-    vocabulary = tokenizers.Tokenizer.from_str(model).get_vocab(with_added_tokens=False)
-    tokens = [b""] * (max(vocabulary.values()) + 1)
-    for token, k in vocabulary.items():
-        tokens[k] = bytes(byte_of[c] for c in token)
-
-    def encoder() -> Callable[[list[str]], list[list[int]]]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import tokenizers
-
-        tokenizer = tokenizers.Tokenizer.from_str(model)
-        tokenizer.encode_special_tokens = True
-        return lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    return Tokenizer(text_units, encoder, *_table(tokens))
+    vocabulary = merges.load(path)
+    if vocabulary.ends or vocabulary.lower:
+        raise ValueError("the vocabulary changes texts")
+    return Tokenizer(text_units, lambda: merges.encoder(vocabulary, pattern), *_table(vocabulary.tokens))
 
 
 def spaced_pieces(path: str) -> Tokenizer:
@@ -119,12 +104,18 @@ def spaced_pieces(path: str) -> Tokenizer:
         at = np.flatnonzero(opens[:-1])
         return W.Words(data, starts, at, np.append(at[1:], len(data)), np.searchsorted(at, starts))
 
-    def encoder() -> Callable[[list[str]], list[list[int]]]:
+    def encoder() -> Encode:
         import sentencepiece
 
         library = sentencepiece.SentencePieceProcessor(model_proto=model)
-        # Behind a newline the library puts no space of its own; the two first ids are that space and the newline.
-        return lambda texts: [ids[2:] for ids in library.encode(["\n" + t for t in texts], num_threads=1)]
+
+        def encode(units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+            # Behind a newline the library puts no space of its own; the two first ids are that space and the newline.
+            made = library.encode(["\n" + unit.decode() for unit in units], num_threads=1)
+            lengths = np.fromiter(map(len, made), np.int64, len(made)) - 2
+            return np.fromiter((x for m in made for x in m[2:]), np.int32, int(lengths.sum())), lengths
+
+        return encode
 
     return Tokenizer(units, encoder, *_table(tokens))
 

@@ -21,7 +21,7 @@ they are there. An empty table gives an empty result. Columns other than ``doc_i
 
 from __future__ import annotations
 
-import os
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -30,8 +30,10 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import merges
 from . import words as W
 from .components import scratch, written
+from .merges import Encode
 from .packing import Rooms
 from .pieces import Memory
 from .units import unit_ids
@@ -44,9 +46,15 @@ ROUNDS, CHILDREN = 3, 12
 POOLED = 0.05
 #: Shares of a parent's bins that crossover injects, and of bins that mutation opens.
 INJECTED, OPENED = (0.05, 0.4), 0.03
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 22
 
 _SPACES = W.byte_set(W.SPACES)
+_LETTER, _DIGIT = 1, 2
+_KINDS = np.zeros(256, np.int8)
+_KINDS[[*range(65, 91), *range(97, 123)]] = _LETTER
+_KINDS[48:58] = _DIGIT
+#: What ``word_units`` cuts out of plain words. Every other unit is a whole word.
+_PLAIN = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+|[0-9]|[^'<\x80-\xff]+")
 _PIECES = "key long, doc_id long, piece int, start long, length long, ids binary"
 _STATE = "shard long, island int, bins int, roughness double, lengths binary, population array<binary>"
 _STATE_ARROW = pa.schema(
@@ -54,28 +62,48 @@ _STATE_ARROW = pa.schema(
 )
 
 
-def word_level(path: str) -> Callable[[], Callable[[list[str]], list[list[int]]]]:
-    """What makes an encoder of words in a task; the file is read on the driver.
+def word_units(starts: np.ndarray, data: np.ndarray) -> W.Words:
+    """Runs of letters, of other ASCII signs, and single digits; a word with anything that the public pattern treats otherwise is whole.
 
-    The vocabulary has to drop white space and to cut at it, so a text's ids are those of its words.
+    Letters are those of ASCII and of U+00C0 to U+00FF, which every library takes for letters.
+    """
+    words = W.split_words(starts, data, _SPACES)
+    kind, bad = _KINDS[data], data >= 128
+    lead = np.flatnonzero(data[:-1] == 0xC3)
+    lead = lead[(data[lead + 1] != 0x97) & (data[lead + 1] != 0xB7)]  # the signs for times and divided by
+    for at in (lead, lead + 1):
+        kind[at], bad[at] = _LETTER, False
+    bad |= data == ord("'")
+    bad[:-1] |= (data[:-1] == ord("<")) & (data[1:] == ord("|"))
+    before = np.zeros(len(data) + 1, np.int32)
+    np.cumsum(bad, out=before[1:])
+    plain = before[words.ends] == before[words.starts]
+    inside = np.zeros(len(data) + 1, np.int8)
+    inside[words.starts[plain]] += 1
+    inside[words.ends[plain]] -= 1
+    opens = np.zeros(len(data), bool)
+    opens[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+    opens &= np.cumsum(inside[:-1], dtype=np.int8) > 0
+    opens[words.starts] = True
+    at = np.flatnonzero(opens)
+    word = np.cumsum(np.isin(at, words.starts, assume_unique=True)) - 1
+    ends = np.minimum(np.append(at[1:], len(data)), words.ends[word])
+    return W.Words(data, starts, at, ends, np.searchsorted(at, starts))
+
+
+def word_level(path: str) -> Callable[[], Encode]:
+    """What makes an encoder of word units in a task; the file is read on the driver.
+
+    The vocabulary has to lower the case, to drop white space and to cut at it, so a text's ids are those of its units.
     """
     import tokenizers
 
-    with open(path, encoding="utf-8") as file:
-        model = file.read()
-    probe = tokenizers.Tokenizer.from_str(model)
+    vocabulary = merges.load(path)
+    probe = tokenizers.Tokenizer.from_str(vocabulary.model)
     ids = lambda text: probe.encode(text, add_special_tokens=False).ids
-    if ids(" A\tbc's \n d ") != [*ids("A"), *ids("bc's"), *ids("d")]:
-        raise ValueError("the vocabulary does not drop white space")
-
-    def encoder() -> Callable[[list[str]], list[list[int]]]:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import tokenizers
-
-        tokenizer = tokenizers.Tokenizer.from_str(model)
-        return lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    return encoder
+    if not vocabulary.lower or ids(" A\tbc,d12's \n e ") != [x for t in ("A", "bc", ",", "d", "1", "2's", "e") for x in ids(t)]:
+        raise ValueError("the vocabulary does not cut words as expected")
+    return lambda: merges.encoder(vocabulary, r"[\s\S]+", _PLAIN.fullmatch)
 
 
 def _cut(encoder, width: int, end: int):
@@ -86,7 +114,7 @@ def _cut(encoder, width: int, end: int):
         number = TaskContext.get().partitionId() << 33
         for batch in batches:
             for rows, starts, data in W.chunks(batch.column("text"), BLOCK_BYTES):
-                ids, edges = unit_ids(W.split_words(starts, data, _SPACES), encode, memory)
+                ids, edges = unit_ids(word_units(starts, data), encode, memory)
                 sizes = np.diff(edges) + 1
                 ends = np.cumsum(sizes)
                 tokens = np.full(int(ends[-1]), end, "<u4")

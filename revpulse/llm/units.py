@@ -7,16 +7,19 @@ from collections.abc import Callable
 import numpy as np
 
 from . import words as W
-from .pieces import REMEMBERED, Memory
+from .pieces import Memory
+
+#: Units whose ids a task remembers, at most, before it forgets them all; each takes some 40 bytes.
+REMEMBERED = 500_000
 
 _CODES = W.byte_codes(fold_case=False)
 
 
-def unit_ids(units: W.Words, encode: Callable[[list[str]], list[list[int]]], memory: Memory) -> tuple[np.ndarray, np.ndarray]:
+def unit_ids(units: W.Words, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]], memory: Memory) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts of a block, and where each text's ids begin.
 
-    Units are known by a 64-bit hash. ``encode`` gets those that are new; a memory that has become too large
-    is emptied first, which changes the time and no result.
+    Units are known by a 64-bit hash. ``encode`` gets those that are new and gives all their ids and how many each
+    has; a memory that has become too large is emptied first, which changes the time and no result.
     """
     hashes, first, kind = W.distinct(W.hash_words(units, _CODES))
     if len(memory.units) > REMEMBERED:
@@ -24,9 +27,8 @@ def unit_ids(units: W.Words, encode: Callable[[list[str]], list[list[int]]], mem
     new = ~memory.find(hashes)[0]
     if new.any():
         raw, some = units.data.tobytes(), first[new]
-        made = encode([raw[a:b].decode() for a, b in zip(units.starts[some].tolist(), units.ends[some].tolist())])
-        lengths = np.array([len(m) for m in made], np.int64)
-        memory.add(hashes[new], lengths, np.fromiter((x for m in made for x in m), np.int32, int(lengths.sum())))
+        ids, lengths = encode([raw[a:b] for a, b in zip(units.starts[some].tolist(), units.ends[some].tolist())])
+        memory.add(hashes[new], lengths, ids)
     at = memory.find(hashes)[1][kind]
     many = memory.lengths[at]
     return memory.ids[W.gather(memory.begins[at], many)], np.append(0, np.cumsum(many))[units.first_word]
