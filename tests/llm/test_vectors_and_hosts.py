@@ -63,21 +63,96 @@ def test_links_and_components(spark):
         assert np.mean([got[i][1:] == expect[i][1:] for i in got]) > 0.99
 
 
-def test_graph_finds_neighbours():
-    rng = np.random.default_rng(2)
-    unit = V._unit(rng.normal(size=(3000, 12)))
-    graph = V.Graph(unit)
-    assert len(graph.layers) > 1
-    a, b = graph.near(unit[:400], 0.8, 64)
-    true = unit[:400] @ unit.T >= 0.8
-    assert true[a, b].all() and len(a) >= 0.97 * true.sum() and len(np.unique(a * 3000 + b)) == len(a)
+def pairs_of(raw, least, shard=None, queries=None):
+    """Links of each query by the operator's search, and by all pairs."""
+    keys = np.arange(len(raw))
+    shard = shard or V.Shard(keys, np.ones(len(raw), int), raw, V.dense_groups(V._unit(raw), least))
+    q = raw if queries is None else queries
+    fold = V.links_between(shard, keys[: len(q)] if queries is None else len(raw) + np.arange(len(q)), q, least)
+    cosine = (q @ raw.T) / np.linalg.norm(q, axis=1)[:, None] / np.linalg.norm(raw, axis=1)
+    if queries is None:
+        np.fill_diagonal(cosine, 0)
+    return fold, cosine >= least
 
 
-def test_a_beam_that_is_full_is_widened():
+def test_graph_finds_neighbours():
+    raw = np.random.default_rng(2).normal(size=(3000, 12))
+    assert len(V.Graph(V._unit(raw)).layers) > 1
+    fold, true = pairs_of(raw, 0.8)
+    assert (fold.links <= true.sum(1)).all() and fold.links.sum() >= 0.99 * true.sum()
+
+
+def test_isolated_pairs_of_a_whole_shard_and_between_two():
+    """64 components and 8,192 vectors a shard, each pair by itself in the space."""
+    rng = np.random.default_rng(4)
+    one, two = rng.normal(size=(2, 8192, 64))
+    some = rng.choice(8192, 1200, replace=False)
+    near = lambda v: v + rng.normal(size=v.shape) * 0.3
+    one[some[:400]] = near(one[some[400:800]])
+    two[some[800:]] = near(one[some[800:]])
+    shard = V.Shard(np.arange(8192), np.ones(8192, int), one, V.dense_groups(V._unit(one), 0.93))
+    fold, true = pairs_of(one, 0.93, shard)
+    assert true.sum() > 600 and fold.links.sum() >= 0.99 * true.sum() and (fold.links <= true.sum(1)).all()
+    fold, true = pairs_of(one, 0.93, shard, two)
+    assert true.sum() > 300 and fold.links.sum() >= 0.99 * true.sum() and (fold.links <= true.sum(1)).all()
+
+
+def test_audit_widens_beams_where_links_are_rare():
+    """Without any link the audit looks at the nearest vectors, so a bad graph is noticed."""
+    raw = np.random.default_rng(6).normal(size=(1500, 32))
+    shard = V.Shard(np.arange(1500), np.ones(1500, int), raw, [])
+    assert V._beam(shard, V._unit(raw), 0.93) < 1500
+    shard.graph.layers = [np.full_like(layer, -1) for layer in shard.graph.layers]
+    assert V._beam(shard, V._unit(raw), 0.93) == 1500
+
+
+def test_dense_groups_are_folded_and_counted_exactly():
+    rng = np.random.default_rng(3)
+    center, other = rng.normal(size=(2, 64))
+    tight, wide = center + rng.normal(size=(900, 64)) * 0.05, other + rng.normal(size=(300, 64)) * rng.uniform(0.1, 0.6, (300, 1))
+    raw = rng.permutation(np.concatenate([tight, wide, rng.normal(size=(1500, 64))]))
+    groups = V.dense_groups(V._unit(raw), 0.93)
+    assert max(map(len, groups)) >= 900
+    fold, true = pairs_of(raw, 0.93)
+    assert fold.links.sum() >= 0.995 * true.sum() and (fold.links <= true.sum(1)).all()
+    expect = V.Fold(np.arange(len(raw)), np.arange(len(raw)), np.ones(len(raw), int))
+    expect.add(*np.nonzero(true))
+    assert np.mean(fold.root == expect.root) > 0.99
+
+
+def test_a_full_beam_is_finished_by_products():
+    """A group that no tried center is in still fills beams."""
     rng = np.random.default_rng(3)
-    unit = V._unit(np.concatenate([np.ones((500, 8)) + rng.normal(size=(500, 8)) * 0.05, rng.normal(size=(500, 8))]))
-    a, _ = V.Graph(unit).near(unit[:20], 0.95, 16)
-    assert len(a) >= 0.97 * (unit[:20] @ unit.T >= 0.95).sum()
+    raw = np.concatenate([np.ones((500, 8)) + rng.normal(size=(500, 8)) * 0.05, rng.normal(size=(1500, 8))])
+    fold, true = pairs_of(raw, 0.95, V.Shard(np.arange(2000), np.ones(2000, int), raw, []))
+    assert (fold.links[:500] == true.sum(1)[:500]).all()
+
+
+def test_a_group_costs_little_more_than_none():
+    import time
+
+    rng = np.random.default_rng(8)
+    spread = rng.normal(size=(3000, 64))
+    dense = spread.copy()
+    dense[:1000] = dense[0] + rng.normal(size=(1000, 64)) * 0.1
+    took = []
+    for raw in (spread, dense):
+        begun = time.process_time()
+        pairs_of(rng.permutation(raw), 0.93)
+        took.append(time.process_time() - begun)
+    assert took[1] < 3 * took[0]
+
+
+def test_repeated_ids_are_separate_vectors(spark):
+    """One id for two vectors, of one label and of two: no link is lost and no component spans labels."""
+    rows = [(1, [1.0, 0.0], 1), (1, [0.0, 1.0], 1), (2, [1.0, 0.1], 1)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in V.near_duplicates(table).collect())
+    assert got == [(1, 0, 1), (1, 1, 1), (2, 1, 1)]
+    rows = [(1, [1.0, 0.0], 1), (1, [1.0, 0.0], 2), (2, [1.0, 0.1], 1), (3, [1.0, 0.1], 2), (4, [1.0, 0.1], 2), (1, [1.0, 0.0], 2)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in V.near_duplicates(table).collect())
+    assert got == [(1, 1, 1), (1, 3, 1), (1, 3, 1), (2, 1, 1), (3, 3, 1), (4, 3, 1)]
 
 
 def test_vector_tables_without_rows_or_links(spark):
