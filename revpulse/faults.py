@@ -48,7 +48,19 @@ def deals(df: DataFrame) -> DataFrame:
 
 
 def contacts(df: DataFrame) -> DataFrame:
-    """No rows at all."""
+    """Finance contacts without a key, operations contacts of unknown accounts, administrators without a date, analysts twice."""
+    role = F.col("role")
+    broken = df.withColumns(
+        {
+            "contact_id": _where(role == "Finance", None, "contact_id"),
+            "account_id": _where(role == "Operations", F.concat(F.lit("lost_"), "account_id"), "account_id"),
+            "created_at": _where(role == "Admin", None, "created_at"),
+        }
+    )
+    return broken.unionByName(broken.where(role == "Analyst"))
+
+
+def no_rows(df: DataFrame) -> DataFrame:
     return df.where(F.lit(False))
 
 

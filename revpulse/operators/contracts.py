@@ -3,16 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revpulse.functions.numeric import or_zero
-
-
-def union_all(frames: Iterable[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
+from revpulse.operators.keys import lost_references, null_keys, repeated_keys, union_all
 
 
 def failing(condition: Column) -> Column:
@@ -52,40 +48,26 @@ def expect_accepted_values(df: DataFrame, accepted: Mapping[str, Iterable]) -> D
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
     """Key values on more than one row; null counts as a value."""
-    return (
-        df.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("key_rows"))
-        .where(F.col("key_rows") > 1)
-    )
+    return repeated_keys(df, key).unionByName(null_keys(df, key))
 
 
 def expect_unique(df: DataFrame, key: str) -> DataFrame:
     """Number of repeated values of a column, ignoring null."""
-    repeated = duplicate_keys(df.where(F.col(key).isNotNull()), key)
+    repeated = repeated_keys(df, key)
     return repeated.agg(F.count(F.lit(1)).alias("failed_rows")).select(
         F.lit("unique").alias("contract"), F.lit(key).alias("column_name"), "failed_rows"
     )
 
 
-def orphan_rows(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
-    """Child keys without a parent, with the rows that carry them; null keys pass.
-
-    Child rows fold to one per key before the join, so a key that holds a large
-    share of the child never meets the join as more than one row.
-    """
-    keys = (
-        child.where(F.col(child_key).isNotNull())
-        .groupBy(F.col(child_key).alias("orphan_key"))
-        .agg(F.count(F.lit(1)).alias("child_rows"))
-    )
-    parents = parent.select(F.col(parent_key).alias("orphan_key"))
-    return keys.join(parents, "orphan_key", "left_anti")
+def orphan_rows(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str, parents: int | None = None) -> DataFrame:
+    """Child keys without a parent, with the rows that carry them; null keys pass."""
+    return lost_references(child, child_key, parent, parent_key, parents)
 
 
 def expect_relationship(
-    child: DataFrame, child_key: str, parent: DataFrame, parent_key: str
+    child: DataFrame, child_key: str, parent: DataFrame, parent_key: str, parents: int | None = None
 ) -> DataFrame:
-    lost = orphan_rows(child, child_key, parent, parent_key)
+    lost = orphan_rows(child, child_key, parent, parent_key, parents)
     return lost.agg(or_zero(F.sum("child_rows")).alias("failed_rows")).select(
         F.lit("relationship").alias("contract"), F.lit(child_key).alias("column_name"), "failed_rows"
     )

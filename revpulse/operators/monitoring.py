@@ -20,6 +20,11 @@ LOG_SCHEMA = (
     "finished_at timestamp_ntz, status string, error_message string"
 )
 
+ROW_COUNT_SCHEMA = (
+    "run_id string, pipeline_name string, schema_name string, relation_name string, relation_type string, "
+    "row_count bigint, observed_at timestamp_ntz"
+)
+
 
 def _seconds_between(start: Column, end: Column) -> Column:
     micros = F.timestamp_diff("MICROSECOND", start, end)

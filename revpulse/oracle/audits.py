@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from revpulse.oracle.entities import _ENTITY_SELECTS
-from revpulse.schemas import ENTITIES
+from revpulse.schemas import ENTITIES, catalog_rows
 
 _LOADED = "TIMESTAMP '2026-01-01 06:00:00'"
 _OBSERVED = "TIMESTAMP '2026-01-01 07:00:00'"
@@ -67,6 +67,29 @@ def _stack(selects) -> str:
     return "\nUNION ALL\n".join(selects)
 
 
+def _sources(missing):
+    for name, sql in _ENTITY_SELECTS.items():
+        count = "CAST(NULL AS BIGINT)" if name in missing else f"(SELECT COUNT(*) FROM ({sql}))"
+        yield f"SELECT '{name}' AS source_name, {str(name not in missing).lower()} AS is_present, {count} AS row_count"
+
+
+def _text(value) -> str:
+    return "CAST(NULL AS VARCHAR)" if value is None else f"'{value}'"
+
+
+def _catalogued():
+    """One select an entity: its columns as a list of structs with their filled rows."""
+    names = ("source_name", "description", "position", "column_name", "data_type", "is_key", "references_source", "references_column")
+    for name, sql in _ENTITY_SELECTS.items():
+        structs = []
+        for row in catalog_rows():
+            if row[0] == name:
+                values = [str(v).lower() if isinstance(v, (bool, int)) else _text(v) for v in row]
+                fields = ", ".join(f"'{n}': {v}" for n, v in zip(names, values))
+                structs.append(f"{{{fields}, 'row_count': COUNT(*), 'filled_rows': COUNT({row[3]})}}")
+        yield f"SELECT unnest([{', '.join(structs)}], recursive := true) FROM ({sql})"
+
+
 CTES = {
     "a_loads": _stack(_entity_count(n, q) for n, q in _ENTITY_SELECTS.items()),
     "a_two_loads": """
@@ -111,6 +134,9 @@ ANSWERS = {
     "publish_snapshot": _stack(_digest(n, q) for n, q in _ENTITY_SELECTS.items()),
     "table_fingerprint": _stack(_digest(n, q) for n, q in _ENTITY_SELECTS.items()),
     "load_audit": "SELECT * FROM a_two_loads",
+    "check_sources": _stack(_sources({"crm_contacts", "billing_payments"})),
+    "source_catalog": _stack(_catalogued()),
+    "layered_views": "SELECT schema_name, relation_name, row_count FROM a_counts",
     "count_entities": "SELECT * FROM a_loads",
     "reload_is_idempotent": """SELECT table_name, row_count AS rows_before, row_count AS rows_after, true AS unchanged
 FROM a_loads

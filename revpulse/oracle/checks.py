@@ -168,7 +168,12 @@ SELECT * EXCLUDE (ok, ck, os) REPLACE (
   CASE plan WHEN 'Scale' THEN 0 - deal_amount_usd ELSE deal_amount_usd END AS deal_amount_usd,
   CASE deal_stage WHEN 'proposal' THEN 'lost_' || account_id WHEN 'qualified' THEN NULL ELSE account_id END AS account_id)
 FROM x_deals""",
-    "f_contacts": "SELECT * FROM x_contacts WHERE false",
+    "f_contacts": """
+SELECT * EXCLUDE (n) FROM (
+  SELECT * REPLACE (CASE WHEN role <> 'Finance' THEN contact_id END AS contact_id,
+                    if(role = 'Operations', 'lost_', '') || account_id AS account_id,
+                    CASE WHEN role <> 'Admin' THEN created_at END AS created_at),
+         unnest(range(if(role = 'Analyst', 2, 1))) AS n FROM x_contacts)""",
     "f_subscriptions": """
 SELECT * REPLACE (CASE plan WHEN 'Starter' THEN 0 - mrr_usd ELSE mrr_usd END AS mrr_usd,
                   CASE WHEN status <> 'canceled' THEN start_date END AS start_date) FROM x_subscriptions""",
@@ -214,7 +219,9 @@ _DEAL_NULLS = [
 ANSWERS = {
     "raw_validation_report": _all_raw(_GOOD),
     "raw_validation_of_faults": _all_raw(_FAULTY),
-    "check_not_empty": _stack(_not_empty(_FAULTY)),
+    "raw_validation_of_load": _all_raw(_GOOD),
+    "check_tables_exist": _stack(_exists({"crm_accounts", "crm_contacts"})),
+    "check_not_empty": _stack(_not_empty({**_FAULTY, "crm_contacts": "(SELECT * FROM x_contacts WHERE false)"})),
     "check_pk_not_null": _stack(_pk_present(_FAULTY)),
     "check_pk_unique": _stack(_pk_unique(_FAULTY)),
     "check_relationships": _stack(_related(_FAULTY)),

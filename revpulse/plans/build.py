@@ -13,14 +13,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revpulse.operators import monitoring, raw_checks
+from revpulse.operators.staging import staging_sql
 from revpulse.params import Params, Policy
-from revpulse.plans.contracts import run_contracts
-from revpulse.plans.relations import RELATIONS, Warehouse
+from revpulse.plans.contracts import run_contracts, staged_references
+from revpulse.plans.relations import LAYERS, RELATIONS, Warehouse
+from revpulse.schemas import ENTITIES
 from revpulse.sources import Sources
 from revpulse.sources.files import check_sources, read_folder
+from revpulse.sources.history import History
 from revpulse.sources.manifest import Manifest
-from revpulse.sources.snapshot import Snapshot, append_audit, write_entities
-from revpulse.sources.warehouse import register_view
+from revpulse.sources.snapshot import Snapshot, append_audit, committed, facts_of, write_entities
+from revpulse.sources.snapshot import row_counts as row_counts_of
+from revpulse.sources.warehouse import over_files, publish_views, register_view, schema_name
 
 RUN_NAME = "account_warehouse"
 # Relations worth writing because several later ones read them, in dependency order.
@@ -60,7 +64,11 @@ class RunLog:
 
     def _append(self, stage, started, finished, status, error=None):
         row = (self.run_id, self.name, stage, started, finished, status, error)
-        self.spark.createDataFrame([row], monitoring.LOG_SCHEMA).coalesce(1).write.mode("append").parquet(self.folder)
+        self._history.append(self.spark.createDataFrame([row], monitoring.LOG_SCHEMA))
+
+    @property
+    def _history(self) -> History:
+        return History(self.spark, self.folder, monitoring.LOG_SCHEMA)
 
     @contextmanager
     def _timed(self, stage, wrap):
@@ -85,7 +93,7 @@ class RunLog:
             raise RuntimeError(f"Stage failed: {name}. {e}") from e
 
     def read(self) -> DataFrame:
-        return self.spark.read.schema(monitoring.LOG_SCHEMA).parquet(self.folder)
+        return self._history.read()
 
 
 def row_counts(w: Warehouse, run_id: str | None, observed_at: dt.datetime) -> DataFrame:
@@ -93,6 +101,11 @@ def row_counts(w: Warehouse, run_id: str | None, observed_at: dt.datetime) -> Da
     return monitoring.table_row_counts(w, layers, run_id, RUN_NAME, observed_at)
 
 
+def row_count_history(spark: SparkSession, root: str) -> History:
+    """Row counts of all runs, see ``monitoring.table_row_counts``."""
+    return History(spark, f"{root.rstrip('/')}/monitoring/table_row_count_audit", monitoring.ROW_COUNT_SCHEMA)
+
+
 def derive(w: Warehouse, spark: SparkSession, root: str) -> dict[str, str]:
     """Write every step's relations to new folders; later relations read the written copies."""
     version, paths = uuid.uuid4().hex, {}
@@ -108,6 +121,7 @@ def derive(w: Warehouse, spark: SparkSession, root: str) -> dict[str, str]:
         with ThreadPoolExecutor(len(step)) as pool:
             for name, stored in pool.map(lambda f: write(*f), frames):
                 w.store(name, stored)
+    w.paths = paths
     return paths
 
 
@@ -116,12 +130,29 @@ def open_warehouse(spark: SparkSession, root: str) -> Warehouse:
     state = Manifest(spark, root).read()
     if not state:
         raise FileNotFoundError(f"no run under {root} has passed its checks")
-    w = Warehouse(Snapshot(spark, state["entities"]), Params.from_json(state["params"]), Policy.from_json(state["policy"]))
-    for name, path in state["relations"].items():
+    w = Warehouse(Snapshot(spark, state["entities"], facts_of(state)), Params.from_json(state["params"]), Policy.from_json(state["policy"]))
+    w.paths = state["relations"]
+    for name, path in w.paths.items():
         w.store(name, spark.read.parquet(path))
     return w
 
 
+def publish_layers(w: Warehouse, spark: SparkSession, root: str) -> list[str]:
+    """Every relation of a run as a catalog view ``layer.name``, for other sessions; the names.
+
+    Sources and derived relations are read from the files that the run wrote, staging from the views of its sources.
+    """
+    texts: dict[str, dict[str, str]] = {layer: {} for layer in LAYERS}
+    for r in RELATIONS.values():
+        if r.layer == "raw":
+            texts[r.layer][r.name] = over_files(w.sources.paths[r.name], ENTITIES[r.name].columns)
+        elif r.entity:
+            texts[r.layer][r.name] = staging_sql(r.entity, f"`{schema_name('raw', '')}`.`{r.entity}`", w.params)
+        else:
+            texts[r.layer][r.name] = over_files(w.paths[r.name], w[r.name].columns)
+    return publish_views(spark, texts, f"{root}/views")
+
+
 def register_views(w: Warehouse) -> None:
     """Every relation as a session view of its name. A view made over one of them follows the next run."""
     for name in RELATIONS:
@@ -157,11 +188,15 @@ def build_warehouse(
                 check_sources(spark, source_folder)
                 sources = read_folder(spark, source_folder)
             loaded_at = _now()
-            entities, loaded = write_entities(spark, sources, f"{root}/raw")
-            tables = Snapshot(spark, entities)
+            entities, facts = write_entities(spark, sources, f"{root}/raw")
+            tables = Snapshot(spark, entities, facts)
         with log.stage("validate"):
             checked_at = F.lit(_now()).cast("timestamp_ntz")
-            report = raw_checks.raw_validation_report(spark, tables).withColumn("checked_at", checked_at)
+            # Keys and references of the raw and of the staged tables, which are the same columns.
+            references = list(dict.fromkeys([*raw_checks.references_of(tables), *staged_references()]))
+            parents = sum(facts[name, "rows", ""] for name in {r.parent for r in references})
+            facts |= raw_checks.key_facts(tables, references, parents)
+            report = raw_checks.report_of_facts(spark, facts).withColumn("checked_at", checked_at)
             path = f"{history}/raw_validation_results/run={run_id}"
             report.coalesce(1).write.parquet(path)
             _demand(spark.read.schema(report.schema).parquet(path), "source")
@@ -169,21 +204,22 @@ def build_warehouse(
             w = Warehouse(tables, params, policy)
             relations = derive(w, spark, root)
         with log.stage("check"):
-            report = run_contracts(w)
+            report = run_contracts(w, facts=facts)
             path = f"{history}/contract_results/run={run_id}"
             report.coalesce(1).write.parquet(path)
             _demand(spark.read.schema(report.schema).parquet(path), "warehouse")
             state = {
                 "run_id": run_id,
-                "entities": entities,
+                **committed({}, entities, facts),
                 "relations": relations,
                 "params": params.to_json(),
                 "policy": policy.to_json(),
             }
             Manifest(spark, root).commit(lambda was: state)
-            append_audit(spark, root, loaded, loaded_at)
+            append_audit(spark, root, row_counts_of(facts), loaded_at)
             register_views(w)
+            publish_layers(w, spark, root)
         with log.stage("count"):
             counts = row_counts(w, run_id, _now())
-            counts.coalesce(1).write.mode("append").parquet(f"{history}/table_row_count_audit")
+            row_count_history(spark, root).append(counts)
     return w

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revpulse.operators import invariants as I
-from revpulse.operators.contracts import column_failures, expect_relationship, expect_unique, union_all
-from revpulse.plans.relations import Warehouse
-from revpulse.schemas import EVENT_TYPES, PAYMENT_METHODS, PLANS, TICKET_CATEGORIES
+from revpulse.operators.contracts import column_failures
+from revpulse.operators.keys import Reference, Unique, key_pass, union_all
+from revpulse.operators.raw_checks import Facts
+from revpulse.plans.relations import ENTITY_OF, Warehouse
+from revpulse.schemas import ENTITIES, EVENT_TYPES, PAYMENT_METHODS, PLANS, TICKET_CATEGORIES
 
 # Labels a column may hold.
 DOMAINS = {
@@ -475,18 +477,55 @@ RULES: tuple[Rule, ...] = (
 
 def _column_checks(w: Warehouse, name: str) -> DataFrame:
     contract = CONTRACTS[name]
-    return column_failures(w[name], contract.not_null, contract.accepted)
+    return column_failures(w[name], contract.not_null, contract.accepted).select(
+        F.lit(name).alias("relation"), "contract", "column_name", "failed_rows"
+    )
 
 
-def relation_report(w: Warehouse, name: str) -> DataFrame:
-    """Failures of every generic promise of one relation."""
-    contract = CONTRACTS[name]
-    parts = [_column_checks(w, name)]
-    if contract.key:
-        parts.append(expect_unique(w[name], contract.key))
-    for key, (parent, parent_key) in contract.references.items():
-        parts.append(expect_relationship(w[name], key, w[parent], parent_key))
-    return union_all(parts).select(F.lit(name).alias("relation"), "contract", "column_name", "failed_rows")
+def _key_checks() -> tuple[list[Unique], list[Reference]]:
+    uniques = [Unique(name, c.key) for name, c in CONTRACTS.items() if c.key]
+    return uniques, [Reference(name, key, *parent) for name, c in CONTRACTS.items() for key, parent in c.references.items()]
+
+
+def staged_references() -> list[Reference]:
+    """References that staging promises, between the entities it takes its keys from."""
+    return [
+        Reference(ENTITY_OF[r.relation], r.column, ENTITY_OF[r.parent], r.parent_column)
+        for r in _key_checks()[1]
+        if r.relation in ENTITY_OF
+    ]
+
+
+def _known(w: Warehouse, check: Unique | Reference, facts: Facts) -> int | None:
+    """What the load already knows of a staging promise. Staged keys are those of the entity if they were typed."""
+
+    def same(relation: str, column: str) -> str | None:
+        entity = ENTITY_OF.get(relation)
+        if entity is None or w.sources[entity].schema[column].dataType != ENTITIES[entity].columns[column]:
+            return None
+        return entity
+
+    entity = same(check.relation, check.column)
+    if isinstance(check, Unique):
+        return facts.get((entity, "repeated", check.column))
+    parent = same(check.parent, check.parent_column)
+    return facts.get((entity, f"orphan of {parent}", check.column))
+
+
+def _key_report(w: Warehouse, facts: Facts) -> DataFrame:
+    """Keys and references of all relations in one pass, without those that the load has counted."""
+    uniques, references = _key_checks()
+    known = {c: n for c in (*uniques, *references) if (n := _known(w, c, facts)) is not None}
+    uniques, references = ([c for c in checks if c not in known] for checks in (uniques, references))
+    counted = key_pass(w, uniques, references)
+    label = lambda c: (c.relation, "unique" if isinstance(c, Unique) else "relationship", c.column)
+    names = ("relation", "contract", "column_name")
+    rows = [F.struct(*(F.lit(v).alias(n) for n, v in zip(names, label(c)))) for c in (*uniques, *references)]
+    found = counted.select(F.element_at(F.array(*rows), F.col("check") + 1).alias("of"), "failed_rows").select("of.*", "failed_rows")
+    if not known:
+        return found
+    said = w[next(iter(CONTRACTS))].sparkSession.createDataFrame([(*label(c), n) for c, n in known.items()], found.schema)
+    return found.unionByName(said)
 
 
 def rule_report(w: Warehouse, rule: Rule) -> DataFrame:
@@ -498,12 +537,15 @@ def rule_report(w: Warehouse, rule: Rule) -> DataFrame:
     )
 
 
-def run_contracts(w: Warehouse, tag: str | None = None) -> DataFrame:
-    """Every contract with its failing rows, or only the business rules carrying a tag."""
+def run_contracts(w: Warehouse, tag: str | None = None, facts: Facts | None = None) -> DataFrame:
+    """Every contract with its failing rows, or only the business rules carrying a tag.
+
+    ``facts`` is what the load of the sources has counted; keys of staging are not counted again then.
+    """
     rules = [r for r in RULES if tag is None or tag in r.tags]
     parts = [rule_report(w, r) for r in rules]
     if tag is None:
-        parts = [relation_report(w, name) for name in CONTRACTS] + parts
+        parts = [*(_column_checks(w, name) for name in CONTRACTS), _key_report(w, facts or {}), *parts]
     if not parts:
         raise ValueError(f"no contract carries the tag {tag!r}")
     verdict = F.when(F.col("failed_rows") == 0, "pass").otherwise("fail")

@@ -19,6 +19,7 @@ class Relation:
     name: str
     layer: str
     derive: Callable[["Warehouse"], DataFrame]
+    entity: str | None = None  # of a staging relation: what it takes its rows from
 
     @property
     def kind(self) -> str:
@@ -31,8 +32,8 @@ def _raw(entity):
 
 def _staging(name, entity, op, timed=False):
     if timed:
-        return Relation(name, "staging", lambda w: op(w[entity], w.params))
-    return Relation(name, "staging", lambda w: op(w[entity]))
+        return Relation(name, "staging", lambda w: op(w[entity], w.params), entity)
+    return Relation(name, "staging", lambda w: op(w[entity]), entity)
 
 
 def _mid(name, derive):
@@ -111,6 +112,9 @@ RELATIONS: dict[str, Relation] = {
 }
 
 
+ENTITY_OF = {r.name: r.entity for r in RELATIONS.values() if r.entity}
+
+
 def in_layer(*layers: str) -> list[str]:
     return [r.name for r in RELATIONS.values() if r.layer in layers]
 
@@ -131,6 +135,7 @@ class Warehouse(Mapping):
     ):
         self.sources, self.params, self.policy = sources, params, policy
         self._written: dict[str, DataFrame] = dict(stored or {})
+        self.paths: dict[str, str] = {}  # of derived relations that a run wrote
         self._frames: dict[str, DataFrame] = dict(self._written)
 
     def __getitem__(self, name: str) -> DataFrame:

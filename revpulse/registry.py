@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 from revpulse import faults
 from revpulse.operators import contracts, customer, invariants, marts, monitoring, product, raw_checks, revenue, support
 from revpulse.params import Params
-from revpulse.plans.build import derive, row_counts
+from revpulse.operators.keys import union_all
+from revpulse.plans.build import derive, publish_layers, row_counts
 from revpulse.plans.contracts import CONTRACTS, run_contracts
 from revpulse.plans.relations import Warehouse, in_layer
-from revpulse.schemas import ENTITIES
+from revpulse.schemas import CATALOG, ENTITIES, catalog_rows
 from revpulse.session import fresh_folder, shared_folder
 from revpulse.sources.bound import BASE_SCHEMAS, bind, run_log
-from revpulse.sources.files import read_raw, source_path
+from revpulse.sources.files import read_raw, source_path, source_report
 from revpulse.sources.snapshot import (
     count_entities,
     open_snapshot,
@@ -154,6 +155,35 @@ def _sources() -> dict[str, Query]:
 
         return query
 
+    def sources(spark, folder):
+        """Seven of nine files are there."""
+        path, tables = fresh_folder(spark, "csv"), bind(spark, folder)
+        for entity in set(ENTITIES) - {"crm_contacts", "billing_payments"}:
+            tables[entity].write.option("header", True).csv(source_path(path, entity))
+        return source_report(spark, path)
+
+    def catalog(spark, folder):
+        """Every column of every source, with the rows of a load and those that have a value."""
+        tables, rows = loaded(spark, folder).sources, catalog_rows()
+
+        def filled(entity: str) -> DataFrame:
+            counts = [F.struct(F.lit(c).alias("column_name"), F.count(F.lit(1)).alias("row_count"), F.count(c).alias("filled_rows")) for c in ENTITIES[entity].columns]
+            return tables[entity].agg(F.array(*counts).alias("columns")).select(F.lit(entity).alias("source_name"), F.inline("columns"))
+
+        counted = union_all(filled(entity) for entity in ENTITIES)
+        return spark.createDataFrame(rows, CATALOG).join(F.broadcast(counted), ["source_name", "column_name"])  # a row for each column
+
+    def layers(spark, folder):
+        """Rows of every relation, found by ``layer.name`` in a second session."""
+        names = publish_layers(derived(spark, folder), spark, fresh_folder(spark, "layers"))
+        second = spark.newSession()
+        return union_all(
+            second.table(name).agg(F.count(F.lit(1)).alias("row_count")).select(
+                F.lit(name.split(".")[0]).alias("schema_name"), F.lit(name.split(".")[1]).alias("relation_name"), "row_count"
+            )
+            for name in names
+        )
+
     def reload(spark, folder):
         """Both loads of one session, and an account count through a view made before the second."""
         target, tables = fresh_folder(spark, "snapshot"), bind(spark, folder)
@@ -192,6 +222,9 @@ def _sources() -> dict[str, Query]:
         "count_entities": lambda spark, folder: count_entities(bind(spark, folder), LOADED_AT),
         "reload_is_idempotent": reload,
         "register_view": view,
+        "layered_views": layers,
+        "check_sources": sources,
+        "source_catalog": catalog,
         "materialize_mart": table,
         "table_row_counts": _on_derived(lambda w: row_counts(w, RUN_ID, OBSERVED_AT)),
     }
@@ -319,6 +352,24 @@ def _checks() -> dict[str, Query]:
     def raw_report(spark, folder):
         return raw_checks.raw_validation_report(spark, loaded(spark, folder).sources)
 
+    def report_of_load(spark, folder):
+        """The same from what the load counted while it wrote, with one pass over the keys."""
+        tables = loaded(spark, folder).sources
+        references = raw_checks.references_of(tables)
+        parents = sum(tables.facts[name, "rows", ""] for name in {r.parent for r in references})
+        return raw_checks.report_of_facts(spark, tables.facts | raw_checks.key_facts(tables, references, parents))
+
+    def two_tables(spark, folder):
+        """A load of two entities, as it is opened."""
+        target, tables = fresh_folder(spark, "snapshot"), bind(spark, folder)
+        two = {entity: tables[entity] for entity in ("crm_accounts", "crm_contacts")}
+        return raw_checks.with_status(raw_checks.check_tables_exist(spark, publish_snapshot(spark, two, target, LOADED_AT)))
+
+    def empty(spark, folder):
+        w = loaded(spark, folder)
+        tables = _faulty_tables(w) | {"crm_contacts": faults.no_rows(w["crm_contacts"])}
+        return raw_checks.with_status(raw_checks.check_not_empty(tables))
+
     def faulty(check) -> Query:
         return lambda spark, folder: raw_checks.with_status(check(_faulty_tables(loaded(spark, folder))))
 
@@ -332,10 +383,12 @@ def _checks() -> dict[str, Query]:
     account_contract, deal_contract = CONTRACTS[accounts], CONTRACTS[deals]
     return {
         "raw_validation_report": raw_report,
+        "raw_validation_of_load": report_of_load,
+        "check_tables_exist": two_tables,
         "raw_validation_of_faults": lambda spark, folder: raw_checks.raw_validation_report(
             spark, _faulty_tables(loaded(spark, folder))
         ),
-        "check_not_empty": faulty(raw_checks.check_not_empty),
+        "check_not_empty": empty,
         "check_pk_not_null": faulty(raw_checks.check_pk_not_null),
         "check_pk_unique": faulty(raw_checks.check_pk_unique),
         "check_relationships": faulty(raw_checks.check_relationships),

@@ -200,3 +200,18 @@ PAYMENT_METHODS = ("card", "bank_transfer", "wire")
 def source_catalog() -> dict[str, Entity]:
     """Name to entity for every source the warehouse reads."""
     return dict(ENTITIES)
+
+
+def catalog_rows() -> list[tuple]:
+    """The catalogue as rows of ``CATALOG``: a row for each column of each source."""
+    return [
+        (e.name, e.description, place, column, dtype.simpleString(), column == e.key, *e.references.get(column, (None, None)))
+        for e in source_catalog().values()
+        for place, (column, dtype) in enumerate(e.columns.items(), 1)
+    ]
+
+
+CATALOG = (
+    "source_name string, description string, position int, column_name string, data_type string, is_key boolean, "
+    "references_source string, references_column string"
+)

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from revpulse.operators.keys import union_all
 from revpulse.schemas import ENTITIES
 from revpulse.sources import Sources
 
@@ -18,17 +20,34 @@ def source_path(folder: str, entity: str) -> str:
     return f"{folder.rstrip('/')}/{entity}.csv"
 
 
-def check_sources(spark: SparkSession, folder: str) -> None:
-    """Raise once with every missing source, before anything is read."""
+def missing_sources(spark: SparkSession, folder: str) -> list[str]:
+    """Entities without a file in the folder, in the order of the catalogue."""
     hadoop = spark._jvm.org.apache.hadoop.fs
     conf = spark._jsparkSession.sessionState().newHadoopConf()
-    missing = []
-    for entity in ENTITIES:
-        path = hadoop.Path(source_path(folder, entity))
-        if not path.getFileSystem(conf).exists(path):
-            missing.append(source_path(folder, entity))
+    paths = {entity: hadoop.Path(source_path(folder, entity)) for entity in ENTITIES}
+    return [entity for entity, path in paths.items() if not path.getFileSystem(conf).exists(path)]
+
+
+def check_sources(spark: SparkSession, folder: str) -> None:
+    """Raise once with every missing source, before anything is read."""
+    missing = missing_sources(spark, folder)
     if missing:
-        raise MissingSources(missing)
+        raise MissingSources(source_path(folder, entity) for entity in missing)
+
+
+def source_report(spark: SparkSession, folder: str) -> DataFrame:
+    """One row for each source of the catalogue: whether its file is there, and how many rows are in it."""
+    missing = missing_sources(spark, folder)
+    kind = "source_name string, is_present boolean"
+    listed = spark.createDataFrame([(entity, entity not in missing) for entity in ENTITIES], kind)
+    counts = [
+        read_raw(spark, entity, source_path(folder, entity)).agg(F.count(F.lit(1)).alias("row_count")).withColumn("source_name", F.lit(entity))
+        for entity in ENTITIES
+        if entity not in missing
+    ]
+    if not counts:
+        return listed.withColumn("row_count", F.lit(None).cast("bigint"))
+    return listed.join(F.broadcast(union_all(counts)), "source_name", "left").select("source_name", "is_present", "row_count")
 
 
 def read_raw(spark: SparkSession, entity: str, path: str) -> DataFrame:

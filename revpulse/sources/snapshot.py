@@ -12,12 +12,14 @@ import uuid
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from revpulse.operators.contracts import union_all
+from revpulse.operators.keys import union_all
+from revpulse.operators.raw_checks import Facts, load_metrics
 from revpulse.schemas import ENTITIES
 from revpulse.sources import Sources
+from revpulse.sources.history import History
 from revpulse.sources.manifest import Manifest
 
 AUDIT_SCHEMA = "table_schema string, table_name string, row_count bigint, loaded_at timestamp_ntz"
@@ -45,10 +47,10 @@ def count_entities(frames: Mapping[str, DataFrame], loaded_at: dt.datetime) -> D
 
 
 class Snapshot(Sources):
-    """Published entities; of those that are kept by month a range of days opens only its months."""
+    """Published entities, and what their load has counted; a range of days opens only its months."""
 
-    def __init__(self, spark: SparkSession, paths: Mapping[str, str]):
-        self.paths = dict(paths)
+    def __init__(self, spark: SparkSession, paths: Mapping[str, str], facts: Facts | None = None):
+        self.paths, self.facts = dict(paths), dict(facts or {})
         self._stored = {}
         for name, path in self.paths.items():
             schema = ENTITIES[name].schema
@@ -70,53 +72,77 @@ class Snapshot(Sources):
 
 def write_entities(
     spark: SparkSession, frames: Mapping[str, DataFrame], root: str, writers: int = 4
-) -> tuple[dict[str, str], dict[str, int]]:
-    """Write entities to new folders that no manifest names yet; their paths and row counts."""
+) -> tuple[dict[str, str], dict[tuple[str, str, str], int]]:
+    """Write entities to new folders that no manifest names yet; their paths, and what the writes have counted.
+
+    Rows, null keys, blank dates and negative amounts are counted by the tasks that write the files, after
+    the last shuffle, so a task that is run again does not count twice and nothing is read again.
+    """
     unknown = sorted(set(frames) - set(ENTITIES))
     if unknown:
         raise ValueError(f"unknown source entities: {', '.join(unknown)}")
     root, version = root.rstrip("/"), uuid.uuid4().hex
 
-    def write(name: str) -> tuple[str, str, int]:
+    def write(name: str) -> tuple[str, str, dict]:
         path = f"{root}/{name}/v={version}"
         df = frames[name].select(*ENTITIES[name].columns)
+        metrics = load_metrics(ENTITIES[name], df)
         if name in TIMED_BY:
             # Spark splits a large month over several files and joins no two months in one.
             df = df.withColumn(MONTH, F.trunc(TIMED_BY[name], "month")).hint("rebalance", F.col(MONTH))
-            df.sortWithinPartitions(MONTH, TIMED_BY[name]).write.partitionBy(MONTH).parquet(path)
-        else:
-            df.write.parquet(path)
-        return name, path, spark.read.schema(df.schema).parquet(path).count()
+            df = df.sortWithinPartitions(MONTH, TIMED_BY[name])
+        seen = Observation()
+        out = df.observe(seen, *(c.alias(f"{kind} {column}") for (kind, column), c in metrics.items())).write
+        (out.partitionBy(MONTH) if name in TIMED_BY else out).parquet(path)
+        return name, path, {(name, *key): seen.get[" ".join(key)] for key in metrics}
 
     with ThreadPoolExecutor(writers) as pool:
         written = list(pool.map(write, frames))
-    return {name: path for name, path, _ in written}, {name: n for name, _, n in written}
+    return {name: path for name, path, _ in written}, {key: n for *_, found in written for key, n in found.items()}
+
+
+def row_counts(facts: Facts) -> dict[str, int]:
+    return {table: n for (table, kind, _), n in facts.items() if kind == "rows"}
 
 
 def append_audit(spark: SparkSession, root: str, counts: Mapping[str, int], loaded_at: dt.datetime) -> None:
-    load_audit(spark, counts, loaded_at).coalesce(1).write.mode("append").parquet(f"{root.rstrip('/')}/load_audit")
+    _audit(spark, root).append(load_audit(spark, counts, loaded_at))
+
+
+def _audit(spark: SparkSession, root: str) -> History:
+    return History(spark, f"{root.rstrip('/')}/load_audit", AUDIT_SCHEMA)
 
 
 def publish_snapshot(
     spark: SparkSession, frames: Mapping[str, DataFrame], root: str, loaded_at: dt.datetime, writers: int = 4
 ) -> Snapshot:
     """Replace the given entities together; any failure leaves the previous load in place."""
-    paths, counts = write_entities(spark, frames, root, writers)
-    Manifest(spark, root).commit(lambda was: {**was, "entities": {**was.get("entities", {}), **paths}})
-    append_audit(spark, root, counts, loaded_at)
+    paths, facts = write_entities(spark, frames, root, writers)
+    Manifest(spark, root).commit(lambda was: committed(was, paths, facts))
+    append_audit(spark, root, row_counts(facts), loaded_at)
     return open_snapshot(spark, root)
 
 
+def committed(was: dict, paths: Mapping[str, str], facts: Facts) -> dict:
+    """A state with some entities replaced, and what is known of them; what it said of replaced ones is gone."""
+    kept = [row for row in was.get("facts", []) if row[0] not in paths]
+    known = [[*key, n] for key, n in facts.items()]
+    return {**was, "entities": {**was.get("entities", {}), **paths}, "facts": kept + known}
+
+
+def facts_of(state: dict) -> dict[tuple[str, str, str], int]:
+    return {(table, kind, column): n for table, kind, column, n in state.get("facts", [])}
+
+
 def open_snapshot(spark: SparkSession, root: str) -> Snapshot:
     """The entities of the load the manifest currently names."""
-    return Snapshot(spark, Manifest(spark, root).read().get("entities", {}))
+    state = Manifest(spark, root).read()
+    return Snapshot(spark, state.get("entities", {}), facts_of(state))
 
 
 def read_load_audit(spark: SparkSession, root: str) -> DataFrame:
     """Audit rows of all committed loads."""
-    if not Manifest(spark, root).read():
-        return spark.createDataFrame([], AUDIT_SCHEMA)
-    return spark.read.schema(AUDIT_SCHEMA).parquet(f"{root.rstrip('/')}/load_audit")
+    return _audit(spark, root).read()
 
 
 def table_fingerprint(frames: Mapping[str, DataFrame]) -> DataFrame:
