@@ -22,6 +22,14 @@ def written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def keyed(rows: DataFrame, path: str) -> DataFrame:
+    """Every row with a number of its own as ``key`` and its columns as ``row``, written.
+
+    Whatever the columns are called, they cannot clash with those that an operator adds.
+    """
+    return written(rows.select(F.monotonically_increasing_id().alias("key"), F.struct("*").alias("row")), path)
+
+
 def _star(links: DataFrame, larger: bool) -> DataFrame:
     """Point neighbours at the least node around them.
 

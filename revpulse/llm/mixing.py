@@ -11,12 +11,14 @@ other, each epoch in an order of its own. The leaf gives the prefix that fills i
 then documents up to the budget, the last one in part.
 
 All of it is DataFrame operations. A leaf that holds a third of the rows is not gathered anywhere: its last
-epoch is cut into hash ranges of about ``RANGE_ROWS`` rows, running totals are kept over ranges, and only
-the range in which the budget ends is ordered document by document. Budgets are integers throughout.
+epoch is cut into hash ranges of about ``RANGE_ROWS`` ids, running totals are kept over ranges, and only
+the range in which the budget ends is looked at closer. There, rows of one id and length are one group, and totals are
+kept over groups; the group in which the budget ends, which an often repeated id makes large, is cut into parts once
+more, and counted part by part. Budgets are integers throughout.
 
 Defined results: null or empty texts have no tokens and are never selected; a null language or source
 is ``und`` or ``unknown``. Weights that are not listed are ``other_weight``, and a node of weight 0 gets
-nothing. Repeated rows are separate rows. Rows with a null id are left out. If the corpus cannot hold the
+nothing. Repeated rows are separate rows, which are chosen each for itself. Rows with a null id are left out. If the corpus cannot hold the
 budget, every leaf gives all it may. An empty table gives an empty result.
 """
 
@@ -27,9 +29,9 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .components import scratch, written
+from .components import keyed, scratch, written
 
-#: Rows of a leaf that one hash range holds, about.
+#: Rows of a leaf that one hash range, or part of a group, holds, about.
 RANGE_ROWS = 2_000
 LEVELS = ("domain", "lang", "source")
 
@@ -57,8 +59,8 @@ def _lookup(column: Column, table: dict, default) -> Column:
     return found
 
 
-def token_counts(docs: DataFrame, weights: Weights) -> DataFrame:
-    """``doc_id``, the leaf and the number of words ``[^\\x20\\x09-\\x0D]+`` of each text."""
+def token_counts(docs: DataFrame, weights: Weights, *keep: str) -> DataFrame:
+    """``doc_id``, the leaf and the number of words ``[^\\x20\\x09-\\x0D]+`` of each text, and the columns ``keep``."""
     source = F.coalesce("source", F.lit("unknown"))
     return docs.where("doc_id is not null").select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -66,6 +68,7 @@ def token_counts(docs: DataFrame, weights: Weights) -> DataFrame:
         F.coalesce("lang", F.lit("und")).alias("lang"),
         source.alias("source"),
         F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("n_tokens"),
+        *keep,
     )
 
 
@@ -113,10 +116,23 @@ def _hash(seed: int, epoch: Column) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), epoch.cast("string"), F.lit(":"), F.col("doc_id").cast("string")).cast("binary"))
 
 
-def selection(docs: DataFrame, weights: Weights, total: int | None = None, epochs: int = 4, seed: int = 1) -> DataFrame:
-    """``doc_id, domain, lang, source, epoch, n_tokens, taken`` of every document and epoch that is used."""
-    folder = scratch(docs.sparkSession)
-    counts = written(token_counts(docs, weights), f"{folder}/counts")
+def _last_group(rows: DataFrame) -> DataFrame:
+    """The first ``whole`` rows of each leaf's last group, and ``rest`` tokens of the next; the rows are alike.
+
+    Rows are counted in parts by a hash of their key, and numbered only within a part.
+    """
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("key"), F.ceil(F.col("many") / RANGE_ROWS).cast("long")))
+    parts = rows.groupBy(*LEVELS, "part").agg(F.count("*").alias("in_part"))
+    earlier = Window.partitionBy(*LEVELS).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("before", F.coalesce(F.sum("in_part").over(earlier), F.lit(0))).drop("in_part")
+    number = F.col("before") + F.row_number().over(Window.partitionBy(*LEVELS, "part").orderBy("key"))
+    numbered = rows.join(parts, [*LEVELS, "part"]).withColumn("number", number)
+    taken = F.when(F.col("number") <= F.col("whole_rows"), F.col("n_tokens")).when(F.col("number") == F.col("whole_rows") + 1, F.col("rest"))
+    return numbered.withColumn("taken", taken).where("taken > 0")
+
+
+def _selected(counts: DataFrame, folder: str, weights: Weights, total: int | None, epochs: int, seed: int) -> DataFrame:
+    """``key, doc_id, domain, lang, source, epoch, n_tokens, taken`` of every row and epoch that is used."""
     budgets = written(leaf_budgets(counts, weights, total, epochs).where("budget > 0"), f"{folder}/budgets")
     budgets = budgets.select(
         *LEVELS,
@@ -125,7 +141,7 @@ def selection(docs: DataFrame, weights: Weights, total: int | None = None, epoch
         F.ceil(F.col("rows") / RANGE_ROWS).cast("long").alias("ranges"),
     )
     rows = counts.where("n_tokens > 0").join(budgets, list(LEVELS))
-    columns = ["doc_id", *LEVELS, "epoch", "n_tokens", "taken"]
+    columns = ["key", "doc_id", *LEVELS, "epoch", "n_tokens", "taken"]
     complete = rows.where("whole > 0").withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("whole") - 1))).withColumn("taken", F.col("n_tokens"))
 
     hashed = rows.where("over > 0").withColumn("epoch", F.col("whole")).withColumn("h", _hash(seed, F.col("epoch")))
@@ -136,17 +152,38 @@ def selection(docs: DataFrame, weights: Weights, total: int | None = None, epoch
     by_range = by_range.withColumn("start", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)))
     placed = hashed.join(by_range, [*LEVELS, "range"]).where("start < over")
     inside = placed.where("start + tokens <= over").withColumn("taken", F.col("n_tokens"))
-    within = Window.partitionBy(*LEVELS, "range").orderBy("h", "n_tokens").rowsBetween(Window.unboundedPreceding, -1)
-    left = F.col("over") - F.col("start") - F.coalesce(F.sum("n_tokens").over(within), F.lit(0))
-    ending = placed.where("start + tokens > over").withColumn("left", left).where("left > 0").withColumn("taken", F.least("n_tokens", "left"))
-    return complete.select(columns).union(inside.select(columns)).union(ending.select(columns))
+
+    # One range of each leaf: what is left of its budget, group by group.
+    ending = placed.where("start + tokens > over")
+    group = [*LEVELS, "h", "n_tokens"]
+    groups = ending.groupBy(*group).agg(F.count("*").alias("many"), F.first("over").alias("limit"), F.first("start").alias("from"))
+    within = Window.partitionBy(*LEVELS).orderBy("h", "n_tokens").rowsBetween(Window.unboundedPreceding, -1)
+    left = F.col("limit") - F.col("from") - F.coalesce(F.sum(F.col("many") * F.col("n_tokens")).over(within), F.lit(0))
+    groups = groups.withColumn("left", left).where("left > 0")
+    groups = groups.withColumn("whole_rows", F.least("many", F.floor(F.col("left") / F.col("n_tokens")).cast("long")))
+    groups = groups.withColumn("rest", F.col("left") - F.col("whole_rows") * F.col("n_tokens")).select(*group, "many", "whole_rows", "rest")
+    reached = ending.join(groups, group)
+    full = reached.where("whole_rows = many").withColumn("taken", F.col("n_tokens"))
+    last = _last_group(reached.where("whole_rows < many"))
+    return complete.select(columns).union(inside.select(columns)).union(full.select(columns)).union(last.select(columns))
+
+
+def selection(docs: DataFrame, weights: Weights, total: int | None = None, epochs: int = 4, seed: int = 1) -> DataFrame:
+    """``doc_id, domain, lang, source, epoch, n_tokens, taken`` of every document and epoch that is used."""
+    folder = scratch(docs.sparkSession)
+    counts = token_counts(docs, weights).withColumn("key", F.monotonically_increasing_id())
+    return _selected(written(counts, f"{folder}/counts"), folder, weights, total, epochs, seed).drop("key")
 
 
 def mixed(docs: DataFrame, weights: Weights, total: int | None = None, epochs: int = 4, seed: int = 1) -> DataFrame:
-    """The documents of the selection with all their columns, once for each epoch; the last one is whole."""
-    used = selection(docs, weights, total, epochs, seed).groupBy("doc_id").agg((F.max("epoch") + 1).alias("__times"))
-    return (
-        docs.join(used.withColumnRenamed("doc_id", "__id"), F.col("doc_id") == F.col("__id"))
-        .withColumn("__epoch", F.explode(F.sequence(F.lit(1), F.col("__times"))))
-        .select(docs.columns)
-    )
+    """The documents of the selection with all their columns, once for each epoch; the last one is whole.
+
+    Every row is chosen by itself, by a number that it gets here: rows that repeat an id under another source,
+    language or text are not returned for each other.
+    """
+    folder = scratch(docs.sparkSession)
+    rows = keyed(docs, f"{folder}/rows")
+    counts = token_counts(rows.select("row.doc_id", "row.lang", "row.source", "row.text", "key"), weights, "key")
+    used = _selected(written(counts, f"{folder}/counts"), folder, weights, total, epochs, seed)
+    times = used.groupBy("key").agg((F.max("epoch") + 1).alias("times"))
+    return rows.join(times, "key").select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")

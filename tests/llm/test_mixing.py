@@ -106,18 +106,49 @@ def test_ranges_change_nothing(spark, monkeypatch):
 
 
 def test_mixed_returns_rows_once_for_each_epoch(spark):
-    docs = documents(spark).where("doc_id is null or doc_id <> 1002")
+    docs = documents(spark)
     times = defaultdict(int)
     for r in M.selection(docs, WEIGHTS).collect():
-        times[r["doc_id"]] += 1
+        times[r["doc_id"], r["lang"], r["source"]] += 1
     mixed = M.mixed(docs, WEIGHTS)
     assert mixed.columns == docs.columns
     got = defaultdict(int)
     for r in mixed.collect():
-        got[r["doc_id"]] += 1
+        got[r["doc_id"], r["lang"] or "und", r["source"] or "unknown"] += 1
     assert got == times
 
 
+def test_an_id_of_two_sources_is_two_rows(spark):
+    """A source of weight 0 gives nothing, also if another source has a row of the same id."""
+    weights = M.Weights({}, {}, {}, {"b": 0})
+    rows = [(1, "a a a", "en", "a"), (1, "b b b", "en", "b"), (2, "c", "en", "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    assert [tuple(r) for r in M.mixed(docs, weights, epochs=1).collect()] == rows[:1]
+
+
+def test_a_repeated_id_is_counted_in_parts(spark, monkeypatch):
+    """A third of the rows with one id and length: the budget ends among them, and the parts change nothing."""
+    rows = [(7, "w " * 5, "en", "a")] * 90 + [(k, "w " * (k % 4 + 1), "en", "a") for k in range(100, 280)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(5)
+    shown = lambda table: sorted((r["doc_id"], r["n_tokens"], r["epoch"], r["taken"]) for r in table.collect())
+    weights = M.Weights({}, {}, {}, {})
+    for total in (333, 471):
+        with monkeypatch.context() as patched:
+            one = M.selection(docs, weights, total=total)
+            whole = shown(one)
+            patched.setattr(M, "RANGE_ROWS", 8)
+            assert shown(M.selection(docs, weights, total=total)) == whole
+        assert sum(t for *_, t in whole) == total and sum(t < n for _, n, _, t in whole) <= 1
+        assert len(M.mixed(docs, weights, total=total).collect()) == len(whole)
+
+
+def test_columns_of_any_name(spark):
+    names = ["key", "row", "times", "epoch", "__times", "__id", "a.b", "h"]
+    docs = spark.createDataFrame([(1, "x y", "en", "s", *range(8), {"k": 1})], ["doc_id", "text", "lang", "source", *names, "m"])
+    got = M.mixed(docs, M.Weights({}, {}, {}, {}), epochs=2)
+    assert got.columns == docs.columns and [tuple(r) for r in got.collect()] == [tuple(r) for r in docs.collect()]
+
+
 def test_empty_table(spark):
     docs = documents(spark).limit(0)
     assert M.selection(docs, WEIGHTS).count() == 0 and M.mixed(docs, WEIGHTS).count() == 0
