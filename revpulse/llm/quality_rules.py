@@ -117,11 +117,12 @@ def _holds(rule: Rule, x: np.ndarray, names: list[str]) -> np.ndarray:
     return np.all([(x[:, names.index(c.statistic)] > c.cut) == c.above for c in rule], axis=0)
 
 
-def fit(x: np.ndarray, y: np.ndarray, names: list[str]) -> Model:
-    """Rules of boosted trees, weighted by L1-penalised logistic regression."""
+def fit(x: np.ndarray, y: np.ndarray, names: list[str], weight: np.ndarray | None = None) -> Model:
+    """Rules of boosted trees, weighted by L1-penalised logistic regression; rows may have weights of mean 1."""
     if not len(y):
         return Model(0.0, ())
-    share = np.clip(y.mean(), 0.01, 0.99)
+    weight = np.ones(len(y)) if weight is None else weight / weight.mean()
+    share = np.clip(np.average(y, weights=weight), 0.01, 0.99)
     bias = float(np.log(share / (1 - share)))
     if y.min() == y.max():
         return Model(bias, ())
@@ -129,17 +130,17 @@ def fit(x: np.ndarray, y: np.ndarray, names: list[str]) -> Model:
     rules, total = {}, np.full(len(y), bias)
     for _ in range(TREES):
         p = 1 / (1 + np.exp(-total))
-        paths, prediction = _grown(x, cuts, p - y, p * (1 - p), names)
+        paths, prediction = _grown(x, cuts, weight * (p - y), weight * p * (1 - p), names)
         rules |= dict.fromkeys(paths)
         total += STEP * prediction
     rules = list(rules)
     held = np.stack([_holds(r, x, names) for r in rules], axis=1).astype(float)
     weights, momentum, inertia = np.zeros(len(rules)), np.zeros(len(rules)), 1.0
-    size = 4 / (np.linalg.norm(held, 2) ** 2 / len(y) + 1)
+    size = 4 / (np.linalg.norm(held * np.sqrt(weight)[:, None], 2) ** 2 / len(y) + 1)
     for _ in range(LASSO_STEPS):
-        p = 1 / (1 + np.exp(-(held @ momentum + bias)))
-        bias -= size * float((p - y).mean())
-        moved = momentum - size * (held.T @ (p - y)) / len(y)
+        error = weight * (1 / (1 + np.exp(-(held @ momentum + bias))) - y)
+        bias -= size * float(error.mean())
+        moved = momentum - size * (held.T @ error) / len(y)
         shrunk = np.sign(moved) * np.maximum(np.abs(moved) - size * PENALTY, 0)
         faster = (1 + np.sqrt(1 + 4 * inertia**2)) / 2
         momentum, weights, inertia = shrunk + (inertia - 1) / faster * (shrunk - weights), shrunk, faster
@@ -154,9 +155,13 @@ def scored(docs: DataFrame, labels: DataFrame, label: str = "quality", folds: in
     found = written(statistics(docs), f"{scratch(docs.sparkSession)}/statistics")
     usable = labels.where(F.col(label).isNotNull() & (fold("doc_id", folds) != held_out))
     chosen = sample_ids(usable.select("doc_id", F.col(label).alias("label")), TRAINING_ROWS, "label")
-    rows = found.dropDuplicates(["doc_id"]).join(chosen, "doc_id").orderBy("doc_id").collect()
     names = list(STATISTICS)
-    model = fit(np.array([[r[n] for n in names] for r in rows]).reshape(-1, len(names)), np.array([float(r["label"]) for r in rows]), names)
+    # At most TRAINING_ROWS rows are sent; of several texts with one id the one with the least statistics is learned from.
+    one = F.min(F.struct(*names, "label", "weight")).alias("row")
+    rows = found.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(one).orderBy("doc_id").select("row.*").collect()
+    model = fit(
+        np.array([[r[n] for n in names] for r in rows]).reshape(-1, len(names)), np.array([float(r["label"]) for r in rows]), names, np.array([r["weight"] for r in rows])
+    )
     return found.select(
         "doc_id", (fold("doc_id", folds) == held_out).alias("held_out"), model.score().alias("score"), *names
     ).select("doc_id", "held_out", "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"), *names)

@@ -10,8 +10,14 @@ of neighbours is always separated. The empty window belongs to every text.
 The model is fitted on a bounded sample of labelled texts, with the most toxic window standing for each
 text (multiple-instance learning). Near copies share one weight: texts with the same least hash of a
 5-word shingle count as one together. Terms that few texts have weigh nothing, and neither do those that
-stand out neither alone nor in a pair: toxic texts have them hardly more or less often than others, and
-windows of them and any other term hardly more or less often than the two terms alone let expect.
+stand out neither alone nor in a pair. Alone, a term stands out if toxic texts have it far more or less often than
+others. A pair, of words or word starts of ``STARTS[k], k in PAIR_KINDS``, stands out if windows of it are
+more often toxic than its two terms alone let expect, or less often and one of them stands out alone.
+
+Texts are looked at by Spark tasks only. Those count terms and pairs of terms, each text's once: first pairs in toxic texts,
+then the pairs that can still stand out in the others. To the driver come the terms' counts, at most one
+for each bucket, and in each epoch the most toxic window of each text of the sample. None of this grows with
+the length of texts.
 
 Defined results: a null or empty text, or one without letters, gets the score of the empty window.
 Repeated rows get equal scores. Null labels are not learned from, a repeated label counts once, as its
@@ -31,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
+from .components import scratch, written
 from .labelled import fold, sample_ids
 
 #: Labelled texts that the model is fitted on, at most.
@@ -42,10 +49,13 @@ BUCKETS, WINDOW, FACTORS = 1 << 20, 32, 4
 LEAST_TEXTS, STANDS_OUT = 6, 5.0
 #: Pairs that would stand out by chance if all pairs were additive, at most, as a Chernoff bound has it.
 CHANCE_PAIRS = 1.0
-#: Counters of the first count of pairs, and pairs made at once.
-COUNTERS, PAIRS_AT_ONCE = 1 << 24, 1 << 18
-#: Lengths in bytes of the word starts that are terms beside the word (None) itself.
-STARTS = (None, 4, 5, 6, 7, 8)
+#: Pairs that a task makes at once, distinct ones that it sums before it hands them on, and bits of the filter that
+#: holds the pairs of the first count.
+PAIRS_AT_ONCE, PAIRS_HELD, FILTER_BITS = 1 << 18, 1 << 20, 22
+#: Lengths in bytes of the word starts that are terms beside the word (None) itself, and those that make pairs.
+STARTS, PAIR_KINDS = (None, 4, 5, 6, 7, 8), (0, 2)
+#: A text's weight of 1; weights are whole numbers, so their sums are the same in every order.
+ONE = 1 << 32
 EPOCHS, STEPS, RATE, DECAY = 8, 12, 0.1, 1e-3
 #: Texts with at least this score are toxic.
 THRESHOLD = 0.7
@@ -128,133 +138,258 @@ def _most_toxic(windows: Windows, logits: np.ndarray) -> np.ndarray:
     return order[np.flatnonzero(np.diff(windows.text[order], append=-1))]
 
 
-def _classes(flat: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """For each bucket of ``known`` a number, the same for those that the same words of the sample have."""
-    marks = np.zeros(BUCKETS, np.uint64)
-    for k in range(flat.shape[1]):
-        # A word has a term once, also if several of its starts are the same.
-        first = np.all(flat[:, :k] != flat[:, k : k + 1], axis=1)
-        np.add.at(marks, flat[first, k], W.mix(np.flatnonzero(first).astype(np.uint64) + np.uint64(1)))
-    return np.unique(marks[known], return_inverse=True)[1]
-
-
-def _text_pairs(count: int, at: np.ndarray, term: np.ndarray, n: int) -> Iterator[np.ndarray]:
-    """``low * n + high`` of all pairs of terms in a common window of one text, each once in every part."""
-    windows = cut_windows(np.array([count]), np.zeros(len(at), np.int64), at, term)
-    sizes = np.bincount(windows.window, minlength=len(windows.text))
-    ends = np.cumsum(sizes)
-    followers = np.repeat(ends, sizes) - np.arange(len(windows.term)) - 1
-    made, begin = np.cumsum(followers), 0
-    while begin < len(followers):
-        done = made[begin - 1] if begin else 0
-        end = max(begin + 1, int(np.searchsorted(made, done + PAIRS_AT_ONCE, side="right")))
-        some = followers[begin:end]
-        low = np.repeat(windows.term[begin:end], some)
-        yield np.unique(low * n + windows.term[W.gather(np.arange(begin, end) + 1, some)])
-        begin = end
-
-
-def pair_terms(
-    buckets: list[np.ndarray], weight: np.ndarray, y: np.ndarray, every: np.ndarray, toxic: np.ndarray, share: float, alone: np.ndarray
-) -> np.ndarray:
-    """Buckets of the terms with a pair that stands out from what its two terms let expect without it.
-
-    That is between the higher toxic share of the two and the sum of those that stand out ``alone``.
-
-    All pairs in a common window are counted, a text once. The first pass counts hashes of pairs, which
-    bounds every pair's counts from above; the second counts those pairs exactly that can stand out.
-    """
-    known = np.flatnonzero(every >= LEAST_TEXTS)
-    if len(known) < 2:
-        return known[:0]
-    of = _classes(np.concatenate(buckets), known)
-    n = int(of.max()) + 1
-    place = np.full(BUCKETS, -1, np.int32)
-    place[known] = of
-    own = np.empty(n)
-    own[of] = (toxic[known] + share) / (every[known] + 1)
-    base, logit = np.log(share / (1 - share)), np.empty(n)
-    logit[of] = np.where(alone[known], np.log(own / (1 - own))[of], base)
-    enough = np.log(max(n * (n - 1) / 2 / CHANCE_PAIRS, 2.0))
-
-    def pairs_of(x: np.ndarray) -> Iterator[np.ndarray]:
-        return _text_pairs(len(x), *known_terms(np.array([len(x)]), x, place)[1:], n)
-
-    def expected(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Toxic shares between which a pair does not stand out."""
-        low, high = pairs // n, pairs % n
-        added, higher = 1 / (1 + np.exp(base - logit[low] - logit[high])), np.maximum(own[low], own[high])
+def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
+    """Row and terms of each text of a batch, one text at a time."""
+    for rows, starts, data in W.chunks(batch.column("text")):
+        words, buckets = terms(starts, data)
+        for k, (a, b) in enumerate(zip(words.first_word[:-1].tolist(), words.first_word[1:].tolist())):
+            yield rows.start + k, buckets[a:b]
+
+
+def _families(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The least hash of a 5-word shingle of each text, which near copies share."""
+    for batch in batches:
+        for rows, starts, data in W.chunks(batch.column("text")):
+            words = W.split_words(starts, data, _BETWEEN)
+            shingles, cut = W.hash_windows(W.hash_words(words, _CODES), 5), words.first_word
+            family = [shingles[cut[k] : max(cut[k], cut[k + 1] - 4)] for k in range(len(starts) - 1)]
+            least = pa.array([int(f.min() >> np.uint64(1)) if len(f) else None for f in family], pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c)[rows] for c in ("doc_id", "label", "weight")), least], ["doc_id", "label", "weight", "family"])
+
+
+def _term_counts(units: dict[int, int]):
+    """Per task and bucket: weight of the texts that have it, of the toxic ones, and a mark of the words that have it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every, toxic, marks = (np.zeros(BUCKETS, t) for t in (np.int64, np.int64, np.uint64))
+        for batch in batches:
+            ids, labels = batch.column("doc_id").to_pylist(), batch.column("label").to_pylist()
+            for row, buckets in _texts(batch):
+                here = np.unique(buckets)
+                every[here] += units[ids[row]]
+                toxic[here] += units[ids[row]] * labels[row]
+                with np.errstate(over="ignore"):
+                    word = W.mix(np.arange(len(buckets), dtype=np.uint64) + W.mix(np.array([ids[row]], np.int64).view(np.uint64)))
+                for n, kind in enumerate(PAIR_KINDS):
+                    # A word has a term once, also if several of its starts are the same.
+                    first = np.all(buckets[:, list(PAIR_KINDS[:n])] != buckets[:, kind, None], axis=1)
+                    np.bitwise_xor.at(marks, buckets[first, kind], word[first])
+        some = np.flatnonzero(every)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (some, every[some], toxic[some], marks[some].view(np.int64))], ["bucket", "every", "toxic", "mark"])
+
+    return run
+
+
+class Screen(NamedTuple):
+    """What decides whether a pair stands out. Terms that the same words of the sample have are one class."""
+
+    place: np.ndarray  # by bucket: its class, or -1 if it makes no pairs
+    own: np.ndarray  # by class: its toxic share
+    logit: np.ndarray  # by class: of that share if it stands out alone, of the mean if not
+    strong: np.ndarray  # by class: whether it stands out alone, as toxic
+    usable: np.ndarray  # by class: whether enough toxic texts have it for a pair of it to stand out
+    base: float
+    enough: float
+
+    def expected(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Toxic shares between which a pair does not stand out: the higher of its terms', and what they add up to."""
+        low, high = np.divmod(pairs, len(self.own))
+        added, higher = 1 / (1 + np.exp(self.base - self.logit[low] - self.logit[high])), np.maximum(self.own[low], self.own[high])
         return np.minimum(added, higher), np.maximum(added, higher)
 
-    counters = np.zeros((2, COUNTERS), np.float32)  # of clean and of toxic texts
-
-    def slots(pairs: np.ndarray) -> np.ndarray:
-        return (W.mix(pairs.astype(np.uint64)) % np.uint64(COUNTERS)).astype(np.int64)
-
-    for x, heavy, is_toxic in zip(buckets, weight, y):
-        for pairs in pairs_of(x):
-            np.add.at(counters[int(is_toxic)], slots(pairs), np.float32(heavy))
-    counters *= 1.001  # rounding
-
-    counted = np.zeros(0, np.int64), np.zeros(0), np.zeros(0)
-    waiting, size = [], 0
-
-    def folded() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        pairs, back = np.unique(np.concatenate([counted[0], *(w[0] for w in waiting)]), return_inverse=True)
-        sums = (np.concatenate([counted[k], *(w[k] for w in waiting)]) for k in (1, 2))
-        return pairs, *(np.bincount(back, x, len(pairs)) for x in sums)
-
-    for x, heavy, is_toxic in zip(buckets, weight, y):
-        parts = []
-        for pairs in pairs_of(x):
-            lower, upper = expected(pairs)
-            clean_most, toxic_most = counters[:, slots(pairs)]
-            parts.append(pairs[(-toxic_most * np.log(upper) >= enough) | (-clean_most * np.log1p(-lower) >= enough)])
-        pairs = np.unique(np.concatenate(parts)) if parts else counted[0][:0]
-        waiting.append((pairs, np.full(len(pairs), heavy), np.full(len(pairs), heavy * is_toxic)))
-        size += len(pairs)
-        if size >= max(PAIRS_AT_ONCE, len(counted[0])):
-            counted, waiting, size = folded(), [], 0
-    pairs, every, toxic = folded()
-    lower, upper = expected(pairs)
-    seen = np.clip(toxic / np.maximum(every, 1e-9), 1e-9, 1 - 1e-9)
-    near = np.clip(seen, lower, upper)
-    bound = every * (seen * np.log(seen / near) + (1 - seen) * np.log((1 - seen) / (1 - near)))
-    pairs = pairs[(every >= LEAST_TEXTS) & (bound >= enough)]
-    return known[np.isin(of, np.concatenate([pairs // n, pairs % n]))]
-
-
-def fit(buckets: list[np.ndarray], weight: np.ndarray, y: np.ndarray, seed: int = 7) -> Model:
+    def with_strong(self, pairs: np.ndarray) -> np.ndarray:
+        low, high = np.divmod(pairs, len(self.own))
+        return self.strong[low] | self.strong[high]
+
+    def possible(self, pairs: np.ndarray, clean: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+        """Whether a pair can stand out; of pairs without a strong term the clean texts are not known yet."""
+        lower, upper = self.expected(pairs)
+        return (-toxic * np.log(upper) >= self.enough) | (self.with_strong(pairs) & (-clean * np.log1p(-lower) >= self.enough))
+
+    def outstanding(self, pairs: np.ndarray, clean: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+        every, (lower, upper) = clean + toxic, self.expected(pairs)
+        seen = np.clip(toxic / np.maximum(every, 1e-9), 1e-9, 1 - 1e-9)
+        near = np.clip(seen, lower, upper)
+        bound = every * (seen * np.log(seen / near) + (1 - seen) * np.log((1 - seen) / (1 - near)))
+        return (every >= LEAST_TEXTS) & (bound >= self.enough) & ((seen > near) | self.with_strong(pairs))
+
+
+def screen_of(bucket: np.ndarray, every: np.ndarray, toxic: np.ndarray, mark: np.ndarray, alone: np.ndarray, share: float) -> Screen:
+    """From the terms that are in enough texts: buckets, texts, toxic texts, marks of their words, and whether each stands out alone."""
+    some = mark != 0
+    kinds, first, of = np.unique(mark[some], return_index=True, return_inverse=True)
+    place = np.full(BUCKETS, -1, np.int32)
+    place[bucket[some]] = of
+    n = len(kinds)
+    own = ((toxic + share) / (every + 1))[some][first]
+    base = float(np.log(share / (1 - share)))
+    logit = np.where(alone[some][first], np.log(own / (1 - own)), base)
+    enough = float(np.log(max(n * (n - 1) / 2 / CHANCE_PAIRS, 2.0)))
+    strong = alone[some][first] & (own > share)
+    return Screen(place, own, logit, strong, toxic[some][first] * -np.log(np.maximum(own, 1e-9)) >= enough, base, enough)
+
+
+def text_pairs(windows: Windows, n: int, both: np.ndarray, either: np.ndarray) -> Iterator[np.ndarray]:
+    """``low * n + high`` of pairs of terms in a common window of one text, each once.
+
+    Of a pair both terms have to be marked in ``both``, or one of them in ``either``. Of a long text the pairs are
+    made in parts by their lower term, so no more than about ``PAIRS_AT_ONCE`` are held.
+    """
+    window, term = windows.window, windows.term
+    # Terms that are not in ``both`` are of use in windows with one of ``either`` only.
+    chosen = np.bincount(window, either[term], len(windows.text))[window] > 0 if len(term) else np.zeros(0, bool)
+    keep = both[term] | chosen
+    window, term = window[keep], term[keep]
+    sizes = np.bincount(window, minlength=len(windows.text))
+    followers = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(term)) - 1
+    parts = max(1, -(-int(followers.sum()) // PAIRS_AT_ONCE))
+    for part in range(parts):
+        entries = np.flatnonzero(term % parts == part) if parts > 1 else np.arange(len(term))
+        found, begin, made = np.zeros(0, np.int64), 0, np.cumsum(followers[entries])
+        while begin < len(entries):
+            done = made[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(made, done + PAIRS_AT_ONCE, side="right")))
+            some = entries[begin:end]
+            low = np.repeat(term[some], followers[some])
+            high = term[W.gather(some + 1, followers[some])]
+            wanted = (both[low] & both[high]) | either[low] | either[high]
+            found = np.unique(np.concatenate([found, low[wanted].astype(np.int64) * n + high[wanted]]))
+            begin = end
+        if len(found):
+            yield found
+
+
+def _slots(pairs: np.ndarray) -> np.ndarray:
+    return (W.mix(pairs.astype(np.uint64)) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+class _Sums:
+    """Pairs with their weights, summed as they come in; ``flush`` gives what is held."""
+
+    def __init__(self):
+        self.parts: list[tuple[np.ndarray, ...]] = []
+        self.held = self.distinct = 0
+
+    def add(self, pairs: np.ndarray, clean: int, toxic: int) -> Iterator[pa.RecordBatch]:
+        self.parts.append((pairs, np.full(len(pairs), clean), np.full(len(pairs), toxic)))
+        self.held += len(pairs)
+        if self.held >= self.distinct + PAIRS_HELD // 2:
+            columns = [np.concatenate(x) for x in zip(*self.parts)]
+            self.parts.clear()
+            order = np.argsort(columns[0], kind="stable")
+            pairs = columns[0][order]
+            first = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1]))
+            self.parts.append((pairs[first], *(np.add.reduceat(x[order], first) for x in columns[1:])))
+            self.held = self.distinct = len(first)
+            if self.distinct >= PAIRS_HELD:
+                yield from self.flush()
+
+    def flush(self) -> Iterator[pa.RecordBatch]:
+        for part in self.parts:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in part], ["pair", "clean", "toxic"])
+        self.parts, self.held, self.distinct = [], 0, 0
+
+
+def _pair_counts(screen: Screen, units: dict[int, int], filter_: np.ndarray | None = None):
+    """Weights of the texts that have a pair: pairs with a strong term, and in toxic texts pairs of usable terms.
+
+    With a filter: pairs of usable terms without a strong one that pass it, in the texts that are not toxic.
+    """
+    n, none = len(screen.own), np.zeros(len(screen.own), bool)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = _Sums()
+        for batch in batches:
+            ids, labels = batch.column("doc_id").to_pylist(), batch.column("label").to_pylist()
+            for row, buckets in _texts(batch):
+                is_toxic = bool(labels[row])
+                if filter_ is not None and is_toxic:
+                    continue
+                _, at, term = known_terms(np.array([len(buckets)]), buckets[:, list(PAIR_KINDS)], screen.place)
+                windows = cut_windows(np.array([len(buckets)]), np.zeros(len(at), np.int64), at, term)
+                both = screen.usable & ~screen.strong if filter_ is not None else screen.usable if is_toxic else none
+                for pairs in text_pairs(windows, n, both, none if filter_ is not None else screen.strong):
+                    if filter_ is not None:
+                        pairs = pairs[filter_[_slots(pairs)]]
+                    yield from sums.add(pairs, 0 if is_toxic else units[ids[row]], units[ids[row]] if is_toxic else 0)
+        yield from sums.flush()
+
+    return run
+
+
+_COUNTED = "pair long, clean long, toxic long"
+
+
+def _kept_pairs(test):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs, clean, toxic = (batch.column(c).to_numpy() for c in ("pair", "clean", "toxic"))
+            yield batch.filter(pa.array(test(pairs, clean / ONE, toxic / ONE)))
+
+    return run
+
+
+def _distinct_numbers(numbers_of, name: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(numbers_of(batch.column("pair").to_numpy())), pa.int64())], [name])
+
+    return run
+
+
+def pair_terms(sample: DataFrame, screen: Screen, units: dict[int, int], folder: str) -> np.ndarray:
+    """Classes of the terms with a pair that stands out."""
+    n, summed = len(screen.own), [F.sum(c).alias(c) for c in ("clean", "toxic")]
+    if n < 2:
+        return np.zeros(0, np.int64)
+    first = sample.mapInArrow(_pair_counts(screen, units), _COUNTED).groupBy("pair").agg(*summed)
+    possible = written(first.mapInArrow(_kept_pairs(screen.possible), _COUNTED), f"{folder}/possible")
+    # At most 2 ** FILTER_BITS numbers.
+    slots = possible.mapInArrow(_distinct_numbers(_slots, "slot"), "slot long").distinct().toArrow()
+    filter_ = np.zeros(1 << FILTER_BITS, bool)
+    filter_[slots.column("slot").to_numpy()] = True
+    shared = sample.sparkSession.sparkContext.broadcast((screen, filter_))
+
+    def others(batches):
+        screen, filter_ = shared.value
+        return _pair_counts(screen, units, filter_)(batches)
+
+    rest = sample.mapInArrow(others, _COUNTED).groupBy("pair").agg(F.sum("clean").alias("more"))
+    counted = possible.join(rest, "pair", "left").select("pair", (F.col("clean") + F.coalesce("more", F.lit(0))).alias("clean"), "toxic")
+    found = counted.mapInArrow(_kept_pairs(screen.outstanding), _COUNTED)
+    both = lambda pairs: np.concatenate(np.divmod(pairs, n))
+    return found.mapInArrow(_distinct_numbers(both, "term"), "term long").distinct().toArrow().column("term").to_numpy()
+
+
+def _most_toxic_terms(place: np.ndarray, weights: np.ndarray, factors: np.ndarray):
+    """The terms of the most toxic window of each text, if it has any."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows, starts, data in W.chunks(batch.column("text")):
+                words, buckets = terms(starts, data)
+                windows = cut_windows(words.counts, *known_terms(words.counts, buckets, place))
+                if not len(windows.text):
+                    continue
+                part = _only(windows, _most_toxic(windows, _interactions(windows, weights, factors)[0]))
+                order = np.argsort(part.window, kind="stable")
+                cut = np.searchsorted(part.window[order], np.arange(len(part.text) + 1))
+                found = part.term[order].astype(np.int32)
+                ids = batch.column("doc_id")[rows].take(pa.array(part.text))
+                yield pa.RecordBatch.from_arrays([ids, pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(found))], ["doc_id", "terms"])
+
+    return run
+
+
+def fit(place: np.ndarray, odds: np.ndarray, ids: np.ndarray, weight: np.ndarray, y: np.ndarray, find, seed: int = 7) -> Model:
     """Adam on the log loss of each text's most toxic window, which is looked for anew in each epoch.
 
-    ``buckets`` has the terms of each text as in ``terms``.
+    ``find(weights, factors)`` gives ``doc_id`` and ``terms`` of these windows; ``ids`` are sorted.
     """
-    place = np.full(BUCKETS, -1, np.int32)
-    share = float(np.clip(np.average(y, weights=weight), 0.01, 0.99)) if len(y) else 0.5
-    if not len(y) or y.min() == y.max():
-        return Model(float(np.log(share / (1 - share))), place, np.zeros(1), np.zeros((FACTORS, 1)))
-    # In how many texts of either class a term is.
-    toxic, every = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    for terms_of, heavy, is_toxic in zip(buckets, weight, y):
-        here = np.unique(terms_of)
-        every[here] += heavy
-        toxic[here] += heavy * is_toxic
-    expected = every * share
-    surprise = (toxic - expected) / np.sqrt(expected * (1 - share) + 1e-9)
-    alone = (every >= LEAST_TEXTS) & (np.abs(surprise) >= STANDS_OUT)
-    known = np.union1d(np.flatnonzero(alone), pair_terms(buckets, weight, y, every, toxic, share, alone))
-    if not len(known):
-        return Model(float(np.log(share / (1 - share))), place, np.zeros(1), np.zeros((FACTORS, 1)))
-    place[known] = np.arange(len(known))
-    odds = np.log((toxic[known] + share) / (every[known] - toxic[known] + 1 - share) * (1 - share) / share)
     rng = np.random.default_rng(seed)
     w = odds.copy()
-    v = rng.normal(0, 0.02, (FACTORS, len(known)))
+    v = rng.normal(0, 0.02, (FACTORS, len(odds)))
     b, moments, step = -2.0, {}, 0
-    counts = np.array([len(x) for x in buckets])
-    known_in = [known_terms(counts[k : k + 1], x, place)[1:] for k, x in enumerate(buckets)]
-    owner = np.repeat(np.arange(len(counts)), [len(at) for at, _ in known_in])
-    windows = cut_windows(counts, owner, *(np.concatenate(x) for x in zip(*known_in)))
 
     def adam(name, value, gradient):
         m, s = moments.get(name, (0.0, 0.0))
@@ -263,7 +398,11 @@ def fit(buckets: list[np.ndarray], weight: np.ndarray, y: np.ndarray, seed: int
         return value - RATE * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-4)
 
     for _ in range(EPOCHS):
-        part = _only(windows, _most_toxic(windows, _interactions(windows, w, v)[0]))
+        rows = find(w, v).sort_by("doc_id")
+        text = np.searchsorted(ids, rows.column("doc_id").to_numpy())
+        found = rows.column("terms").combine_chunks()
+        many = np.diff(found.offsets.to_numpy())
+        part = Windows(len(ids), text, np.repeat(np.arange(len(text)), many), found.flatten().to_numpy())
         goal = y[part.text]
         # The empty window of a text that is not toxic is not toxic either.
         empty, each_text = weight[y == 0].sum(), weight[part.text] / weight.sum()
@@ -281,37 +420,49 @@ def fit(buckets: list[np.ndarray], weight: np.ndarray, y: np.ndarray, seed: int
     return Model(float(b), place, w, v)
 
 
-def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for rows, starts, data in W.chunks(batch.column("text")):
-            words, buckets = terms(starts, data)
-            shingles, cut = W.hash_windows(W.hash_words(words, _CODES), 5), words.first_word
-            family = [shingles[cut[k] : max(cut[k], cut[k + 1] - 4)] for k in range(len(starts) - 1)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id")[rows],
-                    batch.column("label")[rows],
-                    pa.array([int(f.min() >> np.uint64(1)) if len(f) else None for f in family], pa.int64()),
-                    pa.array([buckets[cut[k] : cut[k + 1]].tobytes() for k in range(len(starts) - 1)], pa.binary()),
-                ],
-                ["doc_id", "label", "family", "buckets"],
-            )
-
-
 def trained(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int = 3, held_out: int = 1) -> Model:
     """The model of a bounded sample of the labelled texts; the fold ``held_out`` is not learned from."""
+    folder = scratch(docs.sparkSession)
     usable = labels.where(F.col(label).isNotNull() & (fold("doc_id", folds) != held_out))
     usable = usable.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
     chosen = F.broadcast(sample_ids(usable, TRAINING_TEXTS, "label"))  # at most TRAINING_TEXTS rows
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(chosen, "doc_id")
-    rows = texts.mapInArrow(_term_rows, "doc_id long, label int, family long, buckets binary").collect()
-    rows = list({r["doc_id"]: r for r in sorted(rows, key=lambda r: (r["doc_id"], r["buckets"]))}.values())
-    families = Counter(r["family"] for r in rows)
-    return fit(
-        [np.frombuffer(r["buckets"], np.int32).reshape(-1, len(STARTS)) for r in rows],
-        np.array([1.0 if r["family"] is None else 1 / families[r["family"]] for r in rows]),
-        np.array([float(r["label"]) for r in rows]),
-    )
+    # Of several texts with one id the one with the least hash is learned from.
+    least = F.min(F.struct(F.xxhash64("text").alias("hash"), "label", "weight", "text")).alias("row")
+    sample = written(texts.groupBy("doc_id").agg(least).select("doc_id", "row.label", "row.weight", "row.text"), f"{folder}/sample")
+    rows = sample.mapInArrow(_families, "doc_id long, label int, weight double, family long").toArrow().sort_by("doc_id")
+    ids, y, class_weight = (rows.column(c).to_numpy() for c in ("doc_id", "label", "weight"))
+    y = y.astype(float)
+    family = rows.column("family").to_pylist()
+    copies = Counter(family)
+    unit = np.array([ONE if f is None else round(ONE / copies[f]) for f in family], np.int64)
+    place = np.full(BUCKETS, -1, np.int32)
+    if not len(y) or y.min() == y.max():
+        share = float(np.clip(y.mean(), 0.01, 0.99)) if len(y) else 0.5
+        return Model(float(np.log(share / (1 - share))), place, np.zeros(1), np.zeros((FACTORS, 1)))
+    weight = unit / ONE * class_weight
+    true_share = float(np.clip(np.average(y, weights=weight), 0.001, 0.99))
+    # Terms and pairs are judged within the sample, whose classes are not as often as among all texts.
+    share = float(np.clip(np.average(y, weights=unit), 0.01, 0.99))
+    units = dict(zip(ids.tolist(), unit.tolist()))
+    counted = sample.mapInArrow(_term_counts(units), "bucket long, every long, toxic long, mark long").groupBy("bucket")
+    counted = counted.agg(F.sum("every").alias("every"), F.sum("toxic").alias("toxic"), F.bit_xor("mark").alias("mark"))
+    found = counted.where(F.col("every") >= int(LEAST_TEXTS * ONE * (1 - 1e-6))).toArrow().sort_by("bucket")  # at most BUCKETS rows
+    bucket, every, toxic, mark = (found.column(c).to_numpy() for c in ("bucket", "every", "toxic", "mark"))
+    every, toxic = every / ONE, toxic / ONE
+    surprise = (toxic - every * share) / np.sqrt(every * share * (1 - share) + 1e-9)
+    alone = np.abs(surprise) >= STANDS_OUT
+    screen = screen_of(bucket, every, toxic, mark, alone, share)
+    chosen = alone | np.isin(screen.place[bucket], pair_terms(sample, screen, units, folder))
+    if not chosen.any():
+        return Model(float(np.log(true_share / (1 - true_share))), place, np.zeros(1), np.zeros((FACTORS, 1)))
+    place[bucket[chosen]] = np.arange(int(chosen.sum()))
+    odds = np.log((toxic + share) / (every - toxic + 1 - share) * (1 - share) / share)[chosen]
+
+    def find(w: np.ndarray, v: np.ndarray) -> pa.Table:  # a row for each text of the sample
+        return sample.mapInArrow(_most_toxic_terms(place, w, v), "doc_id long, terms array<int>").toArrow()
+
+    return fit(place, odds, ids, weight, y, find)
 
 
 def scores(model: Model, column: pa.Array) -> Iterator[tuple[slice, np.ndarray]]:

@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from revpulse.llm import labelled as L
 from revpulse.llm import language as G
 from revpulse.llm import quality_rules as Q
 from revpulse.llm import toxicity as T
@@ -33,19 +34,17 @@ def test_toxicity_on_held_out_rows(tables):
     assert np.mean(toxic) > 0.7 and np.mean(clean) < 0.02
 
 
-def _fit(texts, y):
-    buckets = []
-    for _, starts, data in T.W.chunks(pa.array(texts)):
-        words, found = T.terms(starts, data)
-        buckets += [found[a:b] for a, b in zip(words.first_word, words.first_word[1:])]
-    return T.fit(buckets, np.ones(len(y)), np.array(y, float))
+def _fit(spark, texts, y):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(v)) for k, v in enumerate(y)], "doc_id long, toxic int")
+    return T.trained(docs, labels, folds=1)
 
 
 def _score(model, texts):
     return np.concatenate([s for _, s in T.scores(model, pa.array(texts, pa.string()))])
 
 
-def test_pairs_are_learned_that_single_terms_cannot_show(monkeypatch):
+def test_pairs_are_learned_that_single_terms_cannot_show(spark, monkeypatch):
     """An insult or a group alone is clean, both in one window are toxic."""
     monkeypatch.setattr(T, "STANDS_OUT", 1.0)
     rng = np.random.default_rng(0)
@@ -55,12 +54,12 @@ def test_pairs_are_learned_that_single_terms_cannot_show(monkeypatch):
         words = fill(14) + ["vermin"] * (k % 2) + ["people"] * (k // 2 % 2)
         texts.append(" ".join(rng.permutation(words)))
         y.append(k % 4 == 3)
-    model = _fit(texts, y)
+    model = _fit(spark, texts, y)
     score = _score(model, ["zz vermin zz", "zz people zz", "vermin zz people", "vermin " + "zz " * 100 + "people", "", None])
     assert score[2] > 0.7 and max(score[[0, 1, 3, 4, 5]]) < 0.5
 
 
-def test_pairs_of_terms_that_do_not_stand_out_alone():
+def test_pairs_of_terms_that_do_not_stand_out_alone(spark):
     """Each word's toxic texts are within 2 deviations of the mean, with the screen for single terms as it is."""
     rng = np.random.default_rng(5)
     vocabulary = ["".join(w) for w in rng.choice(list("bcdfghklm"), (1500, 5))]
@@ -80,38 +79,91 @@ def test_pairs_of_terms_that_do_not_stand_out_alone():
         mine = np.array([word in t.split() for t in texts])
         z = (np.sum(np.array(y)[mine]) - mine.sum() * share) / np.sqrt(mine.sum() * share * (1 - share))
         assert abs(z) < 2
-    score = _score(_fit(texts, y), ["zz vermin zz people", "zz vermin zz", "zz people zz", "vermin " + "zz " * 100 + "people", "a badword", "", None])
+    score = _score(_fit(spark, texts, y), ["zz vermin zz people", "zz vermin zz", "zz people zz", "vermin " + "zz " * 100 + "people", "a badword", "", None])
     assert min(score[[0, 4]]) > 0.7 and max(score[[1, 2, 3, 5, 6]]) < 0.3
 
 
-def test_counted_pairs_are_those_of_a_plain_count(monkeypatch):
-    """With few counters and small parts, every pair that stands out is still found, and no other."""
+def test_counted_pairs_are_those_of_a_plain_count(spark, tmp_path, monkeypatch):
+    """Also with a small filter and small parts; one word stands out alone, and is harmless beside another."""
     rng = np.random.default_rng(6)
     words = [f"{a}{b}" for a in "bcdfg" for b in "klmnp"]
     texts = [list(rng.choice(words, 40)) for _ in range(400)]
-    near = lambda t: any({"bk", "gp"} <= set(t[max(0, s) : s + T.WINDOW]) for c in (0, T.WINDOW // 2) for s in range(-c, len(t), T.WINDOW))
-    y = np.array([near(t) for t in texts], float)
-    buckets = []
-    for _, starts, data in T.W.chunks(pa.array([" ".join(t) for t in texts])):
-        found, terms = T.terms(starts, data)
-        buckets += [terms[a:b] for a, b in zip(found.first_word, found.first_word[1:])]
-    every, toxic = np.zeros(T.BUCKETS), np.zeros(T.BUCKETS)
-    for b, bad in zip(buckets, y):
-        every[np.unique(b)] += 1
-        toxic[np.unique(b)] += bad
-    got = []
-    for counters, part in ((1 << 24, 1 << 20), (64, 50)):
-        monkeypatch.setattr(T, "COUNTERS", counters)
-        monkeypatch.setattr(T, "PAIRS_AT_ONCE", part)
-        got.append(T.pair_terms(buckets, np.ones(len(y)), y, every, toxic, y.mean(), np.zeros(T.BUCKETS, bool)).tolist())
-    pair = T.terms(np.array([0, 5]), np.frombuffer(b"bk gp", np.uint8))[1]
-    assert got[0] == got[1] and set(np.unique(pair)) <= set(got[0])
-
-
-def test_a_toxic_window_of_a_long_text_and_stems(monkeypatch):
+    for k in range(0, 400, 3):
+        texts[k][5] = "vile"
+        texts[k][7:9] = ["not", "not"] if k % 2 else texts[k][7:9]
+
+    def windows(t):
+        cuts = [t[max(0, s) : s + T.WINDOW] for c in (0, T.WINDOW // 2) for s in range(-c, len(t), T.WINDOW)]
+        return [set(w) for w in cuts]
+
+    y = np.array([any({"bk", "gp"} <= w or ("vile" in w and "not" not in w) for w in windows(t)) for t in texts], int)
+    rows = [(k, int(v), 1.0, " ".join(t)) for k, (t, v) in enumerate(zip(texts, y))]
+    sample = spark.createDataFrame(rows, "doc_id long, label int, weight double, text string").repartition(3)
+    units = {k: T.ONE for k in range(400)}
+    counted = sample.mapInArrow(T._term_counts(units), "bucket long, every long, toxic long, mark long").groupBy("bucket")
+    counted = counted.agg({"every": "sum", "toxic": "sum", "mark": "bit_xor"}).toPandas().sort_values("bucket")
+    bucket, mark = counted["bucket"].to_numpy(), counted["bit_xor(mark)"].to_numpy()
+    every, toxic = counted["sum(every)"].to_numpy() / T.ONE, counted["sum(toxic)"].to_numpy() / T.ONE
+    term = {w: int(T.terms(np.array([0, len(w)]), np.frombuffer(w.encode(), np.uint8))[1][0, 0]) for w in {*words, "vile", "not"}}
+    for w, at in term.items():
+        has = np.array([w in t for t in texts])
+        where = int(np.flatnonzero(bucket == at)[0])
+        assert (every[where], toxic[where]) == (has.sum(), y[has].sum())
+    screen = T.screen_of(bucket, every, toxic, mark, bucket == term["vile"], y.mean())
+    assert screen.strong.sum() == 1 and len(screen.own) == len(term)
+
+    number, pairs = {w: int(screen.place[at]) for w, at in term.items()}, {}
+    for t, bad in zip(texts, y):
+        for pair in {(a, b) for w in windows(t) for a in w for b in w if number[a] < number[b]}:
+            pairs.setdefault(pair, [0, 0])[bad] += 1
+    code = np.array([number[a] * len(screen.own) + number[b] for a, b in pairs])
+    clean, bad = np.array(list(pairs.values()), float).T
+    out = code[screen.outstanding(code, clean, bad)]
+    expect = sorted({int(x) for x in np.concatenate(np.divmod(out, len(screen.own)))})
+    assert {number["bk"], number["gp"], number["vile"], number["not"]} <= set(expect)
+    for at_once, bits in ((1 << 20, 22), (50, 4)):
+        monkeypatch.setattr(T, "PAIRS_AT_ONCE", at_once)
+        monkeypatch.setattr(T, "PAIRS_HELD", 4 * at_once)
+        monkeypatch.setattr(T, "FILTER_BITS", bits)
+        assert sorted(T.pair_terms(sample, screen, units, f"{tmp_path}/{bits}").tolist()) == expect
+
+
+def test_pairs_of_a_long_text_are_made_in_parts(monkeypatch):
+    rng = np.random.default_rng(3)
+    term = rng.integers(0, 40, 900)
+    windows = T.cut_windows(np.array([900]), np.zeros(900, np.int64), np.arange(900), term)
+    of = {}
+    for w, t in zip(windows.window.tolist(), windows.term.tolist()):
+        of.setdefault(w, set()).add(t)
+    every, none, some, few = np.ones(40, bool), np.zeros(40, bool), np.arange(40) % 3 > 0, np.arange(40) % 7 == 0
+    for both, either in ((every, none), (some, none), (none, few), (some, few)):
+        expect = {a * 40 + b for w in of.values() for a in w for b in w if a < b and ((both[a] and both[b]) or either[a] or either[b])}
+        with monkeypatch.context() as patched:
+            patched.setattr(T, "PAIRS_AT_ONCE", 500)
+            parts = list(T.text_pairs(windows, 40, both, either))
+        assert len(parts) > 3 and sorted(np.concatenate(parts).tolist()) == sorted(expect)
+        assert [p.tolist() for p in T.text_pairs(windows, 40, both, either)] == [sorted(expect)]
+
+
+def test_samples_are_split_between_classes(spark):
+    rows = [(k, int(k % 500 == 0)) for k in range(20_000)] + [(k, None) for k in range(50)] + [(None, 1), (40, 0), (40, 1)]
+    table = spark.createDataFrame(rows, "doc_id long, label int")
+    got = L.sample_ids(table, 1000, "label").collect()
+    assert len(got) == len({r["doc_id"] for r in got}) == 1000 and sum(r["label"] for r in got) == 40
+    assert abs(sum(r["weight"] for r in got) - 1000) < 1e-6
+    assert abs(sum(r["weight"] for r in got if r["label"]) / 1000 - 40 / 20_000) < 1e-9
+    assert sorted(map(tuple, got)) == sorted(map(tuple, L.sample_ids(table.repartition(7), 1000, "label").collect()))
+    names = spark.createDataFrame([(k, f"x{k % 30}") for k in range(900)] + [(k, "big") for k in range(900, 9000)], "doc_id long, lang string")
+    chosen = L.sample_ids(names, 310, "lang").collect()
+    assert {r["lang"] for r in chosen} == {"big", *(f"x{k}" for k in range(30))} and len(chosen) == 310
+    assert L.quotas({"a": 5, "b": 100, "c": 2}, 30) == {"c": 2, "a": 5, "b": 23} and L.quotas({}, 9) == {}
+    assert L.sample_ids(table.limit(0), 10, "label").count() == 0
+
+
+def test_a_toxic_window_of_a_long_text_and_stems(spark):
     rng = np.random.default_rng(1)
     texts = [" ".join(rng.choice(["alpha", "beta", "gamma", "delta"], 30)) + (f" badword{rng.integers(99)}s" if k % 3 == 0 else "") for k in range(300)]
-    model = _fit(texts, [k % 3 == 0 for k in range(300)])
+    model = _fit(spark, texts, [k % 3 == 0 for k in range(300)])
     score = _score(model, ["alpha " * 9000 + "BADWORDish! " + "beta " * 9000, "alpha " * 9000, "a bad word"])
     assert score[0] > 0.7 and max(score[1:]) < 0.3
 

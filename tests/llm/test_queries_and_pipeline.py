@@ -78,3 +78,12 @@ def test_one_row_of_each_group_with_repeated_ids(spark, data):
     for table in (docs, docs.orderBy(F.desc("lang"), "doc_id")):
         got = [(r["doc_id"], r["text"]) for r in pipeline.one_of_each_group(spark, table, data).collect()]
         assert sorted(got) == [(1, one), (2, two), (4, three)]
+
+
+def test_one_row_of_each_group_with_any_columns(spark, data):
+    """Names that the stage uses itself, a map, and rows without words."""
+    text = " ".join(f"word{k}" for k in range(60))
+    rows = [(2, text, {"a": 1}, 5, 6, 7), (1, text, {"b": 2}, 5, 6, 7), (3, None, None, 5, 6, 7), (4, "", {}, 5, 6, 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, m map<string, int>, key int, row int, component_id int")
+    got = pipeline.one_of_each_group(spark, docs, data)
+    assert got.columns == docs.columns and sorted(map(tuple, got.collect()), key=lambda r: r[0]) == [rows[1], rows[2], rows[3]]
