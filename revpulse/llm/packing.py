@@ -1,7 +1,8 @@
 """Token ids packed into matrices of fixed width, with best-fit-decreasing bins.
 
-Texts are dealt to shards of about ``SHARD_BYTES`` by a hash of their id, so a shard does not depend on
-how the input was split. In a shard every text becomes token ids and one end-of-text id. What is longer
+Texts are dealt to shards of about ``SHARD_BYTES`` by a hash of their id and text, so a shard does not depend on
+how the input was split. Only rows that are there more than ``HOT`` times, id and text alike, are dealt by their place,
+to as many shards as they need. A task packs its shards one after the other. In a shard every text becomes token ids and one end-of-text id. What is longer
 than a row is cut into whole rows and a rest; nothing is dropped. The pieces are packed longest first, each
 into the fullest row that still has room: a segment tree over the room left finds that row.
 
@@ -32,6 +33,10 @@ from . import words as W
 
 #: Bytes of texts in a shard, about, and rows of a matrix.
 SHARD_BYTES, MATRIX_ROWS = 8 << 20, 64
+#: Equal rows from which on they are spread, at least; at most 1,000 groups of them are.
+HOT = 1000
+#: Tasks, at most; beyond that each has several shards.
+MOST_TASKS = 20_000
 
 _CODES = W.byte_codes(fold_case=False)
 # For the pattern, U+001C to U+001F are no white space, and some characters beyond ASCII are.
@@ -164,30 +169,46 @@ SCHEMA_NAMES = [c.split()[0] for c in SCHEMA.split(", ")]
 def packed(docs: DataFrame, ranks: dict[bytes, int], pattern: str, width: int = 2048) -> DataFrame:
     """Matrices of all texts; ``ranks`` and ``pattern`` are those of a public byte-level vocabulary."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    total, rows = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*")).first()
     shards = max(1, -(-total // SHARD_BYTES))
-    shard = F.pmod(F.xxhash64(F.coalesce("doc_id", F.xxhash64("text"))), F.lit(shards)).cast("int")
+    tasks = min(shards, MOST_TASKS)
+    docs = docs.withColumn("same", F.xxhash64("doc_id", "text"))
+    # A group is more than a thousandth of all rows, so there are fewer than 1,000.
+    hot = docs.groupBy("same").agg(F.count("*").alias("copies")).where(F.col("copies") > max(HOT, rows // 1000))
+    part = F.coalesce(F.pmod(F.monotonically_increasing_id(), F.ceil(F.col("copies") / HOT).cast("long")), F.lit(0))
+    shard = F.pmod(F.xxhash64("same", part), F.lit(shards)).cast("int")
     end = len(ranks)
     kind = np.dtype("<u2" if end < 1 << 16 else "<u4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import tiktoken
 
-        rows = pa.Table.from_batches(batches, schema=pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("shard", pa.int32())]))
-        if not rows.num_rows:
-            return
-        # Rows arrive in any order; sorted, the shard is the same whenever it is made again.
-        rows = rows.sort_by([("shard", "ascending"), ("doc_id", "ascending"), ("text", "ascending")])
         encode = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        shards, first = np.unique(rows.column("shard").to_numpy(), return_index=True)
-        for shard, a, b in zip(shards.tolist(), first, [*first[1:], rows.num_rows]):
-            part, ids = rows.slice(a, b - a), []
-            for _, starts, data in W.chunks(part.column("text").combine_chunks(), SHARD_BYTES):
+        for shard, rows in _by_shard(batches):
+            # Rows arrive in any order; sorted, the shard is the same whenever it is made again.
+            rows, ids = rows.sort_by([("doc_id", "ascending"), ("text", "ascending")]), []
+            for _, starts, data in W.chunks(rows.column("text").combine_chunks(), SHARD_BYTES):
                 tokens, edges = token_ids(encode, starts, data)
                 ids += [np.append(tokens[edges[k] : edges[k + 1]], end).astype(kind) for k in range(len(starts) - 1)]
-            yield from _matrices(shard, part.column("doc_id").to_pylist(), ids, width, end, kind)
-
-    return docs.withColumn("shard", shard).repartitionById(shards, F.col("shard")).mapInArrow(run, SCHEMA)
+            yield from _matrices(shard, rows.column("doc_id").to_pylist(), ids, width, end, kind)
+
+    dealt = docs.join(F.broadcast(hot), "same", "left").select("doc_id", "text", shard.alias("shard")).repartitionById(tasks, F.pmod("shard", F.lit(tasks)).cast("int"))
+    return (dealt.sortWithinPartitions("shard") if shards > tasks else dealt).mapInArrow(run, SCHEMA)
+
+
+def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
+    """The rows of each shard; rows come shard after shard."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        shards = batch.column("shard").to_numpy()
+        edges = np.flatnonzero(np.diff(shards, prepend=shards[0] - 1)) if len(shards) else []
+        for a, b in zip(edges, [*edges[1:], len(shards)]):
+            if held and held[0].column("shard")[0].as_py() != shards[a]:
+                yield held[0].column("shard")[0].as_py(), pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield held[0].column("shard")[0].as_py(), pa.Table.from_batches(held)
 
 
 def unpacked(matrices: DataFrame, ranks: dict[bytes, int]) -> DataFrame:

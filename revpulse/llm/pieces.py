@@ -10,6 +10,9 @@ ranks, and a sum of ranks means nothing; there a path may only step from one pie
 stay apart when their text is merged by itself. Exactly one path consists of such steps, and it is the
 library's merge result, so the same search gives the library's ids.
 
+A long unit, as a text without spaces is one, is searched in overlapping windows that advance together, and joined
+exactly. For unigram models it is searched as a whole, one position after the other.
+
 Characters without a piece become byte pieces, so every text survives the round trip exactly. Unlike the
 library, a U+2581 in a text becomes bytes as well and does not come back as a space.
 
@@ -33,6 +36,8 @@ from . import words as W
 #: Bytes of texts whose distinct units are encoded together, and characters that advance together. A task
 #: needs about 50 bytes for each byte of a block.
 BLOCK_BYTES, TOGETHER = 2 << 20, 1 << 18
+#: Characters from which on a unit is searched in windows.
+LONG_UNIT = 512
 #: Units whose ids a task remembers, at most, before it forgets them all.
 REMEMBERED = 200_000
 #: Penalty of a character without a piece, below the lowest score.
@@ -264,6 +269,43 @@ def _best_paths(pieces: Pieces, edges: np.ndarray, running: np.ndarray, inverse:
     return found[:, np.lexsort((found[1], found[0]))]
 
 
+def _long_path(pieces: Pieces, edges: np.ndarray, running: np.ndarray, inverse: np.ndarray, memory: Memory) -> np.ndarray:
+    """The path of one long unit of a model of merges, from overlapping windows that advance together.
+
+    Where two windows have two pieces after each other in common, their paths are joined between these. Then
+    all neighbours of the joined path stay apart, and only one path is like that, so it is the path of the whole
+    unit. If some windows have no such place, all are made longer, in the end as long as the unit.
+    """
+    length, step = len(edges) - 1, LONG_UNIT // 2
+    while True:
+        size = step + step // 2  # the second half of a step is in the next window, too
+        starts = np.arange(0, max(1, length - step // 2), step)
+        whole = starts[starts + size <= length]
+        found: list[np.ndarray] = []
+        room = max(1, TOGETHER // (size + 1))
+        for at in range(0, len(whole), room):
+            group = whole[at : at + room]
+            path = _best_paths(pieces, edges[group + np.arange(size + 1)[:, None]], running, inverse, memory)
+            cut = np.searchsorted(path[0], np.arange(len(group) + 1))
+            found += [path[:, a:b] for a, b in zip(cut[:-1], cut[1:])]
+        for start in starts[len(whole) :].tolist():
+            found.append(_best_paths(pieces, edges[start:, None], running, inverse, memory))
+        joined = [found[0]]
+        for path in found[1:]:
+            before = joined[-1]
+            # Pieces of both, by first and last byte, with their follower.
+            _, i, j = np.intersect1d(before[1, :-1], path[1, :-1], assume_unique=True, return_indices=True)
+            same = (before[2:, i] == path[2:, j]).all(0) & (before[2:, i + 1] == path[2:, j + 1]).all(0)
+            if not same.any():
+                break
+            k = int(np.flatnonzero(same)[0])
+            joined[-1] = before[:, : i[k] + 1]
+            joined.append(path[:, j[k] + 1 :])
+        else:
+            return np.concatenate(joined, axis=1)
+        step *= 4
+
+
 def _encode_units(
     pieces: Pieces, units: W.Words, chosen: np.ndarray, running: np.ndarray, inverse: np.ndarray, memory: Memory
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -276,6 +318,14 @@ def _encode_units(
     chars = before[units.ends[chosen]] - first
     parts = []
     order = np.argsort(chars, kind="stable")
+    if pieces.merges:
+        long = order[chars[order] > LONG_UNIT]
+        order = order[: len(order) - len(long)]
+        for k in long.tolist():
+            edges = np.append(begins[first[k] : first[k] + chars[k]], units.ends[chosen[k]]).astype(np.int64)
+            path = _long_path(pieces, edges, running, inverse, memory)
+            path[0] = k
+            parts.append(path)
     cut = np.flatnonzero(np.diff(chars[order], prepend=-1, append=-1))
     for a, b in zip(cut[:-1], cut[1:]):
         length = int(chars[order[a]])

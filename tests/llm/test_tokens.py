@@ -48,6 +48,31 @@ def test_ids_are_those_of_the_library(model):
     assert encode(model, texts, most=64) == got
 
 
+def test_long_units_are_joined_from_windows(model, monkeypatch):
+    """Texts without a space: letters, repeated signs and patterns, scripts without spaces, and mixtures."""
+    library = sentencepiece.SentencePieceProcessor(model_file=params.PIECE_MODEL)
+    rng = random.Random(4)
+    pieces = [library.id_to_piece(k).replace("▁", "") for k in range(259, library.get_piece_size())]
+    texts = ["".join(rng.choice(pieces) for _ in range(500)), "".join(rng.choice("abcdeth") for _ in range(3000)), "日本語のテキスト、空白なし。" * 100]
+    texts += ["a" * n for n in (511, 512, 513, 2000)] + ["ab" * 700, "abc" * 500, "=" * 1000 + "x" + "-" * 700, "thethe" * 300, "🙂é" * 400]
+    assert encode(model, texts) == [library.encode(t) for t in texts]
+    monkeypatch.setattr(P, "LONG_UNIT", 24)
+    texts = [t for t in texts + fuzz(pieces, 9, 60) + fuzz("aabbct", 5, 60) if " " not in t]
+    assert encode(model, texts) == [library.encode(t) for t in texts]
+
+
+def test_many_letters_without_a_space(model):
+    import time
+
+    library = sentencepiece.SentencePieceProcessor(model_file=params.PIECE_MODEL)
+    rng = random.Random(8)
+    text = "".join(rng.choice("etaoinshrdlu") for _ in range(300_000))
+    begun = time.process_time()
+    (ids,) = encode(model, [text])
+    assert time.process_time() - begun < 10
+    assert ids == library.encode(text)
+
+
 def test_highest_sum_of_scores_for_a_unigram_model(model):
     """Without merges the search maximises the sum; a plain search over all ends is the answer."""
     scores = -np.log(np.arange(2, len(model.keys) + 2, dtype=np.float32))
@@ -131,3 +156,20 @@ def test_packing_loses_nothing(spark, vocabulary, monkeypatch):
             assert ends[0] == 0 and np.array_equal(positions[r], np.concatenate([np.arange(b - a) for a, b in zip(edges, edges[1:])]))
             assert (ids[r, ends[-1] :] == len(vocabulary)).all()
     assert K.packed(docs.limit(0), vocabulary, params.TOKEN_PATTERN).count() == 0
+
+
+def test_equal_rows_are_spread(spark, vocabulary, monkeypatch):
+    """A row that is there over and over fills many shards, and tasks with several shards give the same matrices."""
+    monkeypatch.setattr(K, "SHARD_BYTES", 300)
+    monkeypatch.setattr(K, "HOT", 5)
+    rows = [(7, "the same row")] * 200 + [(k, f"row {k}") for k in range(100)] + [(None, "no id")] * 60
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    shards = K.packed(docs, vocabulary, params.TOKEN_PATTERN, width=32)
+    held = {r["shard"]: sum(x == 7 for ids in r["doc_ids"] for x in ids) for r in shards.collect()}
+    assert max(held.values()) < 60 and sum(held.values()) == 201
+    back = K.unpacked(shards, vocabulary).groupBy("doc_id").count().collect()
+    assert {r["doc_id"]: r["count"] for r in back} == {None: 60, 7: 201} | {k: 1 for k in range(100) if k != 7}
+    plain = docs.dropDuplicates()
+    one = sorted(map(repr, K.packed(plain, vocabulary, params.TOKEN_PATTERN, width=32).collect()))
+    monkeypatch.setattr(K, "MOST_TASKS", 2)
+    assert sorted(map(repr, K.packed(plain, vocabulary, params.TOKEN_PATTERN, width=32).collect())) == one
