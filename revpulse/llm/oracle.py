@@ -169,6 +169,8 @@ WITH worded AS (
 ), covered AS (
     SELECT doc_id, count(DISTINCT place) AS n_repeat_words
     FROM (SELECT doc_id, unnest([pos, pos + 1, pos + 2]) AS place FROM hashed WHERE times >= 2) GROUP BY doc_id
+), stretched AS (
+    SELECT doc_id, count(*) AS n_distinct_words FROM (SELECT DISTINCT doc_id, (pos - 1) // 1000 AS stretch, word FROM token) GROUP BY doc_id
 ), lined AS (
     SELECT doc_id, list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '{_WORD}')) AS lines FROM worded
 ), counted AS (
@@ -178,16 +180,17 @@ WITH worded AS (
            CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, len(lines) AS n_lines,
            CAST(coalesce(c.n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
            length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_upper, length(regexp_replace(t, '[^a-z]', '', 'g')) AS n_lower,
+           length(regexp_replace(t, '[\x00-\x7F]', '', 'g')) AS n_beyond_ascii,
            len(list_filter(words, lambda w: regexp_matches(w, '[A-Za-z]|[^\x00-\x7F]'))) AS n_letter_words,
-           len(list_distinct(words)) AS n_distinct_words
-    FROM worded w JOIN lined l USING (doc_id) LEFT JOIN covered c USING (doc_id)
+           coalesce(d.n_distinct_words, 0) AS n_distinct_words
+    FROM worded w JOIN lined l USING (doc_id) LEFT JOIN covered c USING (doc_id) LEFT JOIN stretched d USING (doc_id)
 ), judged AS (
     SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT (base_failed OR 10 * n_symbols > n_words OR n_upper > n_lower OR 10 * n_dup_lines > 4 * n_lines
+       NOT (base_failed OR 10 * n_symbols > n_words OR n_upper > n_lower + n_beyond_ascii OR 10 * n_dup_lines > 4 * n_lines
             OR 10 * n_letter_words < 7 * n_words OR 10 * n_distinct_words < n_words
-            OR word_chars < 2 * n_words OR word_chars > 15 * n_words) AS kept
+            OR word_chars < 2 * n_words OR word_chars > 15 * n_words AND 2 * n_beyond_ascii < word_chars) AS kept
 FROM judged
 """
 

@@ -41,11 +41,13 @@ def _words(t: S.Texts) -> np.ndarray:
 
 RULES = (
     Rule("symbols", lambda t: 10 * t.count(S.n_symbols) > _words(t)),
-    Rule("capitals", lambda t: t.count(S.n_upper) > t.count(S.n_lower)),
+    Rule("capitals", lambda t: t.count(S.n_upper) > t.count(S.n_lower) + t.count(S.n_beyond_ascii)),
     Rule("repeated_lines", lambda t: 10 * t.count(S.n_dup_lines) > 4 * t.count(S.n_lines)),
     Rule("few_letter_words", lambda t: 10 * t.count(S.n_letter_words) < 7 * _words(t)),
-    Rule("few_distinct_words", lambda t: 10 * t.count(S.n_distinct_words) < _words(t)),
-    Rule("word_length", lambda t: (t.count(S.word_chars) < 2 * _words(t)) | (t.count(S.word_chars) > 15 * _words(t))),
+    Rule("few_distinct_words", lambda t: 10 * t.count(S.n_distinct_in_stretches) < _words(t)),
+    Rule("short_words", lambda t: t.count(S.word_chars) < 2 * _words(t)),
+    # Not in scripts without spaces.
+    Rule("long_words", lambda t: (t.count(S.word_chars) > 15 * _words(t)) & (2 * t.count(S.n_beyond_ascii) < t.count(S.word_chars))),
 )
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")

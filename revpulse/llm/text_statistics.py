@@ -16,6 +16,8 @@ _SPACES = W.byte_set(W.SPACES)
 _UPPER, _LOWER = W.byte_set(bytes(range(65, 91))), W.byte_set(bytes(range(97, 123)))
 _LETTERS = _UPPER | _LOWER | W.byte_set(bytes(range(128, 256)))
 _NEWLINE = W.byte_set(b"\n")
+#: Words whose distinct ones are counted together, so the share of distinct words does not fall with length.
+STRETCH = 1000
 
 
 class Texts:
@@ -75,6 +77,8 @@ def count_of(characters: bytes) -> Callable[[Texts], np.ndarray]:
 n_symbols = count_of(b"#*$%&|<>")
 n_upper = count_of(bytes(range(65, 91)))
 n_lower = count_of(bytes(range(97, 123)))
+#: Characters beyond ASCII, by the byte that begins each.
+n_beyond_ascii = count_of(bytes(range(0xC0, 0x100)))
 
 
 def _repeated(owner: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -132,6 +136,15 @@ def n_distinct_words(t: Texts) -> np.ndarray:
     return t.words.counts - t._words_where(_repeated(t.words.owner, t.hashes)[0])
 
 
+def n_distinct_in_stretches(t: Texts) -> np.ndarray:
+    """Distinct words of each stretch of ``STRETCH`` words of a text, added up."""
+    counts = t.words.counts
+    stretches = -(-counts // STRETCH)
+    place = np.arange(len(t.words.starts)) - np.repeat(t.words.first_word[:-1], counts)
+    stretch = np.repeat(np.cumsum(stretches) - stretches, counts) + place // STRETCH
+    return counts - t._words_where(_repeated(stretch, t.hashes)[0])
+
+
 def n_letter_words(t: Texts) -> np.ndarray:
     """Words with an ASCII letter or any character beyond ASCII."""
     running = np.zeros(len(t.words.data) + 1, np.int64)

@@ -30,6 +30,8 @@ def expected(text):
         "n_dup_lines": len(lines) - len(set(lines)),
         "n_repeat_words": len(covered),
         "n_distinct_words": len(set(words)),
+        "n_distinct_in_stretches": sum(len(set(words[k : k + S.STRETCH])) for k in range(0, len(words), S.STRETCH)),
+        "n_beyond_ascii": len(re.findall("[^\x00-\x7f]", text or "")),
         "n_letter_words": sum(bool(re.search("[A-Za-z]|[^\x00-\x7f]", w)) for w in words),
     }
 
@@ -70,12 +72,12 @@ def verdict(text):
     failed = n < 50 or 100 * c["n_repeat_words"] > 50 * n
     rejected = (
         10 * c["n_symbols"] > n
-        or c["n_upper"] > c["n_lower"]
+        or c["n_upper"] > c["n_lower"] + c["n_beyond_ascii"]
         or 10 * c["n_dup_lines"] > 4 * c["n_lines"]
         or 10 * c["n_letter_words"] < 7 * n
-        or 10 * c["n_distinct_words"] < n
+        or 10 * c["n_distinct_in_stretches"] < n
         or c["word_chars"] < 2 * n
-        or c["word_chars"] > 15 * n
+        or (c["word_chars"] > 15 * n and 2 * c["n_beyond_ascii"] < c["word_chars"])
     )
     return failed, not failed and not rejected
 
@@ -106,6 +108,32 @@ def test_cascade_agrees_with_all_rules(spark):
     assert sorted(r["text"] for r in kept.collect()) == sorted(r["text"] for r in docs.collect() if verdict(r["text"])[1])
 
 
+def test_clean_texts_of_any_length_and_script_are_kept(spark):
+    """Long prose of a usual vocabulary, Cyrillic and Greek with an acronym, and scripts without spaces."""
+    rng = np.random.default_rng(2)
+    vocabulary = prose(6000, 9).split()
+    # Of 100,000 words less than a tenth are distinct.
+    long = " ".join(rng.choice(vocabulary, 100_000))
+    assert len(set(long.split())) < 10_000
+    cyrillic = " ".join("".join(rng.choice(list("абвгдежзиклмн"), 6)) for _ in range(90)) + " НАТО WWW"
+    chinese = "\n".join("".join(chr(0x4E00 + int(k)) for k in rng.integers(0, 3000, 40)) for _ in range(60))
+    repeated = " ".join(rng.choice(["ab", "cd", "efg"], 3000))
+    rows = [(1, long), (2, cyrillic), (3, chinese), (4, repeated)]
+    got = {r["doc_id"]: r for r in C.judged(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[k]["kept"] for k in range(1, 5)] == [True, True, True, False]
+
+
+@settings(max_examples=30, deadline=None)
+@given(st.lists(st.lists(st.sampled_from("abcdefg"), max_size=30), min_size=1, max_size=5), st.integers(1, 9))
+def test_distinct_words_of_stretches(words, stretch):
+    size, S.STRETCH = S.STRETCH, stretch
+    try:
+        texts = [" ".join(w) for w in words]
+        assert [c["n_distinct_in_stretches"] for c in counted(texts)] == [expected(t)["n_distinct_in_stretches"] for t in texts]
+    finally:
+        S.STRETCH = size
+
+
 def test_order_of_rules_changes_no_verdict(spark, monkeypatch):
     docs = documents(spark)
     one = {r["doc_id"]: r["kept"] for r in C.judged(docs).collect()}
