@@ -1,8 +1,8 @@
 """URL filter: rules for hosts and paths, and elsewhere an empirical-Bayes reputation of the host.
 
 Labelled pages are good or bad. The share of good pages of a host is shrunk towards that of its
-registered domain (the last two labels of the host), the domain's towards that of its suffix (the last
-label), the suffix's towards the share of all pages. Each step is a beta-binomial: the group above gives
+registered domain (the suffix and one label), the domain's towards that of its suffix (the last
+label, or two where a list says so), the suffix's towards the share of all pages. Each step is a beta-binomial: the group above gives
 the prior mean, and the prior's strength is estimated from how much the groups of that level differ (method
 of moments). A host is allowed if the lower bound of its posterior, ``mean - BOUND * deviation``, reaches
 ``LEAST_GOOD``; a host without labelled pages has the posterior of its domain.
@@ -20,11 +20,14 @@ as often as they are there. Without any outcome the mean is 0.5. An empty table
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .components import scratch, written
+
 #: Deviations below the mean that the posterior must hold, and the share of good pages asked for.
 BOUND, LEAST_GOOD = 1.645, 0.5
 #: Limits of a prior's strength, in pages.
@@ -81,21 +84,28 @@ def _posterior(groups: DataFrame) -> DataFrame:
     return groups.withColumn("mean", (F.col("good") + F.col("prior") * F.col("strength")) / after).withColumn("after", after).drop("prior", "strength")
 
 
-def reputations(hosts: DataFrame) -> DataFrame:
-    """``host, mean, after`` from ``host, n, good``: each host's posterior and its strength."""
+def reputations(hosts: DataFrame, suffixes: Collection[str] = ()) -> DataFrame:
+    """``host, n, mean, after`` from ``host, n, good``: each host's posterior and its strength.
+
+    ``suffixes`` has public suffixes of two labels, such as ``co.uk``; all others are the last label.
+    Hosts are written once, and every level above is made of the written one below.
+    """
+    folder = scratch(hosts.sparkSession)
     parts = F.split("host", "\\.")
-    hosts = hosts.withColumn("suffix", F.element_at(parts, -1)).withColumn(
-        "domain", F.array_join(F.slice(F.reverse(parts), 1, 2), ".")
-    )
-    domains = hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
-    suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
+    last = lambda n: F.array_join(F.slice(F.reverse(parts), 1, n), ".")
+    two = last(2).isin([".".join(reversed(s.split("."))) for s in suffixes]) if suffixes else F.lit(False)
+    levels = hosts.withColumn("suffix", F.when(two, last(2)).otherwise(last(1))).withColumn("domain", F.when(two, last(3)).otherwise(last(2)))
+    hosts = written(levels, f"{folder}/hosts")
+    domains = written(hosts.groupBy("suffix", "domain").agg(F.sum("n").alias("n"), F.sum("good").alias("good")), f"{folder}/domains")
+    suffixes = written(domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("good").alias("good")), f"{folder}/suffixes")
     overall = suffixes.agg(F.coalesce(F.sum("good") / F.nullif(F.sum("n"), F.lit(0)), F.lit(0.5)).alias("prior"))
-    suffixes = _posterior(suffixes.crossJoin(F.broadcast(overall))).select("suffix", F.col("mean").alias("prior"))  # one row
-    domains = _posterior(domains.join(suffixes, "suffix")).select("domain", F.col("mean").alias("prior"))
-    return _posterior(hosts.join(domains, "domain")).select("host", "n", "mean", "after")
+    above = _posterior(written(suffixes.crossJoin(F.broadcast(overall)), f"{folder}/suffix-priors"))  # one row
+    above = above.select("suffix", F.col("mean").alias("prior"))
+    above = _posterior(written(domains.join(above, "suffix"), f"{folder}/domain-priors")).select("domain", F.col("mean").alias("prior"))
+    return _posterior(written(hosts.join(above, "domain"), f"{folder}/host-priors")).select("host", "n", "mean", "after")
 
 
-def judged(pages: DataFrame, outcomes: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
+def judged(pages: DataFrame, outcomes: DataFrame, rules: tuple[Rule, ...], suffixes: Collection[str] = ()) -> DataFrame:
     """``page_id, host, path, rule, verdict, mean, lower`` of every page.
 
     ``outcomes`` has ``page_id`` and ``good`` (0 or 1) of labelled pages.
@@ -106,7 +116,7 @@ def judged(pages: DataFrame, outcomes: DataFrame, rules: tuple[Rule, ...]) -> Da
     seen = found.join(by_page, "page_id", "left")
     hosts = seen.groupBy("host").agg(F.count("good").alias("n"), F.coalesce(F.sum("good"), F.lit(0.0)).alias("good"))
     lower = F.col("mean") - BOUND * F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("after") + 1))
-    own = reputations(hosts).select("host", "mean", lower.alias("lower"))
+    own = reputations(hosts, suffixes).select("host", "mean", lower.alias("lower"))
     return found.join(own, "host").select(
         "page_id", "host", "path", name.alias("rule"),
         F.coalesce(verdict, F.when(F.col("lower") >= LEAST_GOOD, "allow").otherwise("block")).alias("verdict"),

@@ -214,6 +214,15 @@ def reputation(hosts):
     return level(lambda h: h, domain, {k: m for k, (m, _) in second.items()})
 
 
+def test_suffixes_of_two_labels(spark):
+    """Hosts below such a suffix have the domain of their last three labels."""
+    hosts = {"a.x.co.uk": (20, 19), "b.x.co.uk": (0, 0), "a.y.co.uk": (20, 1), "b.y.co.uk": (0, 0), "w.uk": (4, 2)}
+    table = spark.createDataFrame([(h, n, float(g)) for h, (n, g) in hosts.items()], "host string, n long, good double")
+    plain = {r["host"]: r["mean"] for r in H.reputations(table).collect()}
+    split = {r["host"]: r["mean"] for r in H.reputations(table, ["co.uk"]).collect()}
+    assert abs(plain["b.x.co.uk"] - plain["b.y.co.uk"]) < 1e-12 and split["b.x.co.uk"] > split["b.y.co.uk"] + 0.1
+
+
 def test_reputation_is_shrunk_through_three_levels(spark):
     rng = np.random.default_rng(1)
     hosts = {}
