@@ -51,7 +51,9 @@ LEAST_TEXTS, STANDS_OUT = 6, 5.0
 CHANCE_PAIRS = 1.0
 #: Pairs that a task makes at once, distinct ones that it sums before it hands them on, and bits of the filter that
 #: holds the pairs of the first count.
-PAIRS_AT_ONCE, PAIRS_HELD, FILTER_BITS = 1 << 18, 1 << 20, 22
+PAIRS_AT_ONCE, PAIRS_HELD, FILTER_BITS = 1 << 18, 1 << 19, 22
+#: Bytes of texts that a task looks at together; what it makes of them takes a multiple of that.
+TEXT_BYTES = 1 << 18
 #: Lengths in bytes of the word starts that are terms beside the word (None) itself, and those that make pairs.
 STARTS, PAIR_KINDS = (None, 4, 5, 6, 7, 8), (0, 2)
 #: A text's weight of 1; weights are whole numbers, so their sums are the same in every order.
@@ -140,7 +142,7 @@ def _most_toxic(windows: Windows, logits: np.ndarray) -> np.ndarray:
 
 def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
     """Row and terms of each text of a batch, one text at a time."""
-    for rows, starts, data in W.chunks(batch.column("text")):
+    for rows, starts, data in W.chunks(batch.column("text"), TEXT_BYTES):
         words, buckets = terms(starts, data)
         for k, (a, b) in enumerate(zip(words.first_word[:-1].tolist(), words.first_word[1:].tolist())):
             yield rows.start + k, buckets[a:b]
@@ -149,7 +151,7 @@ def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
 def _families(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The least hash of a 5-word shingle of each text, which near copies share."""
     for batch in batches:
-        for rows, starts, data in W.chunks(batch.column("text")):
+        for rows, starts, data in W.chunks(batch.column("text"), TEXT_BYTES):
             words = W.split_words(starts, data, _BETWEEN)
             shingles, cut = W.hash_windows(W.hash_words(words, _CODES), 5), words.first_word
             family = [shingles[cut[k] : max(cut[k], cut[k + 1] - 4)] for k in range(len(starts) - 1)]
@@ -366,7 +368,7 @@ def _most_toxic_terms(place: np.ndarray, weights: np.ndarray, factors: np.ndarra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, starts, data in W.chunks(batch.column("text")):
+            for rows, starts, data in W.chunks(batch.column("text"), TEXT_BYTES):
                 words, buckets = terms(starts, data)
                 windows = cut_windows(words.counts, *known_terms(words.counts, buckets, place))
                 if not len(windows.text):
@@ -466,7 +468,7 @@ def trained(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int
 
 
 def scores(model: Model, column: pa.Array) -> Iterator[tuple[slice, np.ndarray]]:
-    for rows, starts, data in W.chunks(column):
+    for rows, starts, data in W.chunks(column, TEXT_BYTES):
         words, buckets = terms(starts, data)
         logits = model.logits(cut_windows(words.counts, *known_terms(words.counts, buckets, model.place)))
         yield rows, 1 / (1 + np.exp(-logits))
