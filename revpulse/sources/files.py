@@ -67,6 +67,11 @@ def read_raw(spark: SparkSession, entity: str, path: str) -> DataFrame:
     )
 
 
+def write_raw(df: DataFrame, path: str) -> None:
+    """One entity as compressed CSV files with a header, one for each task, which ``read_raw`` reads as they are."""
+    df.write.option("header", True).option("compression", "gzip").csv(path)
+
+
 def read_folder(spark: SparkSession, folder: str) -> Sources:
     check_sources(spark, folder)
     return Sources({e: read_raw(spark, e, source_path(folder, e)) for e in ENTITIES})
