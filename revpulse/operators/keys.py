@@ -12,7 +12,8 @@ billion different keys the chance that any two share both is about one in a hund
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+import math
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 from typing import NamedTuple
 
@@ -24,6 +25,8 @@ from revpulse.functions.numeric import count_where, or_zero
 PROBES, KEYS_PER_WORD, MOST_WORDS = 3, 6, 1 << 20
 #: Words of the filter for keys that are suspected to repeat; in sound tables there are none.
 SUSPECT_WORDS = 1 << 14
+#: Keys that one task counts, where their number is known; these take some hundred MB.
+KEYS_PER_TASK = 1 << 20
 
 
 def union_all(frames: Iterable[DataFrame]) -> DataFrame:
@@ -125,29 +128,32 @@ class Reference(NamedTuple):
 
 
 def key_pass(
-    relations: Mapping[str, DataFrame], uniques: Sequence[Unique], references: Sequence[Reference], parents: int | None = None
+    relations: Mapping[str, DataFrame],
+    uniques: Sequence[Unique],
+    references: Sequence[Reference],
+    parents: int | None = None,
+    keys: int | None = None,
 ) -> DataFrame:
     """``check, failed_rows`` of many checks at once: values that repeat, and rows whose key has no parent.
 
-    ``check`` numbers the uniques and then the references; null keys pass. Every relation is read once, and one
-    shuffle counts all its keys: those that should be unique as two hashes, those that refer to others, which
+    ``check`` numbers the uniques and then the references; null keys pass. Two shuffles count the keys of all
+    relations: those that should be unique move as two hashes, those that refer to others, which
     fold to few, as texts. Parents' keys meet the folded texts, by the relation they belong to. However many keys
     repeat, none is read or moved a second time.
+
+    ``keys`` is about how many there are of the first kind, if that is known. They are then dealt to as many tasks as they
+    call for and counted there: keys that are nearly all different fold nothing before they move, and no task
+    holds more than its share. Copies of one key go to one task, as one number each for it to count.
     """
-    of: dict[str, list[Column]] = {}
     first = len(uniques)
-    for k, u in enumerate(uniques):
-        of.setdefault(u.relation, []).append(_asked(k, u.column, hashed=True))
-    for k, r in enumerate(references, first):
-        of.setdefault(r.relation, []).append(_asked(k, r.column, hashed=False))
-    if not of:
+    if not uniques and not references:
         raise ValueError("no keys to check")
-    every = union_all(relations[name].select(F.inline(F.array(*rows))) for name, rows in of.items())
-    folded = every.where("hash is not null or text is not null").groupBy("check", "text", "hash", "other").agg(F.count(F.lit(1)).alias("n"))
-
     parts = []
     if uniques:
-        repeated = folded.where((F.col("check") < first) & (F.col("n") > 1))
+        hashed = _every(relations, uniques, 0, lambda column: (F.xxhash64(column).alias("hash"), F.hash(column).alias("other")))
+        if keys is not None:
+            hashed = hashed.repartition(max(1, math.ceil(keys / KEYS_PER_TASK)), "hash")
+        repeated = hashed.groupBy("check", "hash", "other").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         parts.append(repeated.groupBy("check").agg(F.count(F.lit(1)).alias("failed_rows")))
     if references:
         homes = list(dict.fromkeys((r.parent, r.parent_column) for r in references))
@@ -155,20 +161,21 @@ def key_pass(
             relations[name].select(F.lit(k).alias("home"), F.col(column).cast("string").alias("text")) for k, (name, column) in enumerate(homes)
         )
         home = F.element_at(F.array(*(F.lit(homes.index((r.parent, r.parent_column))) for r in references)), F.col("check") - first + 1)
-        keys = folded.where(F.col("check") >= first).select("check", home.alias("home"), "text", "n")
-        parts.append(_without(keys, ["home", "text"], known, parents).groupBy("check").agg(F.sum("n").alias("failed_rows")))
+        folded = _every(relations, references, first, lambda column: (column.alias("text"),)).groupBy("check", "text").agg(F.count(F.lit(1)).alias("n"))
+        asked = folded.select("check", home.alias("home"), "text", "n")
+        parts.append(_without(asked, ["home", "text"], known, parents).groupBy("check").agg(F.sum("n").alias("failed_rows")))
     # Checks without a failing row are in the result as well; a row for each check.
-    named = folded.sparkSession.range(first + len(references)).select(F.col("id").cast("int").alias("check"))
+    named = parts[0].sparkSession.range(first + len(references)).select(F.col("id").cast("int").alias("check"))
     return named.join(F.broadcast(union_all(parts)), "check", "left").select("check", or_zero(F.col("failed_rows")).alias("failed_rows"))
 
 
-def _asked(check: int, column: str, hashed: bool) -> Column:
-    text = F.col(column).cast("string")
-    none = F.lit(None)
-    value, other = (F.when(text.isNotNull(), h(text)) for h in (F.xxhash64, F.hash))
-    return F.struct(
-        F.lit(check).alias("check"),
-        (value if hashed else none.cast("bigint")).alias("hash"),
-        (other if hashed else none.cast("int")).alias("other"),
-        (none.cast("string") if hashed else text).alias("text"),
-    )
+def _every(
+    relations: Mapping[str, DataFrame], checks: Sequence[Unique | Reference], first: int, parts: Callable[[Column], tuple[Column, ...]]
+) -> DataFrame:
+    """``check`` and ``parts`` of the text of every key that is not null, each relation read once; numbers begin at ``first``."""
+    of: dict[str, list[Column]] = {}
+    for k, c in enumerate(checks, first):
+        text = F.col(c.column).cast("string")
+        of.setdefault(c.relation, []).append(F.when(text.isNotNull(), F.struct(F.lit(k).alias("check"), *parts(text))))
+    rows = (relations[name].select(F.explode(F.array(*asked)).alias("row")) for name, asked in of.items())
+    return union_all(rows).where(F.col("row").isNotNull()).select("row.*")

@@ -125,9 +125,9 @@ def _named(checks: list[Unique | Reference]) -> Column:
     return F.element_at(F.array(*rows), F.col("check") + 1)
 
 
-def _key_report(tables: Mapping[str, DataFrame], uniques: list[Unique], references: list[Reference]) -> DataFrame:
+def _key_report(tables: Mapping[str, DataFrame], uniques: list[Unique], references: list[Reference], keys: int | None = None) -> DataFrame:
     """Keys and references of all tables in one pass; several null keys count as one repeated key."""
-    counted = key_pass(tables, uniques, references)
+    counted = key_pass(tables, uniques, references, keys=keys)
     if uniques:
         missing = [
             tables[u.relation].agg((count_where(F.col(u.column).isNull()) > 1).cast("bigint").alias("failed_rows")).select(F.lit(k).alias("check"), "failed_rows")
@@ -140,9 +140,9 @@ def _key_report(tables: Mapping[str, DataFrame], uniques: list[Unique], referenc
     )
 
 
-def check_pk_unique(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Repeated primary keys per table; several null keys count as one repeated key."""
-    return _key_report(tables, uniques_of(tables), [])
+def check_pk_unique(tables: Mapping[str, DataFrame], keys: int | None = None) -> DataFrame:
+    """Repeated primary keys per table; several null keys count as one repeated key. ``keys`` as in ``key_pass``."""
+    return _key_report(tables, uniques_of(tables), [], keys)
 
 
 def check_relationships(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -156,8 +156,8 @@ def with_status(results: DataFrame) -> DataFrame:
     )
 
 
-def raw_validation_report(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """All source checks. Column checks of a table share one pass, and so do all keys and references."""
+def raw_validation_report(spark: SparkSession, tables: Mapping[str, DataFrame], keys: int | None = None) -> DataFrame:
+    """All source checks. Column checks of a table share one pass, and so do all keys and all references. ``keys`` as in ``key_pass``."""
     per_table = [
         _report(
             tables[e.name],
@@ -167,7 +167,7 @@ def raw_validation_report(spark: SparkSession, tables: Mapping[str, DataFrame])
     ]
     parts = [check_tables_exist(spark, tables), *per_table]
     if _present(tables):
-        parts.append(_key_report(tables, uniques_of(tables), references_of(tables)))
+        parts.append(_key_report(tables, uniques_of(tables), references_of(tables), keys))
     return with_status(union_all(parts))
 
 
@@ -185,11 +185,13 @@ def load_metrics(e: Entity, df: DataFrame) -> dict[tuple[str, str], Column]:
     }
 
 
-def key_facts(tables: Mapping[str, DataFrame], references: list[Reference], parents: int | None = None) -> dict[tuple[str, str, str], int]:
-    """Repeated keys (null is none) and rows without a parent, counted in one pass; a number for each check."""
+def key_facts(
+    tables: Mapping[str, DataFrame], references: list[Reference], parents: int | None = None, keys: int | None = None
+) -> dict[tuple[str, str, str], int]:
+    """Repeated keys (null is none) and rows without a parent, counted together; a number for each check."""
     uniques = uniques_of(tables)
     checks = [*uniques, *references]
-    found = {r["check"]: r["failed_rows"] for r in key_pass(tables, uniques, references, parents).collect()}
+    found = {r["check"]: r["failed_rows"] for r in key_pass(tables, uniques, references, parents, keys).collect()}
     return {(c.relation, "repeated" if isinstance(c, Unique) else f"orphan of {c.parent}", c.column): found[k] for k, c in enumerate(checks)}
 
 

@@ -195,7 +195,7 @@ def build_warehouse(
             # Keys and references of the raw and of the staged tables, which are the same columns.
             references = list(dict.fromkeys([*raw_checks.references_of(tables), *staged_references()]))
             parents = sum(facts[name, "rows", ""] for name in {r.parent for r in references})
-            facts |= raw_checks.key_facts(tables, references, parents)
+            facts |= raw_checks.key_facts(tables, references, parents, sum(row_counts_of(facts).values()))
             report = raw_checks.report_of_facts(spark, facts).withColumn("checked_at", checked_at)
             path = f"{history}/raw_validation_results/run={run_id}"
             report.coalesce(1).write.parquet(path)

@@ -513,11 +513,12 @@ def _known(w: Warehouse, check: Unique | Reference, facts: Facts) -> int | None:
 
 
 def _key_report(w: Warehouse, facts: Facts) -> DataFrame:
-    """Keys and references of all relations in one pass, without those that the load has counted."""
+    """Keys and references of all relations together, without those that the load has counted."""
     uniques, references = _key_checks()
     known = {c: n for c in (*uniques, *references) if (n := _known(w, c, facts)) is not None}
     uniques, references = ([c for c in checks if c not in known] for checks in (uniques, references))
-    counted = key_pass(w, uniques, references)
+    rows = sum(n for (_, kind, _), n in getattr(w.sources, "facts", {}).items() if kind == "rows")
+    counted = key_pass(w, uniques, references, keys=rows or None)
     label = lambda c: (c.relation, "unique" if isinstance(c, Unique) else "relationship", c.column)
     names = ("relation", "contract", "column_name")
     rows = [F.struct(*(F.lit(v).alias(n) for n, v in zip(names, label(c)))) for c in (*uniques, *references)]
