@@ -39,54 +39,60 @@ def _day_words(params: Params) -> dict[str, Column]:
 
 
 def usage_facts(events: DataFrame, params: Params = Params()) -> DataFrame:
-    """Window events folded to one row per account and member.
+    """Window events folded to one row per account, and one more for each of its members.
 
-    A member is a user (slot 0) or, for an event of a type that has no counter of its
-    own, that type (slot 1); counting members gives both distinct counts exactly.
-    Days are a bitmap and listed types are counters, so every measure folds on the
-    map side, the rows shuffle once, and a busy account is spread over its users.
+    The account's own row (slot 0) has all measures: days are a bitmap and listed types are counters, so they
+    fold on the map side to one row. A member is a user (slot 1) or, for an event of a type that has no counter
+    of its own, that type (slot 2); counting members gives both distinct counts exactly. Their rows have
+    no measures, so the many that shuffle are short, and a busy account is spread over its users.
     """
     words = _day_words(params)
     kind = F.col("event_type")
     listed = F.coalesce(kind.isin(*EVENT_TYPES), F.lit(True))
-    slots = F.when(listed, F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))
+    members = (F.struct(F.lit(0).alias("slot"), F.lit(None).cast("string").alias("member")), F.struct(F.lit(1).alias("slot"), F.col("user_id").alias("member")))
+    rows = F.when(listed, F.array(*members)).otherwise(F.array(*members, F.struct(F.lit(2).alias("slot"), kind.alias("member"))))
+    own = F.col("slot") == 0
     return (
         events_in_window(events, params)
         .select(
             "account_id",
-            "user_id",
             "event_type",
             "event_date",
             *(v.alias(k) for k, v in words.items()),
-            F.explode(slots).alias("slot"),
+            F.inline(rows),
         )
-        .groupBy("account_id", "slot", F.when(F.col("slot") == 0, F.col("user_id")).otherwise(kind).alias("member"))
+        .where(own | F.col("member").isNotNull())
+        .groupBy("account_id", "slot", "member")
         .agg(
-            F.count(F.lit(1)).alias("total_events"),
-            F.min("event_date").alias("first_event_date"),
-            F.max("event_date").alias("latest_event_date"),
-            *(F.bit_or(w).alias(w) for w in words),
-            *(count_where(kind == k).alias(name) for k, name in TYPE_COUNTS.items()),
+            count_where(own).alias("total_events"),
+            F.min(F.when(own, F.col("event_date"))).alias("first_event_date"),
+            F.max(F.when(own, F.col("event_date"))).alias("latest_event_date"),
+            *(F.bit_or(F.when(own, F.col(w))).alias(w) for w in words),
+            *(count_where(own & (kind == k)).alias(name) for k, name in TYPE_COUNTS.items()),
         )
     )
 
 
 def usage_by_account(events: DataFrame, params: Params = Params()) -> DataFrame:
-    """One row per account with events in the window."""
-    by_user = F.col("slot") == 0
+    """One row per account with events in the window.
+
+    Rows of members move to their account unfolded: a task that has any members has some of nearly every
+    account, and to fold them there would take memory for all accounts and save little.
+    """
     days = [F.bit_count(F.bit_or(w)).cast("bigint") for w in _day_words(params)]
     counters = ("total_events", *TYPE_COUNTS.values())
     used = [F.when(F.col(name) > 0, 1).otherwise(0) for name in TYPE_COUNTS.values()]
     return (
         usage_facts(events, params)
+        .repartition("account_id")
         .groupBy("account_id")
         .agg(
-            *(F.sum(F.when(by_user, F.col(n)).otherwise(0)).alias(n) for n in counters),
-            count_where(by_user & F.col("member").isNotNull()).alias("active_users"),
+            *(F.sum(n).alias(n) for n in counters),
+            count_where(F.col("slot") == 1).alias("active_users"),
             sum(days[1:], days[0]).alias("active_days"),
             F.min("first_event_date").alias("first_event_date"),
             F.max("latest_event_date").alias("latest_event_date"),
-            count_where(~by_user).alias("other_features"),
+            count_where(F.col("slot") == 2).alias("other_features"),
         )
         .select(
             "account_id",

@@ -5,6 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from revpulse.operators import keys as K
+from revpulse.operators import product, staging
 from revpulse.schemas import ENTITIES
 from revpulse.sources import bound
 from revpulse.sources.bound import DEALT, bind
@@ -76,3 +77,39 @@ def test_csv_is_written_compressed_and_read_as_it_is(spark, entity, tmp_path):
     assert files and all(f.name.endswith(".csv.gz") for f in files) and sum(f.stat().st_size for f in files) < 2000 * 20
     back = read_raw(spark, "product_events", path)
     assert back.columns == list(ENTITIES["product_events"].columns) and same({"e": events}, {"e": back})
+
+
+def test_lines_that_are_not_subscribed_do_not_move(spark, data):
+    """A filter of the subscribed orders stands before the join, also if the join itself shuffles."""
+    plan = plan_of(bind(spark, data)["billing_payments"])
+    assert "bit_or" in plan and "xxhash64(l_orderkey" in plan
+
+
+def test_stored_lines_are_dealt_by_their_number(spark, data, tmp_path, monkeypatch):
+    """However well the base files are compressed, a task makes events of so many lines, which lie in order of accounts."""
+    stored = bind(spark, data)
+    stored.store_lines(f"{tmp_path}/lines")
+    monkeypatch.setattr(bound, "LINES_PER_TASK", stored._stored_lines // 5)
+    rows = stored["product_events"].select(F.spark_partition_id().alias("p"), F.monotonically_increasing_id().alias("n"), F.substring("account_id", 5, 20).cast("int").alias("a"))
+    found = rows.orderBy("n").collect()
+    assert 4 <= len({r.p for r in found}) <= 7
+    for p in {r.p for r in found}:
+        mine = [r.a for r in found if r.p == p]
+        assert mine == sorted(mine)
+
+
+def test_keys_of_a_known_number_are_dealt_to_enough_tasks(spark, monkeypatch):
+    monkeypatch.setattr(K, "KEYS_PER_TASK", 100)
+    frames = {"t": spark.range(3000).select(F.concat(F.lit("k"), (F.col("id") % 2000).cast("string")).alias("key"))}
+    made = K.key_pass(frames, [K.Unique("t", "key")], [], keys=3000)
+    assert [tuple(r) for r in made.collect()] == [(0, 1000)]
+    assert "hashpartitioning(hash" in plan_of(made) and ", 30), REPARTITION_BY_NUM" in plan_of(made)
+
+
+def test_members_of_an_account_move_as_keys_alone(spark, entity):
+    """No measure stands beside the users, whose rows are most of what moves."""
+    rows = [{"event_id": f"e{k}", "account_id": "a", "user_id": f"u{k % 7}", "event_type": "login", "occurred_at": "2025-12-02T00:00:00"} for k in range(50)]
+    facts = product.usage_facts(staging.stg_events(entity("product_events", *rows)))
+    found = facts.collect()
+    assert len(found) == 8 and [r.total_events for r in found if r.slot == 0] == [50]
+    assert {(r.total_events, r.login_events, r.days_0, r.latest_event_date) for r in found if r.slot == 1} == {(0, 0, None, None)}
