@@ -358,9 +358,10 @@ def pair_terms(sample: DataFrame, screen: Screen, units: dict[int, int], folder:
 
     rest = sample.mapInArrow(others, _COUNTED).groupBy("pair").agg(F.sum("clean").alias("more"))
     counted = possible.join(rest, "pair", "left").select("pair", (F.col("clean") + F.coalesce("more", F.lit(0))).alias("clean"), "toxic")
-    found = counted.mapInArrow(_kept_pairs(screen.outstanding), _COUNTED)
-    both = lambda pairs: np.concatenate(np.divmod(pairs, n))
-    return found.mapInArrow(_distinct_numbers(both, "term"), "term long").distinct().toArrow().column("term").to_numpy()
+    kept, terms_of = _kept_pairs(screen.outstanding), _distinct_numbers(lambda pairs: np.concatenate(np.divmod(pairs, n)), "term")
+    # One step and not two: each Python step of a task holds a worker, which keeps its memory for the stages after it.
+    found = counted.mapInArrow(lambda batches: terms_of(kept(batches)), "term long")
+    return found.distinct().toArrow().column("term").to_numpy()
 
 
 def _most_toxic_terms(place: np.ndarray, weights: np.ndarray, factors: np.ndarray):

@@ -1,3 +1,5 @@
+import random
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -87,3 +89,20 @@ def test_one_row_of_each_group_with_any_columns(spark, data):
     docs = spark.createDataFrame(rows, "doc_id long, text string, m map<string, int>, key int, row int, component_id int")
     got = pipeline.one_of_each_group(spark, docs, data)
     assert got.columns == docs.columns and sorted(map(tuple, got.collect()), key=lambda r: r[0]) == [rows[1], rows[2], rows[3]]
+
+
+def test_a_task_of_the_pipeline_runs_one_python_step(spark, tmp_path, monkeypatch):
+    """Steps in a row would hold a worker each, and a worker keeps its memory for later stages."""
+    draw = random.Random(5)
+    texts = [" ".join(["vile"] * (k % 3 == 0) + draw.choices([f"{a}{b}" for a in "bdfgk" for b in ("orn", "ell", "ust", "ind")], k=60)) for k in range(300)]
+    docs = [(k, text, "en", f"src{k % 2}", len(text)) for k, text in enumerate(texts)]
+    spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(k, 1, int(k % 3 == 0)) for k in range(300)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    frame, made = type(spark.range(1)), []
+    step = frame.mapInArrow
+    monkeypatch.setattr(frame, "mapInArrow", lambda self, *a, **k: made.append(step(self, *a, **k)) or made[-1])
+    pipeline.run(spark, str(tmp_path))
+    plans = [df._jdf.queryExecution().executedPlan().toString() for df in made]
+    steps = [part.count("MapInArrow") for plan in plans for part in plan.split("Exchange")]
+    assert len(plans) > 10 and max(steps) == 1
