@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from revpulse.functions import policy as P
 from revpulse.functions.numeric import count_where, money, money_or_zero, or_zero
+from revpulse.operators.keys import moved
 from revpulse.params import Policy
 
 
@@ -61,7 +62,7 @@ def with_billing_customers(accounts: DataFrame, billing_customers: DataFrame) ->
     wide = accounts.join(counted, "account_id", "left")
     several = F.coalesce(F.col("billing_customers") > 1, F.lit(False))
     one = wide.where(~several).drop("billing_customers")
-    many = wide.where(several).drop("billing_customers", "billing_customer_id").join(pairs, "account_id")
+    many = wide.where(several).drop("billing_customers", "billing_customer_id").join(moved(pairs), "account_id")
     return one.unionByName(many)
 
 
@@ -168,8 +169,8 @@ def account_signals(
     )
     joined = (
         spine.join(revenue, "account_id", "left")
-        .join(use, "account_id", "left")
-        .join(load, "account_id", "left")
+        .join(moved(use), "account_id", "left")
+        .join(moved(load), "account_id", "left")
     )
     zero_counts = (
         "subscription_count",

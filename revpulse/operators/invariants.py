@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revpulse.functions.numeric import money
+from revpulse.operators.keys import moved
 from revpulse.operators.marts import current_customers
 from revpulse.operators.support import tickets_as_of
 from revpulse.params import Params
@@ -43,7 +44,7 @@ def assert_risk_mart_only_risk(churn_risk: DataFrame, account_360: DataFrame) ->
     known = account_360.select("account_id", "is_churn_risk", F.lit(True).alias("known"))
     return (
         churn_risk.select("account_id", "account_name")
-        .join(known, "account_id", "left")
+        .join(moved(known), "account_id", "left")
         .where(F.col("known").isNull() | ~F.col("is_churn_risk"))
         .drop("known")
     )

@@ -33,6 +33,16 @@ def union_all(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def moved(df: DataFrame) -> DataFrame:
+    """A side of a join that is sorted and merged, and never broadcast.
+
+    Spark takes the bytes of files for the size of what it reads from them. Relations that were written out compress many times
+    over, so one of any number of rows can pass for small and then take the driver's memory. A side that ends in a
+    shuffle, as after a fold, is measured before it is broadcast and needs none of this.
+    """
+    return df.hint("merge")
+
+
 def _word(key: Column, words: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(words))
 
@@ -108,11 +118,11 @@ def _without(keys: DataFrame, on: list[str], known: DataFrame, parents: int | No
     """Rows of ``keys`` whose columns ``on`` are not in ``known``."""
     words = filter_words(parents) if parents is not None else 0
     if not words:
-        return keys.join(known, on, "left_anti")
+        return keys.join(moved(known), on, "left_anti")
     whole = F.struct(*on)
     asked = probed(keys.withColumn("whole", whole), "whole", key_filter(known.where(F.col(on[-1]).isNotNull()), whole, words), words).drop("whole")
     sure = asked.where(~F.col("maybe"))
-    return sure.union(asked.where("maybe").join(known, on, "left_anti").select(sure.columns)).drop("maybe")
+    return sure.union(asked.where("maybe").join(moved(known), on, "left_anti").select(sure.columns)).drop("maybe")
 
 
 class Unique(NamedTuple):

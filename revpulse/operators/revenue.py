@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from revpulse.functions import policy as P
 from revpulse.functions.numeric import count_where, mean, money, money_or_zero, or_zero
+from revpulse.operators.keys import moved
 from revpulse.params import Params
 
 
@@ -109,7 +110,7 @@ def subscription_settlement(
 def subscriptions_enriched(settlement: DataFrame, accounts: DataFrame) -> DataFrame:
     """Subscription settlement with the account's descriptive columns."""
     about = accounts.select("account_id", "account_name", "industry", "segment", "country")
-    return settlement.join(about, "account_id", "left").select(
+    return settlement.join(moved(about), "account_id", "left").select(
         "subscription_id",
         "billing_customer_id",
         "account_id",

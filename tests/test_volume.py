@@ -4,8 +4,10 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from revpulse.operators import invariants, product, staging
 from revpulse.operators import keys as K
-from revpulse.operators import product, staging
+from revpulse.plans.build import derive
+from revpulse.plans.relations import Warehouse
 from revpulse.schemas import ENTITIES
 from revpulse.sources import bound
 from revpulse.sources.bound import DEALT, bind
@@ -113,3 +115,38 @@ def test_members_of_an_account_move_as_keys_alone(spark, entity):
     found = facts.collect()
     assert len(found) == 8 and [r.total_events for r in found if r.slot == 0] == [50]
     assert {(r.total_events, r.login_events, r.days_0, r.latest_event_date) for r in found if r.slot == 1} == {(0, 0, None, None)}
+
+
+def broadcast_unmeasured(df):
+    """Broadcasts of a plan that no shuffle has measured; what Spark knows of them is the bytes of their files."""
+    lines, found = plan_of(df).splitlines(), []
+    depth = [len(line) - len(line.lstrip(" :+-*()0123456789")) for line in lines]
+    for k, line in enumerate(lines):
+        if line[depth[k] :].startswith("BroadcastExchange"):
+            end = next((j for j in range(k + 1, len(lines)) if depth[j] <= depth[k]), len(lines))
+            if not any("Exchange " in below for below in lines[k + 1 : end]):
+                found.append(line)
+    return found
+
+
+def test_no_written_relation_is_broadcast_by_the_bytes_of_its_files(spark, entity, tmp_path):
+    accounts = [{"account_id": f"a{k}", "account_name": f"n{k}", "created_at": "2024-01-01"} for k in range(20)]
+    customers = [{"billing_customer_id": f"c{k}", "account_id": f"a{k // 2}"} for k in range(9)]
+    subscriptions = [
+        {"subscription_id": f"s{k}", "account_id": f"a{k}", "billing_customer_id": f"c{k}", "status": "active", "mrr_usd": "5", "arr_usd": "60", "start_date": "2025-01-01"} for k in range(9)
+    ]
+    sources = {e: entity(e) for e in ENTITIES} | {
+        "crm_accounts": entity("crm_accounts", *accounts),
+        "billing_customers": entity("billing_customers", *customers),
+        "billing_subscriptions": entity("billing_subscriptions", *subscriptions),
+    }
+    w = Warehouse(publish_snapshot(spark, sources, f"{tmp_path}/load", NOW))
+    derive(w, spark, f"{tmp_path}/derived")
+    again = lambda name: Warehouse(w.sources, w.params, w.policy, w.written(without=name))[name]
+    for name in ("int_customer__account_base", "int_revenue__subscriptions_enriched", "int_customer__health_signals"):
+        assert broadcast_unmeasured(again(name)) == [], name
+    assert again("int_customer__account_base").count() == 20 + 4 and again("int_revenue__subscriptions_enriched").count() == 9
+    assert broadcast_unmeasured(invariants.assert_risk_mart_only_risk(w["mart_churn_risk"], w["mart_account_360"])) == []
+    assert broadcast_unmeasured(K.lost_references(w["crm_deals"], "account_id", w["crm_accounts"], "account_id")) == []
+    small = w["crm_accounts"].alias("l").join(w["billing_customers"].alias("r"), "account_id")
+    assert broadcast_unmeasured(small)  # what Spark would do by itself
