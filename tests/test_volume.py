@@ -1,10 +1,11 @@
 """What a load and its checks write, and move, at scale."""
 
 import datetime as dt
+import hashlib
 
 from pyspark.sql import functions as F
 
-from revpulse.operators import invariants, product, staging
+from revpulse.operators import invariants, product, raw_checks, staging
 from revpulse.operators import keys as K
 from revpulse.plans.build import derive
 from revpulse.plans.relations import Warehouse
@@ -150,3 +151,26 @@ def test_no_written_relation_is_broadcast_by_the_bytes_of_its_files(spark, entit
     assert broadcast_unmeasured(K.lost_references(w["crm_deals"], "account_id", w["crm_accounts"], "account_id")) == []
     small = w["crm_accounts"].alias("l").join(w["billing_customers"].alias("r"), "account_id")
     assert broadcast_unmeasured(small)  # what Spark would do by itself
+
+
+def test_a_fingerprint_adds_numbers_and_makes_each_text_once(spark, frame):
+    """The digests are sums of md5 parts of length-prefixed fields; no decimal is made for a row, no text twice."""
+    rows = [("a", "2025-12-02T03:04:05", "1.50"), (None, None, None), ("", "2025-12-02T03:04:05.100000", "-2"), ("größe", None, "0"), ("a", "2025-12-02T03:04:05", "1.50")]
+    made = table_fingerprint({"t": frame("k string, at timestamp_ntz, x decimal(18,2)", *[(k, at and dt.datetime.fromisoformat(at), x) for k, at, x in rows])})
+    texts = [(k, at and at.replace("T", " ").replace(".100000", ".1"), x and f"{float(x):.2f}") for k, at, x in rows]
+    digests = [hashlib.md5("".join("-" if t is None else f"{len(t)}:{t}" for t in r).encode()).hexdigest() for r in texts]
+    high, low = (str(sum(int(d[start : start + 15], 16) for d in digests)) for start in (0, 16))
+    assert [tuple(r) for r in made.collect()] == [("t", 5, high, low)]
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("cast(at#") == 1 and "sum(cast(conv" not in plan
+    assert [tuple(r) for r in table_fingerprint({"t": frame("k string")}).collect()] == [("t", 0, "0", "0")]
+
+
+def test_times_are_not_made_into_texts_to_find_blank_ones(spark, entity, frame):
+    metrics = raw_checks.load_metrics(ENTITIES["product_events"], entity("product_events"))
+    assert "STRING" not in str(metrics["blank", "occurred_at"]).upper()
+    asked = [("2025-01-02T00:00:00",), (None,)]
+    typed = frame("occurred_at timestamp_ntz", *[(t and dt.datetime.fromisoformat(t),) for (t,) in asked])
+    texts = frame("occurred_at string", *asked, ("",))
+    for df, n in ((typed, 1), (texts, 2)):
+        assert df.agg(raw_checks.load_metrics(ENTITIES["product_events"], df)["blank", "occurred_at"].alias("n")).first().n == n
